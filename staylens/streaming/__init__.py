@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The surveyed workload is batch only: it reads bounded files and uses no
+watermark, window, state or late-data handling, so nothing lives here. Every
+operator in ``staylens.operators`` is a pure DataFrame function and therefore
+also accepts a streaming DataFrame wherever Spark supports the same plan
+(projections, filters, stateless joins); stateful ones would need a watermark.
+"""
