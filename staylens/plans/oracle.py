@@ -226,7 +226,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "alts": (
         ("amen_listings", "chosen", "calendar"),
         f"""SELECT a.id AS listing_id, a.name, a.latitude, a.longitude, a.host_name, a.review_scores_rating, a.price,
-           CAST(len(list_filter(a.amen, x -> list_contains(c.c_amenities, x))) AS BIGINT) AS common_amenities,
+           CAST(len(list_filter(a.amen, lambda x: list_contains(c.c_amenities, x))) AS BIGINT) AS common_amenities,
            {haversine('c.c_latitude', 'c.c_longitude', 'a.latitude', 'a.longitude')} AS distance
     FROM amen_listings a JOIN chosen c ON a.room_type = c.c_room_type
     WHERE a.id <> {C.CHOSEN_LISTING}
@@ -498,7 +498,7 @@ ORACLE: dict[str, str] = {
         "chosen",
     ),
     "common_amenities": with_ctes(
-        """SELECT a.id, CAST(len(list_filter(a.amen, x -> list_contains(c.c_amenities, x))) AS BIGINT) AS common_amenities
+        """SELECT a.id, CAST(len(list_filter(a.amen, lambda x: list_contains(c.c_amenities, x))) AS BIGINT) AS common_amenities
     FROM amen_listings a CROSS JOIN chosen c""",
         "amen_listings",
         "chosen",
