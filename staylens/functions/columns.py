@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 MONEY_A_DELETE = "$,"
 # money form B keeps only characters matching this class
 MONEY_B_DROP_PATTERN = r"[^0-9.]"
-# description tokeniser: characters outside this class become a space
-TOKEN_DROP_PATTERN = r"[^0-9a-z'\-&]"
+# description tokeniser: a token is a maximal run of characters of this class
+TOKEN_RUN_PATTERN = r"[0-9a-z'\-&]+"
 # amenity cleaning for the alternatives query: characters outside this class are deleted
 AMENITY_CLEAN_DROP_PATTERN = r"[^0-9a-z,'/ \-]"
 # raw amenity splitting for the per-neighbourhood amenity list: these characters are deleted
@@ -64,14 +64,15 @@ def nights_per_year(reviews_per_month: Column | str) -> Column:
 
 
 def text_tokens(c: Column | str) -> Column:
-    """Lower-case, turn every character outside ``[0-9a-z'-&]`` into a space,
-    collapse runs of spaces, trim, split on a space.
+    """Tokens of a text: lower-case it, then take the maximal runs of
+    ``[0-9a-z'-&]`` characters (everything else separates tokens).
 
-    A blank text yields one empty token, like ``"".split(" ")``.
+    Equivalent to replacing every other character by a space, collapsing
+    spaces, trimming and splitting on a space, in one regex pass. A text
+    without any token character yields one empty token, like ``"".split(" ")``.
     """
-    t = F.regexp_replace(F.lower(_col(c)), TOKEN_DROP_PATTERN, " ")
-    t = F.trim(F.regexp_replace(t, " +", " "))
-    return F.split(t, " ")
+    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_RUN_PATTERN), 0)
+    return F.when(F.size(runs) == 0, F.array(F.lit(""))).otherwise(runs)
 
 
 def amenity_tokens_raw(c: Column | str) -> Column:

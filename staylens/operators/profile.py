@@ -31,7 +31,7 @@ def profile_distinct_ci(df: DataFrame, columns: Sequence[str] | None = None) ->
     return pairs.groupBy("column_name").agg(F.count("value").cast("bigint").alias("distinct_count"))
 
 
-def profile_distinct_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.02) -> DataFrame:
+def profile_distinct_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05) -> DataFrame:
     """Approximate ``profile_distinct_ci`` with HyperLogLog++ sketches: one pass,
     partial sketches merged across the shuffle, no value is shuffled."""
     cols = list(columns or df.columns)

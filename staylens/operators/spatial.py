@@ -127,7 +127,7 @@ def assign_neighbourhood(
     )
     located = with_cs(pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
     located = located.select(
-        "_id", "_x", "_y", _cell(F.col("_x"), cs).alias("pcx"), _cell(F.col("_y"), cs).alias("pcy")
+        "_id", *keep, "_x", "_y", _cell(F.col("_x"), cs).alias("pcx"), _cell(F.col("_y"), cs).alias("pcy")
     )
 
     cand = located.join(
@@ -139,7 +139,7 @@ def assign_neighbourhood(
         & (located._y > cells.min_y)
         & (located._y < cells.max_y),
         "inner",
-    ).select("_id", "_x", "_y", "pcy", "pid", "neighbourhood")
+    ).select("_id", *keep, "_x", "_y", "pcy", "pid")
 
     tested = cand.join(
         stripes,
@@ -154,47 +154,79 @@ def assign_neighbourhood(
     t = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
     crosses = ((y1 > y) != (y2 > y)) & F.when(y2 > y1, t > 0).otherwise(t < 0)
     on_edge = (t == 0) & (x >= F.least(x1, x2)) & (x <= F.greatest(x1, x2))
-    per_pair = tested.groupBy("_id", "pid", "neighbourhood").agg(
+    per_pair = tested.groupBy("_id", *keep, "pid").agg(
         F.sum(crosses.cast("int")).alias("crossings"), F.max(on_edge).alias("on_edge")
     )
-    hits = per_pair.where((F.col("crossings") % 2 == 1) & ~F.col("on_edge")).select("_id", "pid", "neighbourhood")
+    hits = per_pair.where((F.col("crossings") % 2 == 1) & ~F.col("on_edge")).select("_id", *keep, "pid")
+
+    # every point once (NULL pid) plus its hits; the smallest pid wins. Only a
+    # long is aggregated (hash aggregation); names are joined afterwards from
+    # the polygon table (small: Spark broadcasts it when its measured size
+    # allows, else a shuffle join).
+    base = pts.select("_id", *keep, F.lit(None).cast("bigint").alias("pid"))
+    first = base.unionByName(hits.select("_id", *keep, F.col("pid").cast("bigint"))).groupBy("_id", *keep).agg(
+        F.min("pid").alias("pid")
+    )
+    names = bbox.select(F.col("pid").alias("n_pid"), "neighbourhood")
+    return first.join(names, first.pid == names.n_pid, "left").select(
+        F.col("_id").alias(id_col), *keep, "pid", "neighbourhood"
+    )
+
+
+def _row_presence(assigned: DataFrame, test: DataFrame) -> DataFrame:
+    """``(id, neighbourhood, city, m_rows, t_rows)``: for every distinct row of
+    either side, how often it occurs in each side (NULLs group together, like
+    a set difference).
 
-    # every point once (NULL pid), plus its hits; the smallest pid wins
-    base = pts.select("_id", *keep, F.lit(None).cast("bigint").alias("pid"), F.lit(None).cast("string").alias("neighbourhood"))
-    hits = hits.select("_id", *[F.lit(None).alias(k) for k in keep], F.col("pid").cast("bigint"), "neighbourhood")
-    both = base.unionByName(hits, allowMissingColumns=False)
-    keep_aggs = [F.first(k, ignorenulls=True).alias(k) for k in keep]
-    return both.groupBy("_id").agg(
-        *keep_aggs, F.min("pid").alias("pid"), F.min_by("neighbourhood", "pid").alias("neighbourhood")
-    ).withColumnRenamed("_id", id_col)
+    Both sides are unioned and hash-partitioned by ``id`` once; this grouping
+    and any later grouping or join on ``id`` are satisfied by that
+    partitioning, so each input is read and shuffled exactly once."""
+    cols = ["id", "neighbourhood", "city"]
+    m = assigned.select(*cols, F.lit(1).alias("_m"), F.lit(0).alias("_t"))
+    t = test.select(*cols, F.lit(0).alias("_m"), F.lit(1).alias("_t"))
+    u = m.unionByName(t).repartition("id")
+    return u.groupBy(*cols).agg(F.sum("_m").alias("m_rows"), F.sum("_t").alias("t_rows"))
 
 
 def neighbourhood_disagreements(assigned: DataFrame, test: DataFrame) -> DataFrame:
-    """``(id, my_neighbourhood, test_neighbourhood)``: rows of each side that are
-    not in the other (set difference on (id, neighbourhood, city), NULL-safe)
-    paired up by id. A city mismatch also counts; ids present on one side
-    only drop out.
-
-    Both sides are hash-partitioned by ``id`` once; the two set differences and
-    the final join then run partition-local without further exchanges."""
-    m = assigned.select("id", "neighbourhood", "city").repartition("id")
-    t = test.select("id", "neighbourhood", "city").repartition("id")
-    m_only = m.subtract(t).select(F.col("id").alias("m_id"), F.col("neighbourhood").alias("my_neighbourhood"))
-    t_only = t.subtract(m).select(F.col("id").alias("t_id"), F.col("neighbourhood").alias("test_neighbourhood"))
-    return m_only.join(t_only, m_only.m_id == t_only.t_id, "inner").select(
+    """``(id, my_neighbourhood, test_neighbourhood)``: distinct rows of each side
+    that are not in the other (set difference on (id, neighbourhood, city),
+    NULL-safe), paired up by id. A city mismatch also counts; ids present on
+    one side only drop out. With one row per id and side (listing ids are
+    keys) each id yields at most one pair."""
+    rows = _row_presence(assigned, test)
+    mine = rows.where((F.col("m_rows") > 0) & (F.col("t_rows") == 0)).select(
+        F.col("id").alias("m_id"), F.col("neighbourhood").alias("my_neighbourhood")
+    )
+    theirs = rows.where((F.col("t_rows") > 0) & (F.col("m_rows") == 0)).select(
+        F.col("id").alias("t_id"), F.col("neighbourhood").alias("test_neighbourhood")
+    )
+    return mine.join(theirs, mine.m_id == theirs.t_id, "inner").select(
         F.col("m_id").alias("id"), "my_neighbourhood", "test_neighbourhood"
     )
 
 
 def neighbourhood_agreement(assigned: DataFrame, test: DataFrame) -> DataFrame:
     """One row ``(n_listings, n_disagreements, n_unlabelled, agreement_pct)``:
-    ``(n - disagreements) / n * 100`` with n the assigned rows; ids without any
-    test row (``n_unlabelled``) therefore count as agreeing."""
-    n = assigned.agg(F.count(F.lit(1)).cast("bigint").alias("n_listings"))
-    d = neighbourhood_disagreements(assigned, test).agg(F.count(F.lit(1)).cast("bigint").alias("n_disagreements"))
-    a = assigned.select("id")
-    unl = a.join(test.select("id"), "id", "left_anti").agg(F.count(F.lit(1)).cast("bigint").alias("n_unlabelled"))
-    out = n.crossJoin(d).crossJoin(unl)
+    ``(n - disagreements) / n * 100`` with n the assigned rows; assigned rows
+    whose id has no test row (``n_unlabelled``) therefore count as agreeing.
+
+    One pass: per id, the disagreement count is (mine-only rows) x (test-only
+    rows), computed from counts without materialising any pair."""
+    rows = _row_presence(assigned, test)
+    mine_only = (F.col("m_rows") > 0) & (F.col("t_rows") == 0)
+    test_only = (F.col("t_rows") > 0) & (F.col("m_rows") == 0)
+    per_id = rows.groupBy("id").agg(
+        F.sum("m_rows").alias("n_m"),
+        F.sum("t_rows").alias("n_t"),
+        F.count_if(mine_only).alias("a"),
+        F.count_if(test_only).alias("b"),
+    )
+    out = per_id.agg(
+        F.sum("n_m").cast("bigint").alias("n_listings"),
+        F.sum(F.col("a") * F.col("b")).cast("bigint").alias("n_disagreements"),
+        F.coalesce(F.sum(F.when(F.col("n_t") == 0, F.col("n_m"))), F.lit(0)).cast("bigint").alias("n_unlabelled"),
+    )
     pct = F.try_divide(
         (F.col("n_listings") - F.col("n_disagreements")).cast("double"), F.col("n_listings").cast("double")
     ) * F.lit(100.0)
