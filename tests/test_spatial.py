@@ -1,0 +1,146 @@
+import json
+import random
+
+import pytest
+
+from conftest import rows
+from staylens.operators import spatial
+from staylens.sources import read_geojson_features
+
+# MultiPolygons as [part][ring][point]; ring 0 exterior, others holes
+CONCAVE = [[[[0, 0], [6, 0], [6, 4], [3, 2], [0, 4], [0, 0]]]]
+RECT = [[[[6, 0], [10, 0], [10, 10], [6, 10], [6, 0]]]]  # shares the edge x=6 with CONCAVE
+HOLED = [[[[0, 5], [5, 5], [5, 10], [0, 10], [0, 5]], [[1, 6], [1, 9], [4, 9], [4, 6], [1, 6]]]]
+TWO_PART = [[[[11, 0], [13, 0], [13, 2], [11, 2], [11, 0]]], [[[14, 0], [16, 0], [15, 2], [14, 0]]]]
+BIG = [[[[-1, -1], [20, -1], [20, 20], [-1, 20], [-1, -1]]]]  # later in file order, overlaps all
+
+
+def features(spark, polys, names=None):
+    names = names or [f"nb{i}" for i in range(len(polys))]
+    data = [(i, names[i], "g", [[[[float(c) for c in p] for p in r] for r in part] for part in poly]) for i, poly in enumerate(polys)]
+    return spark.createDataFrame(
+        data,
+        "pid long, neighbourhood string, neighbourhood_group string, coordinates array<array<array<array<double>>>>",
+    )
+
+
+def py_contains(poly, x, y):
+    """Brute force: even-odd over all rings, boundary excluded."""
+    crossings = 0
+    for part in poly:
+        for ring in part:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+                t = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+                if t == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                    return False
+                if (y1 > y) != (y2 > y) and (t > 0 if y2 > y1 else t < 0):
+                    crossings += 1
+    return crossings % 2 == 1
+
+
+def py_assign(polys, x, y):
+    if x is None or y is None:
+        return None
+    for i, p in enumerate(polys):
+        if py_contains(p, x, y):
+            return i
+    return None
+
+
+def test_edges_close_rings_and_keep_parts(spark):
+    open_ring = [[[[0, 0], [2, 0], [2, 2]]]]  # not closed: a closing edge is added
+    e = spatial.polygon_edges(features(spark, [open_ring, TWO_PART, HOLED]))
+    per = {}
+    for r in e.collect():
+        per.setdefault(r["pid"], set()).add((r["part"], r["ring"]))
+    assert per == {0: {(0, 0)}, 1: {(0, 0), (1, 0)}, 2: {(0, 0), (0, 1)}}
+    assert e.where("pid = 0").count() == 3
+    first = spatial.polygon_edges(features(spark, [TWO_PART, HOLED]), first_ring_only=True)
+    assert {(r["part"], r["ring"]) for r in first.collect()} == {(0, 0)}
+    bbox = {r["pid"]: (r["min_x"], r["min_y"], r["max_x"], r["max_y"]) for r in spatial.polygon_bbox(e).collect()}
+    assert bbox[1] == (11.0, 0.0, 16.0, 2.0)
+
+
+@pytest.mark.parametrize("cell_size", [None, 1.0, 3.5])
+def test_assignment_matches_brute_force(spark, cell_size):
+    polys = [CONCAVE, RECT, HOLED, TWO_PART, BIG]
+    rnd = random.Random(7)
+    pts = [(i, float(rnd.randint(-2, 42)) / 2, float(rnd.randint(-2, 42)) / 2) for i in range(400)]
+    # vertices, edges, holes, the shared edge, a NULL coordinate
+    pts += [(1000, 0.0, 0.0), (1001, 6.0, 2.0), (1002, 3.0, 2.0), (1003, 3.0, 1.0), (1004, 2.0, 7.0),
+            (1005, 1.0, 7.0), (1006, 15.0, 1.0), (1007, 12.0, 1.0), (1008, None, 1.0), (1009, 3.0, 3.0)]
+    pdf = spark.createDataFrame(pts, "id long, longitude double, latitude double")
+    edges = spatial.polygon_edges(features(spark, polys))
+    got = {r["id"]: r["pid"] for r in spatial.assign_neighbourhood(pdf, edges, cell_size=cell_size).collect()}
+    want = {i: py_assign(polys, x, y) for i, x, y in pts}
+    assert got == want
+    assert want[1001] == 1 or want[1001] == 4  # on the shared edge: in neither square, so BIG
+    assert want[1005] == 4  # inside the hole of HOLED -> falls through to BIG
+    assert want[1008] is None
+
+
+def test_first_ring_only_ignores_holes_and_parts(spark):
+    polys = [HOLED, TWO_PART]
+    pdf = spark.createDataFrame([(1, 2.0, 7.0), (2, 15.0, 1.0)], "id long, longitude double, latitude double")
+    full = {r["id"]: r["pid"] for r in spatial.assign_neighbourhood(pdf, spatial.polygon_edges(features(spark, polys))).collect()}
+    first = {
+        r["id"]: r["pid"]
+        for r in spatial.assign_neighbourhood(pdf, spatial.polygon_edges(features(spark, polys), first_ring_only=True)).collect()
+    }
+    assert full == {1: None, 2: 1}
+    assert first == {1: 0, 2: None}
+
+
+def test_repeated_name_smallest_position_wins(spark):
+    # D21: two features with the same name; both kept, first in file order wins
+    polys = [RECT, BIG]
+    pdf = spark.createDataFrame([(1, 8.0, 5.0), (2, 18.0, 5.0)], "id long, longitude double, latitude double")
+    e = spatial.polygon_edges(features(spark, polys, names=["same", "same"]))
+    got = rows(spatial.assign_neighbourhood(pdf, e), "id", "pid", "neighbourhood")
+    assert got == [(1, 0, "same"), (2, 1, "same")]
+
+
+def test_agreement(spark):
+    mine = spark.createDataFrame(
+        [(1, "a", "X"), (2, "b", "X"), (3, None, "X"), (4, "d", "X"), (5, "e", "X"), (6, "f", "X")],
+        "id long, neighbourhood string, city string",
+    )
+    test = spark.createDataFrame(
+        [(1, "a", "X"), (2, "z", "X"), (3, None, "X"), (4, "d", "Y"), (7, "g", "X")],
+        "id long, neighbourhood string, city string",
+    )
+    d = rows(spatial.neighbourhood_disagreements(mine, test))
+    # 2: other neighbourhood; 4: city-only mismatch; 3: NULL = NULL agrees; 5, 6, 7 one-sided
+    assert d == [(2, "b", "z"), (4, "d", "d")]
+    a = spatial.neighbourhood_agreement(mine, test).collect()[0]
+    assert (a["n_listings"], a["n_disagreements"], a["n_unlabelled"]) == (6, 2, 2)
+    assert abs(a["agreement_pct"] - 4 / 6 * 100) < 1e-12
+
+
+def test_amenities_by_neighbourhood(spark):
+    lst = spark.createDataFrame(
+        [(1, "S", '{TV,"Wi Fi",Kitchen}'), (2, "S", "{TV,Pool}"), (3, "S", None), (4, "S", "{}"), (5, "T", "{TV}")],
+        "id long, city string, amenities string",
+    )
+    asg = spark.createDataFrame([(1, "n1"), (2, "n1"), (3, "n1"), (4, None), (5, "n2")], "id long, neighbourhood string")
+    got = rows(spatial.amenities_by_neighbourhood(lst, asg))
+    assert got == [("S", "", ""), ("S", "n1", "Kitchen,Pool,TV,Wi Fi"), ("T", "n2", "TV")]
+    assert rows(spatial.amenities_by_neighbourhood(lst, asg, city="T")) == [("T", "n2", "TV")]
+
+
+def test_geojson_reader(spark, tmp_path):
+    fc = {
+        "type": "FeatureCollection",
+        "features": [
+            {"type": "Feature", "properties": {"neighbourhood": n, "neighbourhood_group": "g"},
+             "geometry": {"type": "MultiPolygon", "coordinates": c}}
+            for n, c in [("concave", CONCAVE), ("rect", RECT)]
+        ],
+    }
+    p = tmp_path / "nb.geojson"
+    p.write_text(json.dumps(fc, indent=2))
+    f = read_geojson_features(spark, str(p))
+    assert rows(f, "pid", "neighbourhood") == [(0, "concave"), (1, "rect")]
+    pts = spark.createDataFrame([(1, 3.0, 1.0), (2, 8.0, 1.0), (3, 6.0, 1.0)], "id long, longitude double, latitude double")
+    got = rows(spatial.assign_neighbourhood(pts, spatial.polygon_edges(f)), "id", "neighbourhood")
+    assert got == [(1, "concave"), (2, "rect"), (3, None)]
