@@ -6,8 +6,10 @@ Polygons are not objects here but rows: every ring becomes edge rows
 1. bounding box per polygon, exploded to the grid cells it covers;
 2. each point gets its grid cell; equi-join point cell = polygon cell, keep
    polygons whose bbox strictly contains the point (candidate pairs);
-3. edges are replicated to the horizontal stripes (grid rows) their y-range
-   touches; candidate pairs join the edges of their (pid, stripe) only;
+3. edges are replicated to the horizontal stripes their y-range touches
+   (stripe height = mean edge height, so a stripe of a polygon holds only
+   the few edges a horizontal line there crosses); candidate pairs join the
+   edges of their (pid, stripe) only;
 4. per (point, polygon): even-odd count of edges crossed by the ray to the
    right of the point, plus an exact on-boundary test; a point is contained
    when the count is odd and it lies on no edge (boundary excluded, all
@@ -88,24 +90,35 @@ def assign_neighbourhood(
     x_col: str = "longitude",
     y_col: str = "latitude",
     keep: tuple[str, ...] = (),
+    stripe_size: float | None = None,
 ) -> DataFrame:
     """``(id, *keep, pid, neighbourhood)``: the first polygon (smallest pid)
     strictly containing each point, NULL when none (or a NULL coordinate).
 
     ``points`` must have one row per ``id_col``; ``keep`` columns are carried
-    through (they must be functions of the id). ``cell_size`` is the grid cell
-    edge in coordinate units; by default the mean polygon bbox extent, computed
-    in the plan as a one-row aggregate."""
+    through (they must be functions of the id).
+
+    ``cell_size`` is the grid cell edge of the bbox join (default: the mean
+    polygon bbox extent, so a polygon covers a handful of cells).
+    ``stripe_size`` is the height of the horizontal stripes edges are filed
+    under (default: the mean edge height, so a stripe of a polygon holds only
+    the few edges a horizontal line through it crosses, not the whole ring).
+    Both defaults are one-row aggregates computed inside the plan."""
     bbox = polygon_bbox(edges)
+    sizes = None
     if cell_size is None:
         extent = F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))
-        size_row = bbox.agg(extent.alias("_cs")).select(
-            F.when(F.col("_cs") > 0, F.col("_cs")).otherwise(F.lit(1.0)).alias("_cs")
-        )
-        with_cs = lambda df: attach_one_row(df, size_row)
+        sizes = bbox.agg(extent.alias("_c"))
     else:
-        with_cs = lambda df: df.withColumn("_cs", F.lit(float(cell_size)))
-    cs = F.col("_cs")
+        sizes = bbox.agg(F.lit(float(cell_size)).alias("_c"))
+    if stripe_size is None:
+        sizes = sizes.crossJoin(edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("_s")))
+    else:
+        sizes = sizes.withColumn("_s", F.lit(float(stripe_size)))
+    cell = F.when(F.col("_c") > 0, F.col("_c")).otherwise(F.lit(1.0))
+    size_row = sizes.select(cell.alias("_cs"), F.when(F.col("_s") > 0, F.col("_s")).otherwise(cell).alias("_ss"))
+    with_cs = lambda df: attach_one_row(df, size_row)
+    cs, ss = F.col("_cs"), F.col("_ss")
 
     # polygon bbox -> covered grid cells
     cells = with_cs(bbox)
@@ -116,7 +129,7 @@ def assign_neighbourhood(
     # edges -> horizontal stripes their y-range touches
     stripes = with_cs(edges.select("pid", "x1", "y1", "x2", "y2"))
     stripes = stripes.withColumn("ylo", F.least("y1", "y2")).withColumn("yhi", F.greatest("y1", "y2"))
-    stripes = stripes.withColumn("sy", F.explode(F.sequence(_cell(F.col("ylo"), cs), _cell(F.col("yhi"), cs))))
+    stripes = stripes.withColumn("sy", F.explode(F.sequence(_cell(F.col("ylo"), ss), _cell(F.col("yhi"), ss))))
     stripes = stripes.select(F.col("pid").alias("e_pid"), "sy", "x1", "y1", "x2", "y2", "ylo", "yhi")
 
     pts = points.select(
@@ -127,7 +140,13 @@ def assign_neighbourhood(
     )
     located = with_cs(pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
     located = located.select(
-        "_id", *keep, "_x", "_y", _cell(F.col("_x"), cs).alias("pcx"), _cell(F.col("_y"), cs).alias("pcy")
+        "_id",
+        *keep,
+        "_x",
+        "_y",
+        _cell(F.col("_x"), cs).alias("pcx"),
+        _cell(F.col("_y"), cs).alias("pcy"),
+        _cell(F.col("_y"), ss).alias("psy"),
     )
 
     cand = located.join(
@@ -139,12 +158,12 @@ def assign_neighbourhood(
         & (located._y > cells.min_y)
         & (located._y < cells.max_y),
         "inner",
-    ).select("_id", *keep, "_x", "_y", "pcy", "pid")
+    ).select("_id", *keep, "_x", "_y", "psy", "pid")
 
     tested = cand.join(
         stripes,
         (cand.pid == stripes.e_pid)
-        & (cand.pcy == stripes.sy)
+        & (cand.psy == stripes.sy)
         & (cand._y >= stripes.ylo)
         & (cand._y <= stripes.yhi),
         "inner",
@@ -178,13 +197,14 @@ def _row_presence(assigned: DataFrame, test: DataFrame) -> DataFrame:
     either side, how often it occurs in each side (NULLs group together, like
     a set difference).
 
-    Both sides are unioned and hash-partitioned by ``id`` once; this grouping
-    and any later grouping or join on ``id`` are satisfied by that
-    partitioning, so each input is read and shuffled exactly once."""
+    Both sides are unioned and reduced by a partial + final aggregation on the
+    full row, so repeated rows (even a third of the input on one id) collapse
+    map-side before the shuffle; nothing is partitioned by ``id`` alone before
+    that reduction."""
     cols = ["id", "neighbourhood", "city"]
     m = assigned.select(*cols, F.lit(1).alias("_m"), F.lit(0).alias("_t"))
     t = test.select(*cols, F.lit(0).alias("_m"), F.lit(1).alias("_t"))
-    u = m.unionByName(t).repartition("id")
+    u = m.unionByName(t)
     return u.groupBy(*cols).agg(F.sum("_m").alias("m_rows"), F.sum("_t").alias("t_rows"))
 
 

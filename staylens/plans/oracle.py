@@ -71,7 +71,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT l_orderkey AS ok,
            CAST(count(*) AS DOUBLE) / 12.0::DOUBLE AS reviews_per_month,
-           '{' || array_to_string(list_sort(coalesce(list(p_name) FILTER (WHERE p_name IS NOT NULL), [])), ',') || '}'
+           '{' || array_to_string(list_sort(coalesce(list(DISTINCT p_name) FILTER (WHERE p_name IS NOT NULL), [])), ',') || '}'
                AS amenities
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
     GROUP BY l_orderkey""",

@@ -108,7 +108,7 @@ class TestTables:
                 li = li.join(part, li.l_partkey == part.p_partkey, "left")
                 aggs.append(
                     F.concat(
-                        F.lit("{"), F.array_join(F.array_sort(F.collect_list("p_name")), ","), F.lit("}")
+                        F.lit("{"), F.array_join(F.array_sort(F.collect_set("p_name")), ","), F.lit("}")
                     ).alias("amenities")
                 )
             if want_rpm:

@@ -61,8 +61,8 @@ def test_edges_close_rings_and_keep_parts(spark):
     assert bbox[1] == (11.0, 0.0, 16.0, 2.0)
 
 
-@pytest.mark.parametrize("cell_size", [None, 1.0, 3.5])
-def test_assignment_matches_brute_force(spark, cell_size):
+@pytest.mark.parametrize("cell_size,stripe_size", [(None, None), (1.0, None), (3.5, 0.75), (None, 20.0)])
+def test_assignment_matches_brute_force(spark, cell_size, stripe_size):
     polys = [CONCAVE, RECT, HOLED, TWO_PART, BIG]
     rnd = random.Random(7)
     pts = [(i, float(rnd.randint(-2, 42)) / 2, float(rnd.randint(-2, 42)) / 2) for i in range(400)]
@@ -71,7 +71,7 @@ def test_assignment_matches_brute_force(spark, cell_size):
             (1005, 1.0, 7.0), (1006, 15.0, 1.0), (1007, 12.0, 1.0), (1008, None, 1.0), (1009, 3.0, 3.0)]
     pdf = spark.createDataFrame(pts, "id long, longitude double, latitude double")
     edges = spatial.polygon_edges(features(spark, polys))
-    got = {r["id"]: r["pid"] for r in spatial.assign_neighbourhood(pdf, edges, cell_size=cell_size).collect()}
+    got = {r["id"]: r["pid"] for r in spatial.assign_neighbourhood(pdf, edges, cell_size=cell_size, stripe_size=stripe_size).collect()}
     want = {i: py_assign(polys, x, y) for i, x, y in pts}
     assert got == want
     assert want[1001] == 1 or want[1001] == 4  # on the shared edge: in neither square, so BIG
