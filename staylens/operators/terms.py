@@ -38,23 +38,34 @@ def listing_corpus(listings: DataFrame, neighbourhood_map: DataFrame) -> DataFra
     return listings.dropna(subset=["description"]).join(neighbourhood_map, "id", "inner")
 
 
-def term_counts(corpus: DataFrame, mode: str = "listing") -> DataFrame:
-    """``(key, term, n)``: occurrences of each term per document."""
-    key = _KEYS[mode]
+def _raw_counts(corpus: DataFrame, key: str) -> DataFrame:
     toks = corpus.where(F.col("description").isNotNull()).select(
         key, F.explode(text_tokens("description")).alias("term")
     )
-    counts = toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    # tokens are never NULL; stating it keeps every reference to these counts
+    # identical after filter inference, so Spark computes them once and
+    # reuses the exchange
+    toks = toks.where(F.col("term").isNotNull())
+    return toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def _join_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Join on ``key`` NULL-safely (a NULL id / neighbourhood is a document too)."""
+    r = right.withColumnRenamed(key, "_k")
+    return left.join(r, left[key].eqNullSafe(r["_k"]), "inner").drop("_k")
+
+
+def term_counts(corpus: DataFrame, mode: str = "listing") -> DataFrame:
+    """``(key, term, n)``: occurrences of each term per document."""
+    key = _KEYS[mode]
+    counts = _raw_counts(corpus, key)
     if mode == "listing":
         return counts
-    # neighbourhood documents: drop empty tokens unless the document has nothing else
-    has_words = counts.where(F.col("term") != "").groupBy(key).agg(F.lit(True).alias("_w"))
-    blank_only = (
-        counts.where(F.col("term") == "")
-        .join(has_words, key, "left_anti")
-        .select(key, "term", F.lit(1).cast("bigint").alias("n"))
-    )
-    return counts.where(F.col("term") != "").unionByName(blank_only)
+    # neighbourhood documents: drop empty tokens unless the document has no word
+    words = counts.groupBy(key).agg(F.sum(F.when(F.col("term") != "", F.col("n"))).alias("_words"))
+    j = _join_on_key(counts, words, key)
+    keep = (F.col("term") != "") | F.col("_words").isNull()
+    return j.where(keep).select(key, "term", F.when(F.col("term") == "", F.lit(1)).otherwise(F.col("n")).cast("bigint").alias("n"))
 
 
 def _n_documents(corpus: DataFrame, mode: str) -> DataFrame:
@@ -73,7 +84,10 @@ def document_frequency(corpus: DataFrame, mode: str = "listing", counts: DataFra
     made distinct; the count per term is partially aggregated map-side, so a
     term occurring everywhere is never gathered whole."""
     counts = counts if counts is not None else term_counts(corpus, mode)
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("df"))
+    # n >= 1 on every row, so this counts rows; referencing n keeps the counts
+    # subtree identical to the tf side's (a plain count would let the optimizer
+    # prune n), so the tokenising stage runs once and its exchange is reused
+    df = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).cast("bigint").alias("df"))
     df = attach_one_row(df, _n_documents(corpus, mode))
     return df.select("term", "df", (F.col("n_docs") / F.col("df").cast("double")).alias("idf"))
 
@@ -87,7 +101,7 @@ def term_frequency(counts: DataFrame, key: str) -> DataFrame:
     """``(key, term, n, total, tf)`` from term counts: document totals are an
     aggregate joined back on the key."""
     totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
-    return counts.join(totals, key, "inner").withColumn(
+    return _join_on_key(counts, totals, key).withColumn(
         "tf", F.col("n").cast("double") / F.col("total").cast("double")
     )
 
