@@ -144,3 +144,21 @@ def test_geojson_reader(spark, tmp_path):
     pts = spark.createDataFrame([(1, 3.0, 1.0), (2, 8.0, 1.0), (3, 6.0, 1.0)], "id long, longitude double, latitude double")
     got = rows(spatial.assign_neighbourhood(pts, spatial.polygon_edges(f)), "id", "neighbourhood")
     assert got == [(1, "concave"), (2, "rect"), (3, None)]
+
+
+def test_geojson_seq_reader(spark, tmp_path):
+    lines = [
+        json.dumps({"type": "Feature", "properties": {"neighbourhood": n, "neighbourhood_group": "g"},
+                    "geometry": {"type": "MultiPolygon", "coordinates": c}})
+        for n, c in [("concave", CONCAVE), ("rect", RECT), ("big", BIG)]
+    ]
+    p = tmp_path / "nb.geojsonl"
+    p.write_text("\n".join(lines) + "\n")
+    from staylens.sources import read_geojson_seq
+
+    f = read_geojson_seq(spark, str(p))
+    order = [r["neighbourhood"] for r in f.orderBy("pid").collect()]
+    assert order == ["concave", "rect", "big"]
+    pts = spark.createDataFrame([(1, 3.0, 1.0), (2, 6.0, 1.0), (3, 30.0, 1.0)], "id long, longitude double, latitude double")
+    got = rows(spatial.assign_neighbourhood(pts, spatial.polygon_edges(f)), "id", "neighbourhood")
+    assert got == [(1, "concave"), (2, "big"), (3, None)]
