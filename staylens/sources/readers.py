@@ -10,14 +10,27 @@ from staylens.sources import schemas
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Tab-separated text with a header line. With a schema, columns are typed on
-    read (an unparsable field becomes NULL); without one every column is a string.
-    Empty fields are NULL either way. The input is split across tasks by byte range.
+    """Tab-separated text with a header line; every field arrives as text and
+    an empty field is NULL.
+
+    Without ``schema`` all columns come back as strings under their header
+    names. With a schema, its fields are picked **by header name** (the real
+    listings file has ~95 columns, so a positional schema would misalign) and
+    converted with ``try_cast`` (an unparsable value becomes NULL instead of
+    failing the job). Only the selected columns are parsed (CSV column
+    pruning), and the file is split across tasks by byte range.
     """
-    reader = spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    raw = spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE").csv(path)
+    if schema is None:
+        return raw
+    return raw.select(
+        *[
+            (F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(
+                f.name
+            )
+            for f in schema.fields
+        ]
+    )
 
 
 def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
