@@ -109,6 +109,8 @@ def term_frequency(counts: DataFrame, key: str) -> DataFrame:
 def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
     """``(term, tf)`` of one document (a listing id or a neighbourhood)."""
     key = _KEYS[mode]
+    if mode == "listing" and not str(value).isdigit():
+        raise ValueError(f"listing id must be a non-negative integer, got {value!r}")
     one = corpus.where(F.col(key) == F.lit(value))
     counts = term_counts(one, mode)
     total = counts.agg(F.sum("n").cast("double").alias("total"))

@@ -38,7 +38,7 @@ def main():
 
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    keys = [a for a in args if not a.startswith("/")] or list(E.queries())
+    keys = [a for a in args if not a.startswith(("/", "--"))] or list(E.queries())
     spark = build_session(shuffle_partitions=16)
     for k in keys:
         df = E.queries()[k](spark, sf_dir)
@@ -55,7 +55,10 @@ def main():
                 counts.append(f"{pat.split('|')[0].replace('Exchange hashpartitioning', 'shuffle')}={n}")
         widest = max((s.count(":") for s in re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))), default=0)
-        print(f"{k:38s} {dt:5.1f}s widest_scan={widest:2d} " + " ".join(counts))
+        if "--md" in sys.argv:
+            print(f"| `{k}` | {widest} | " + ", ".join(counts) + " |")
+        else:
+            print(f"{k:38s} {dt:5.1f}s widest_scan={widest:2d} " + " ".join(counts))
     spark.stop()
 
 
