@@ -1,9 +1,9 @@
 """Alternative listings: same room type, cheaper than a cap, available on a
 date, within a radius, ranked by amenities shared with a chosen listing.
 
-The chosen listing is a one-row DataFrame (``limit(1)`` after an id filter),
-so broadcasting it is safe at any scale; it joins every candidate on
-``room_type`` as a broadcast hash join, which is also the room-type filter.
+The chosen listing is a one-row lookup (``limit(1)`` after an id filter)
+evaluated once as a scalar subquery; its fields are plain values in the
+candidate filters, so no join is needed to compare against it.
 Availability is a left-semi join with the calendar rows of that date (the
 date filter reaches the scan; the semi join de-duplicates repeated calendar
 rows). Distance and shared amenities are native expressions; the final top-n
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import amenity_list, count_found_in, haversine_km, money_b
-from staylens.plans.scalars import attach_one_row
+from staylens.plans.scalars import scalar_row
 from staylens.plans.topk import top_k
 
 
@@ -43,9 +43,9 @@ def listing_profile(listings: DataFrame, listing_id: int) -> DataFrame:
     return prof.orderBy("latitude", "longitude", "price", "room_type", "amenities").limit(1)
 
 
-def _chosen(listings: DataFrame, listing_id: int) -> DataFrame:
-    p = listing_profile(listings, listing_id)
-    return p.select(*[F.col(c).alias(f"c_{c}") for c in p.columns])
+def _chosen(listings: DataFrame, listing_id: int):
+    """The chosen listing's profile as a struct column (a scalar subquery)."""
+    return scalar_row(listing_profile(listings, listing_id))
 
 
 def available_on_date(calendar: DataFrame, date) -> DataFrame:
@@ -60,8 +60,7 @@ def distance_from_listing(listings: DataFrame, listing_id: int) -> DataFrame:
     """``(id, distance_km)`` from the chosen listing to every listing."""
     c = _chosen(listings, listing_id)
     lst = listings.select("id", F.col("latitude").cast("double"), F.col("longitude").cast("double"))
-    j = attach_one_row(lst, c)
-    return j.select("id", haversine_km("c_latitude", "c_longitude", "latitude", "longitude").alias("distance_km"))
+    return lst.select("id", haversine_km(c["latitude"], c["longitude"], "latitude", "longitude").alias("distance_km"))
 
 
 def common_amenities_with(listings: DataFrame, listing_id: int) -> DataFrame:
@@ -70,8 +69,9 @@ def common_amenities_with(listings: DataFrame, listing_id: int) -> DataFrame:
     tokens each count."""
     c = _chosen(listings, listing_id)
     lst = listings.where(F.col("amenities").isNotNull()).select("id", amenity_list("amenities").alias("amen"))
-    j = attach_one_row(lst, c)
-    return j.select("id", count_found_in("amen", "c_amenities").alias("common_amenities"))
+    # subqueries may not appear inside a lambda: bind the list to a column first
+    lst = lst.withColumn("c_amen", c["amenities"])
+    return lst.select("id", count_found_in("amen", "c_amen").alias("common_amenities"))
 
 
 def alternative_listings(
@@ -112,12 +112,13 @@ def alternative_listings(
         cand = cand.where(F.col("listing_id") != F.lit(listing_id))
     avail = available_on_date(calendar, date)
     cand = cand.join(avail, cand.listing_id == avail.listing_id, "left_semi")
-    j = attach_one_row(cand, c, on=cand.room_type == c.c_room_type)
-    cap = F.col("c_price") * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
-    j = j.where(F.col("price") <= cap)
-    j = j.withColumn("distance", haversine_km("c_latitude", "c_longitude", "latitude", "longitude"))
+    cap = c["price"] * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
+    j = cand.where((F.col("room_type") == c["room_type"]) & (F.col("price") <= cap))
+    j = j.withColumn("distance", haversine_km(c["latitude"], c["longitude"], "latitude", "longitude"))
     j = j.where(F.col("distance") < F.lit(float(max_km)))
-    j = j.withColumn("common_amenities", count_found_in("amen", "c_amenities"))
+    # subqueries may not appear inside a lambda: bind the list to a column first
+    j = j.withColumn("c_amen", c["amenities"])
+    j = j.withColumn("common_amenities", count_found_in("amen", "c_amen"))
     cols = ["listing_id", "name", "common_amenities", "distance", "price"]
     if wide:
         cols += ["latitude", "longitude", "host_name", "review_scores_rating"]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import amenity_tokens_raw
-from staylens.plans.scalars import attach_one_row
+from staylens.plans.scalars import scalar
 
 
 def polygon_edges(features: DataFrame, first_ring_only: bool = False) -> DataFrame:
@@ -103,31 +103,27 @@ def assign_neighbourhood(
     ``stripe_size`` is the height of the horizontal stripes edges are filed
     under (default: the mean edge height, so a stripe of a polygon holds only
     the few edges a horizontal line through it crosses, not the whole ring).
-    Both defaults are one-row aggregates computed inside the plan."""
+    Both defaults are one-row aggregates evaluated as a scalar subquery."""
     bbox = polygon_bbox(edges)
-    sizes = None
     if cell_size is None:
         extent = F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))
-        sizes = bbox.agg(extent.alias("_c"))
+        cs_raw = scalar(bbox.agg(extent))
     else:
-        sizes = bbox.agg(F.lit(float(cell_size)).alias("_c"))
+        cs_raw = F.lit(float(cell_size))
     if stripe_size is None:
-        sizes = sizes.crossJoin(edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("_s")))
+        ss_raw = scalar(edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1")))))
     else:
-        sizes = sizes.withColumn("_s", F.lit(float(stripe_size)))
-    cell = F.when(F.col("_c") > 0, F.col("_c")).otherwise(F.lit(1.0))
-    size_row = sizes.select(cell.alias("_cs"), F.when(F.col("_s") > 0, F.col("_s")).otherwise(cell).alias("_ss"))
-    with_cs = lambda df: attach_one_row(df, size_row)
-    cs, ss = F.col("_cs"), F.col("_ss")
+        ss_raw = F.lit(float(stripe_size))
+    cs = F.when(cs_raw > 0, cs_raw).otherwise(F.lit(1.0))
+    ss = F.when(ss_raw > 0, ss_raw).otherwise(cs)
 
     # polygon bbox -> covered grid cells
-    cells = with_cs(bbox)
-    cells = cells.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
+    cells = bbox.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
     cells = cells.withColumn("cy", F.explode(F.sequence(_cell(F.col("min_y"), cs), _cell(F.col("max_y"), cs))))
     cells = cells.select("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "cx", "cy")
 
     # edges -> horizontal stripes their y-range touches
-    stripes = with_cs(edges.select("pid", "x1", "y1", "x2", "y2"))
+    stripes = edges.select("pid", "x1", "y1", "x2", "y2")
     stripes = stripes.withColumn("ylo", F.least("y1", "y2")).withColumn("yhi", F.greatest("y1", "y2"))
     stripes = stripes.withColumn("sy", F.explode(F.sequence(_cell(F.col("ylo"), ss), _cell(F.col("yhi"), ss))))
     stripes = stripes.select(F.col("pid").alias("e_pid"), "sy", "x1", "y1", "x2", "y2", "ylo", "yhi")
@@ -138,8 +134,7 @@ def assign_neighbourhood(
         F.col(x_col).cast("double").alias("_x"),
         F.col(y_col).cast("double").alias("_y"),
     )
-    located = with_cs(pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
-    located = located.select(
+    located = pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).select(
         "_id",
         *keep,
         "_x",

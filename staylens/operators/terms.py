@@ -16,8 +16,8 @@ with no token at all keeps one empty token, as the concatenation would.
 Scale: token rows are reduced to (document, term, count) by a partial +
 final aggregation before any join; document totals and term frequencies are
 aggregates joined back on their key (no window over a whole document, no
-global sort); corpus-wide scalars are one-row aggregates broadcast to every
-row; top-k uses ``row_number() <= k`` (``WindowGroupLimit``) or
+global sort); corpus-wide scalars are scalar subqueries over one-row
+aggregates; top-k uses ``row_number() <= k`` (``WindowGroupLimit``) or
 ``TakeOrderedAndProject``.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import text_tokens
-from staylens.plans.scalars import attach_one_row
+from staylens.plans.scalars import scalar
 from staylens.plans.topk import top_k, top_k_per_group
 
 _KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
@@ -88,8 +88,8 @@ def document_frequency(corpus: DataFrame, mode: str = "listing", counts: DataFra
     # subtree identical to the tf side's (a plain count would let the optimizer
     # prune n), so the tokenising stage runs once and its exchange is reused
     df = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).cast("bigint").alias("df"))
-    df = attach_one_row(df, _n_documents(corpus, mode))
-    return df.select("term", "df", (F.col("n_docs") / F.col("df").cast("double")).alias("idf"))
+    n_docs = scalar(_n_documents(corpus, mode))
+    return df.select("term", "df", (n_docs / F.col("df").cast("double")).alias("idf"))
 
 
 def idf_by_listing(corpus: DataFrame) -> DataFrame:
@@ -113,8 +113,8 @@ def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
         raise ValueError(f"listing id must be a non-negative integer, got {value!r}")
     one = corpus.where(F.col(key) == F.lit(value))
     counts = term_counts(one, mode)
-    total = counts.agg(F.sum("n").cast("double").alias("total"))
-    return attach_one_row(counts, total).select("term", (F.col("n").cast("double") / F.col("total")).alias("tf"))
+    total = scalar(counts.agg(F.sum("n").cast("double").alias("total")))
+    return counts.select("term", (F.col("n").cast("double") / total).alias("tf"))
 
 
 def tfidf_top_terms(corpus: DataFrame, value, mode: str = "listing", k: int = 100) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Attaching query-wide scalars (corpus size, totals, a chosen row) to every row.
+"""Query-wide scalars (corpus size, totals, cell sizes, a chosen row) as
+scalar subqueries.
 
 The surveyed scripts pulled such values to the driver with ``count()`` /
-``collect()`` and shipped them back in closures. Here a scalar stays a one-row
-DataFrame inside the plan. A global aggregate (``agg`` without ``groupBy``) has
-exactly one row and a ``limit(1)`` at most one, so broadcasting it is safe at
-any data size; nothing else is broadcast by hand in this package (larger sides
-are left to AQE, which measures a side before turning a join into a broadcast).
+``collect()`` and shipped them back in closures. Here a scalar stays inside
+the plan as a scalar subquery (``DataFrame.scalar()``): Spark runs it once,
+before the main query, and inlines its single value. Spark raises an error if
+a scalar subquery yields more than one row, so the size bound is enforced,
+not assumed. Only global aggregates (exactly one row) and ``limit(1)``
+lookups are used this way; no join is needed to attach them, so no plan
+here contains a cross join.
 """
 
 from __future__ import annotations
@@ -14,12 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attach_one_row(df: DataFrame, one_row: DataFrame, on: Column | None = None) -> DataFrame:
-    """Join every row of ``df`` with a DataFrame that holds at most one row.
+def scalar(one_value: DataFrame) -> Column:
+    """The single value of a one-row, one-column DataFrame (NULL if it has no row)."""
+    return one_value.scalar()
 
-    ``one_row`` must be a global aggregate or end in ``limit(1)``; ``on`` is an
-    optional equi-condition (planned as a broadcast hash join, which also
-    filters), otherwise a broadcast nested-loop join against the single row."""
-    if on is None:
-        return df.crossJoin(F.broadcast(one_row))
-    return df.join(F.broadcast(one_row), on, "inner")
+
+def scalar_row(one_row: DataFrame) -> Column:
+    """The single row of a DataFrame with at most one row, as a struct column
+    (fields by column name; NULL if it has no row)."""
+    return one_row.select(F.struct(*one_row.columns).alias("row")).scalar()

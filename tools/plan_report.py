@@ -20,7 +20,8 @@ from staylens.session import build_session  # noqa: E402
 NODES = [
     "ShuffleExchange|Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|Exchange RoundRobin",
     "ReusedExchange",
-    "ReusedQueryStage|ReusedSubquery",
+    "ReusedSubquery",
+    "(?<!ReusedSubquery )Subquery subquery",
     "BroadcastExchange",
     "SortMergeJoin",
     "BroadcastHashJoin",
@@ -52,7 +53,8 @@ def main():
         for pat in NODES:
             n = sum(len(re.findall(p, plan)) for p in pat.split("|"))
             if n:
-                counts.append(f"{pat.split('|')[0].replace('Exchange hashpartitioning', 'shuffle')}={n}")
+                label = pat.split("|")[0].replace("(?<!ReusedSubquery )Subquery subquery", "ScalarSubquery")
+                counts.append(f"{label}={n}")
         widest = max((s.count(":") for s in re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))), default=0)
         if "--md" in sys.argv:
