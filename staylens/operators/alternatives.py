@@ -58,20 +58,19 @@ def available_on_date(calendar: DataFrame, date) -> DataFrame:
 
 def distance_from_listing(listings: DataFrame, listing_id: int) -> DataFrame:
     """``(id, distance_km)`` from the chosen listing to every listing."""
-    c = _chosen(listings, listing_id)
     lst = listings.select("id", F.col("latitude").cast("double"), F.col("longitude").cast("double"))
-    return lst.select("id", haversine_km(c["latitude"], c["longitude"], "latitude", "longitude").alias("distance_km"))
+    lst = lst.withColumn("_c", _chosen(listings, listing_id))
+    return lst.select("id", haversine_km("_c.latitude", "_c.longitude", "latitude", "longitude").alias("distance_km"))
 
 
 def common_amenities_with(listings: DataFrame, listing_id: int) -> DataFrame:
     """``(id, common_amenities)`` for every listing with amenities: how many of
     its (cleaned) amenity tokens occur in the chosen listing's list; repeated
     tokens each count."""
-    c = _chosen(listings, listing_id)
     lst = listings.where(F.col("amenities").isNotNull()).select("id", amenity_list("amenities").alias("amen"))
-    # subqueries may not appear inside a lambda: bind the list to a column first
-    lst = lst.withColumn("c_amen", c["amenities"])
-    return lst.select("id", count_found_in("amen", "c_amen").alias("common_amenities"))
+    # bind the subquery to a column once (it may not appear inside a lambda)
+    lst = lst.withColumn("_c", _chosen(listings, listing_id))
+    return lst.select("id", count_found_in("amen", "_c.amenities").alias("common_amenities"))
 
 
 def alternative_listings(
@@ -96,7 +95,6 @@ def alternative_listings(
     Output ``(listing_id, name, common_amenities, distance, price)``; ``wide``
     adds ``latitude, longitude, host_name, review_scores_rating`` (map export).
     """
-    c = _chosen(listings, listing_id)
     extra = ["host_name", "review_scores_rating"] if wide else []
     cand = listings.where(F.col("amenities").isNotNull()).select(
         F.col("id").alias("listing_id"),
@@ -112,13 +110,14 @@ def alternative_listings(
         cand = cand.where(F.col("listing_id") != F.lit(listing_id))
     avail = available_on_date(calendar, date)
     cand = cand.join(avail, cand.listing_id == avail.listing_id, "left_semi")
-    cap = c["price"] * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
-    j = cand.where((F.col("room_type") == c["room_type"]) & (F.col("price") <= cap))
-    j = j.withColumn("distance", haversine_km(c["latitude"], c["longitude"], "latitude", "longitude"))
+    # the chosen row is bound to one column (a single subquery reference; it
+    # may not appear inside the amenity lambda either)
+    j = cand.withColumn("_c", _chosen(listings, listing_id))
+    cap = F.col("_c.price") * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
+    j = j.where((F.col("room_type") == F.col("_c.room_type")) & (F.col("price") <= cap))
+    j = j.withColumn("distance", haversine_km("_c.latitude", "_c.longitude", "latitude", "longitude"))
     j = j.where(F.col("distance") < F.lit(float(max_km)))
-    # subqueries may not appear inside a lambda: bind the list to a column first
-    j = j.withColumn("c_amen", c["amenities"])
-    j = j.withColumn("common_amenities", count_found_in("amen", "c_amen"))
+    j = j.withColumn("common_amenities", count_found_in("amen", "_c.amenities"))
     cols = ["listing_id", "name", "common_amenities", "distance", "price"]
     if wide:
         cols += ["latitude", "longitude", "host_name", "review_scores_rating"]

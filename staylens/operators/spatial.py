@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import amenity_tokens_raw
-from staylens.plans.scalars import scalar
+from staylens.plans.scalars import scalar_row
 
 
 def polygon_edges(features: DataFrame, first_ring_only: bool = False) -> DataFrame:
@@ -104,26 +104,38 @@ def assign_neighbourhood(
     under (default: the mean edge height, so a stripe of a polygon holds only
     the few edges a horizontal line through it crosses, not the whole ring).
     Both defaults are one-row aggregates evaluated as a scalar subquery."""
-    bbox = polygon_bbox(edges)
-    if cell_size is None:
-        extent = F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))
-        cs_raw = scalar(bbox.agg(extent))
-    else:
-        cs_raw = F.lit(float(cell_size))
-    if stripe_size is None:
-        ss_raw = scalar(edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1")))))
-    else:
-        ss_raw = F.lit(float(stripe_size))
-    cs = F.when(cs_raw > 0, cs_raw).otherwise(F.lit(1.0))
-    ss = F.when(ss_raw > 0, ss_raw).otherwise(cs)
+    # one aggregation per polygon gives its bbox (exterior rings) and edge
+    # heights; both default sizes then come from one scalar subquery over it
+    ext = F.col("ring") == 0
+    bbox = edges.groupBy("pid", "neighbourhood").agg(
+        F.min(F.when(ext, F.least("x1", "x2"))).alias("min_x"),
+        F.min(F.when(ext, F.least("y1", "y2"))).alias("min_y"),
+        F.max(F.when(ext, F.greatest("x1", "x2"))).alias("max_x"),
+        F.max(F.when(ext, F.greatest("y1", "y2"))).alias("max_y"),
+        F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("sum_dy"),
+        F.count(F.lit(1)).alias("n_all"),
+    )
+    cs_val = F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))
+    ss_val = F.sum("sum_dy") / F.sum("n_all")
+    if cell_size is not None:
+        cs_val = F.lit(float(cell_size))
+    if stripe_size is not None:
+        ss_val = F.lit(float(stripe_size))
+    raw = bbox.agg(cs_val.alias("c"), ss_val.alias("s"))
+    cell = F.when(F.col("c") > 0, F.col("c")).otherwise(F.lit(1.0))
+    # one struct subquery; every branch binds it to a column once (each
+    # reference to a subquery is planned separately, so keep them few)
+    sizes = scalar_row(raw.select(cell.alias("cs"), F.when(F.col("s") > 0, F.col("s")).otherwise(cell).alias("ss")))
+    cs, ss = F.col("_sz.cs"), F.col("_sz.ss")
 
     # polygon bbox -> covered grid cells
-    cells = bbox.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
+    cells = bbox.where(F.col("min_x").isNotNull()).withColumn("_sz", sizes)
+    cells = cells.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
     cells = cells.withColumn("cy", F.explode(F.sequence(_cell(F.col("min_y"), cs), _cell(F.col("max_y"), cs))))
     cells = cells.select("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "cx", "cy")
 
     # edges -> horizontal stripes their y-range touches
-    stripes = edges.select("pid", "x1", "y1", "x2", "y2")
+    stripes = edges.select("pid", "x1", "y1", "x2", "y2").withColumn("_sz", sizes)
     stripes = stripes.withColumn("ylo", F.least("y1", "y2")).withColumn("yhi", F.greatest("y1", "y2"))
     stripes = stripes.withColumn("sy", F.explode(F.sequence(_cell(F.col("ylo"), ss), _cell(F.col("yhi"), ss))))
     stripes = stripes.select(F.col("pid").alias("e_pid"), "sy", "x1", "y1", "x2", "y2", "ylo", "yhi")
@@ -134,7 +146,8 @@ def assign_neighbourhood(
         F.col(x_col).cast("double").alias("_x"),
         F.col(y_col).cast("double").alias("_y"),
     )
-    located = pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).select(
+    located = pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).withColumn("_sz", sizes)
+    located = located.select(
         "_id",
         *keep,
         "_x",

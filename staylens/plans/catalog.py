@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.operators import alternatives, guests, hosts, pricing, profile, spatial, terms
-from staylens.sources.testdata import TestTables
+from staylens.sources.testdata import TestTables, tables_for
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the registered queries
@@ -49,7 +49,7 @@ def _round(df: DataFrame, digits: int) -> DataFrame:
 
 
 def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+    return tables_for(spark, sf_dir)
 
 
 ALL_LISTING_EXTRAS = ("host_listings_count", "reviews_per_month", "amenities")

@@ -30,7 +30,7 @@ of every registered query grows with the data.
 
 from __future__ import annotations
 
-from functools import cached_property
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,9 +73,16 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table as a lazy DataFrame. Each table is resolved once per
+        instance (Spark runs a small job to read parquet footers for every
+        ``read.parquet`` call); only the plan is kept, never the data."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
+
 
     # -- listings -----------------------------------------------------------
     def listings(self, extras: tuple[str, ...] = ()) -> DataFrame:
@@ -193,5 +200,11 @@ class TestTables:
         )
 
 
+@functools.lru_cache(maxsize=16)
+def tables_for(spark: SparkSession, sf_dir: str) -> TestTables:
+    """One shared ``TestTables`` per (session, directory)."""
+    return TestTables(spark, sf_dir)
+
+
 def _scaled(key: Column, mult: int, mod: int, base: float, span: float) -> Column:
     return F.lit(base) + ((key * mult) % mod).cast("double") / F.lit(float(mod)) * F.lit(span)
