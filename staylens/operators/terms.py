@@ -31,6 +31,9 @@ from staylens.plans.scalars import scalar
 from staylens.plans.topk import top_k, top_k_per_group
 
 _KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
+# Broadcast bound for one document's term set (one short string per row; a
+# million terms is tens of MB, far above any real description's vocabulary)
+MAX_BROADCAST_TERMS = 1_000_000
 
 
 def listing_corpus(listings: DataFrame, neighbourhood_map: DataFrame) -> DataFrame:
@@ -38,7 +41,7 @@ def listing_corpus(listings: DataFrame, neighbourhood_map: DataFrame) -> DataFra
     return listings.dropna(subset=["description"]).join(neighbourhood_map, "id", "inner")
 
 
-def _raw_counts(corpus: DataFrame, key: str) -> DataFrame:
+def _raw_counts(corpus: DataFrame, key: str, only_terms: DataFrame | None = None) -> DataFrame:
     toks = corpus.where(F.col("description").isNotNull()).select(
         key, F.explode(text_tokens("description")).alias("term")
     )
@@ -46,6 +49,8 @@ def _raw_counts(corpus: DataFrame, key: str) -> DataFrame:
     # identical after filter inference, so Spark computes them once and
     # reuses the exchange
     toks = toks.where(F.col("term").isNotNull())
+    if only_terms is not None:  # size-checked broadcast: a map-side filter, no shuffle
+        toks = toks.join(F.broadcast(only_terms), "term", "left_semi")
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
@@ -55,10 +60,13 @@ def _join_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(r, left[key].eqNullSafe(r["_k"]), "inner").drop("_k")
 
 
-def term_counts(corpus: DataFrame, mode: str = "listing") -> DataFrame:
-    """``(key, term, n)``: occurrences of each term per document."""
+def term_counts(corpus: DataFrame, mode: str = "listing", only_terms: DataFrame | None = None) -> DataFrame:
+    """``(key, term, n)``: occurrences of each term per document.
+
+    ``only_terms`` (a small ``(term)`` frame whose size the caller has checked)
+    restricts the result to those terms, filtering tokens before any shuffle."""
     key = _KEYS[mode]
-    counts = _raw_counts(corpus, key)
+    counts = _raw_counts(corpus, key, only_terms)
     if mode == "listing":
         return counts
     # neighbourhood documents: drop empty tokens unless the document has no word
@@ -117,11 +125,26 @@ def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
     return counts.select("term", (F.col("n").cast("double") / total).alias("tf"))
 
 
-def tfidf_top_terms(corpus: DataFrame, value, mode: str = "listing", k: int = 100) -> DataFrame:
+def tfidf_top_terms(
+    corpus: DataFrame, value, mode: str = "listing", k: int = 100, max_broadcast_terms: int = MAX_BROADCAST_TERMS
+) -> DataFrame:
     """``(term, weight)``: the ``k`` highest-weighted terms of one document
-    (weight desc, term asc). An unknown document gives an empty result."""
+    (weight desc, term asc). An unknown document gives an empty result.
+
+    Only the document's own terms need a document frequency. One small job
+    counts them; if there are at most ``max_broadcast_terms``, that term set
+    is broadcast and the corpus tokens are filtered against it map-side, so
+    the corpus-wide pass shuffles only (document, term) pairs of those terms
+    instead of the whole corpus vocabulary. Above the bound (or when the
+    document is blank, whose empty-token frequency needs every document) the
+    full document-frequency table is computed and joined instead."""
     tf = tf_one(corpus, value, mode)
-    idf = document_frequency(corpus, mode)
+    check = tf.agg(F.count(F.lit(1)).alias("n"), F.max((F.col("term") == "").cast("int")).alias("blank")).first()
+    if check["n"] <= max_broadcast_terms and not check["blank"]:
+        counts = term_counts(corpus, mode, only_terms=tf.select("term"))
+        idf = document_frequency(corpus, mode, counts)
+    else:
+        idf = document_frequency(corpus, mode)
     w = tf.join(idf, "term", "inner").select("term", (F.col("tf") * F.col("idf")).alias("weight"))
     return top_k(w, [F.desc("weight"), F.asc("term")], k)
 

@@ -73,3 +73,13 @@ def test_corpus_join(spark):
     lst = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id long, description string")
     nb = spark.createDataFrame([(1, "n1"), (3, "n3"), (4, "n4")], "id long, neighbourhood string")
     assert rows(terms.listing_corpus(lst, nb)) == [(1, "a", "n1"), (3, "c", "n3")]
+
+
+def test_single_document_paths_agree(spark):
+    c = corpus(spark)
+    for mode, value in (("listing", 1), ("listing", 3), ("neighbourhood", "n1"), ("neighbourhood", "n3")):
+        fast = rows(terms.tfidf_top_terms(c, value, mode, 50))
+        full = rows(terms.tfidf_top_terms(c, value, mode, 50, max_broadcast_terms=0))
+        assert fast == full, (mode, value)
+    # a wordless neighbourhood keeps its single empty token (falls back to the full table)
+    assert rows(terms.tfidf_top_terms(c, "n3", "neighbourhood", 5), "term") == [("",)]
