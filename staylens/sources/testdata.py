@@ -155,22 +155,23 @@ class TestTables:
 
     # -- polygons and points -------------------------------------------------
     def features(self) -> DataFrame:
-        """One GeoJSON-shaped MultiPolygon feature per supplier (pid = s_suppkey)."""
+        """One GeoJSON-shaped MultiPolygon feature per supplier (pid = s_suppkey):
+        the supplier's shape template (a literal array) shifted to its cell."""
         s = self.raw("supplier")
         k = F.col("s_suppkey")
         ox = ((k % GRID_COLUMNS) * CELL).cast("double")
         oy = (F.floor(k / GRID_COLUMNS) * CELL).cast("double")
-
-        def point(dx: int, dy: int) -> Column:
-            return F.array(ox + F.lit(float(dx)), oy + F.lit(float(dy)))
-
-        def shape(parts) -> Column:
-            return F.array(*[F.array(*[F.array(*[point(*p) for p in closed(r)]) for r in rings]) for rings in parts])
-
-        coords = None
-        for i, parts in enumerate(SHAPES):
-            cond = (k % len(SHAPES)) == i
-            coords = F.when(cond, shape(parts)) if coords is None else coords.when(cond, shape(parts))
+        templates = F.lit([[[list(map(list, closed(r))) for r in rings] for rings in parts] for parts in SHAPES])
+        shape = F.element_at(templates, (k % len(SHAPES) + 1).cast("int"))
+        coords = F.transform(
+            shape,
+            lambda rings: F.transform(
+                rings,
+                lambda ring: F.transform(
+                    ring, lambda p: F.array(ox + p[0].cast("double"), oy + p[1].cast("double"))
+                ),
+            ),
+        )
         return s.select(
             k.alias("pid"),
             F.col("s_name").alias("neighbourhood"),
