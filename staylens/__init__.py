@@ -10,8 +10,8 @@ functions  column expressions (money parsing, case folding, tokenising, haversin
 sources    schemas, TSV / GeoJSON readers, delimited writers, test-table adapters
 operators  the query-level operators (profile, pricing, hosts, guests, spatial,
            terms, alternatives)
-plans      reusable plan shapes (top-k per group, scalar subqueries,
-           plan inspection) and the registry of runnable queries + SQL oracles
+plans      reusable plan shapes (top-k per group, scalar subqueries) and the
+           registry of runnable queries with their DuckDB SQL oracles
 streaming  intentionally empty: the surveyed workload is batch only
 """
 
