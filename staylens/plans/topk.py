@@ -21,7 +21,11 @@ def top_k_per_group(
 ) -> DataFrame:
     """Keep the first ``k`` rows of each ``keys`` group under ``order`` and add a
     1-based ``rank_col`` (BIGINT). ``order`` must be a total order for a
-    deterministic result (end it with a unique column)."""
+    deterministic result (end it with a unique column).
+
+    Spark inserts the bounding ``WindowGroupLimit`` only while ``k`` is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000); the
+    operators here use k of 3 to 100."""
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn(rank_col, F.row_number().over(w))
     return ranked.where(F.col(rank_col) <= k).withColumn(rank_col, F.col(rank_col).cast("bigint"))
