@@ -131,20 +131,33 @@ def tfidf_top_terms(
     """``(term, weight)``: the ``k`` highest-weighted terms of one document
     (weight desc, term asc). An unknown document gives an empty result.
 
-    Only the document's own terms need a document frequency. One small job
-    counts them; if there are at most ``max_broadcast_terms``, that term set
-    is broadcast and the corpus tokens are filtered against it map-side, so
-    the corpus-wide pass shuffles only (document, term) pairs of those terms
-    instead of the whole corpus vocabulary. Above the bound (or when the
-    document is blank, whose empty-token frequency needs every document) the
-    full document-frequency table is computed and joined instead."""
-    tf = tf_one(corpus, value, mode)
-    check = tf.agg(F.count(F.lit(1)).alias("n"), F.max((F.col("term") == "").cast("int")).alias("blank")).first()
-    if check["n"] <= max_broadcast_terms and not check["blank"]:
-        counts = term_counts(corpus, mode, only_terms=tf.select("term"))
-        idf = document_frequency(corpus, mode, counts)
+    Listing mode: only the listing's own terms need a document frequency. One
+    small job counts them; if there are at most ``max_broadcast_terms``, that
+    term set is broadcast and the corpus tokens are filtered against it
+    map-side, so the corpus-wide pass shuffles only (listing, term) pairs of
+    those terms instead of the whole vocabulary of every listing. Above the
+    bound (or for a blank listing, whose empty-token frequency needs every
+    document) the full document-frequency table is computed and joined.
+
+    Neighbourhood mode: a neighbourhood's vocabulary is a large share of the
+    corpus vocabulary and the (neighbourhood, term) table is already compact,
+    so tf and df both read one (neighbourhood, term, count) table: the corpus
+    is tokenised once."""
+    if mode == "listing":
+        tf = tf_one(corpus, value, mode)
+        check = tf.agg(
+            F.count(F.lit(1)).alias("n"), F.max((F.col("term") == "").cast("int")).alias("blank")
+        ).first()
+        if check["n"] <= max_broadcast_terms and not check["blank"]:
+            idf = document_frequency(corpus, mode, term_counts(corpus, mode, only_terms=tf.select("term")))
+        else:
+            idf = document_frequency(corpus, mode)
     else:
-        idf = document_frequency(corpus, mode)
+        counts = term_counts(corpus, mode)
+        one = counts.where(F.col(_KEYS[mode]) == F.lit(value))
+        total = scalar(one.agg(F.sum("n").cast("double").alias("total")))
+        tf = one.select("term", (F.col("n").cast("double") / total).alias("tf"))
+        idf = document_frequency(corpus, mode, counts)
     w = tf.join(idf, "term", "inner").select("term", (F.col("tf") * F.col("idf")).alias("weight"))
     return top_k(w, [F.desc("weight"), F.asc("term")], k)
 
