@@ -1,27 +1,27 @@
 """Neighbourhood polygons and the distributed point-in-polygon join.
 
 Polygons are not objects here but rows: every ring becomes edge rows
-``(pid, part, ring, i, x1, y1, x2, y2)``. Containment is then a join:
-
-1. bounding box per polygon, exploded to the grid cells it covers;
-2. each point gets its grid cell; equi-join point cell = polygon cell, keep
-   polygons whose bbox strictly contains the point (candidate pairs);
-3. edges are replicated to the horizontal stripes their y-range touches
-   (stripe height = mean edge height, so a stripe of a polygon holds only
-   the few edges a horizontal line there crosses); candidate pairs join the
-   edges of their (pid, stripe) only;
-4. per (point, polygon): even-odd count of edges crossed by the ray to the
-   right of the point, plus an exact on-boundary test; a point is contained
-   when the count is odd and it lies on no edge (boundary excluded, all
-   parts and holes honoured);
-5. per point the smallest pid (first polygon in file order) wins; points
+``(pid, part, ring, i, x1, y1, x2, y2)``. Containment is then an equi-join
+against a spatial index built from those rows:
+
+1. bounding box per polygon, exploded to the grid cells it covers, and each
+   cell to the horizontal bands (mean edge height) it spans;
+2. edges filed under the bands their y-range touches, per (polygon, band);
+3. the index has exactly one row per (cell x, cell y, band) key, listing the
+   candidate polygons of that cell with their bbox and their edges in that
+   band;
+4. each point computes its key and equi-joins at most one index row; on that
+   row, higher-order functions test each candidate: strict bbox, even-odd
+   count of edges crossed by the ray to the right of the point, and an exact
+   on-edge test (boundary excluded, all parts and holes honoured);
+5. the smallest containing pid (first polygon in file order) wins; points
    with no containing polygon get NULL.
 
-All joins are equi-joins on small keys; with AQE on, a hot cell or stripe
-(one neighbourhood holding a third of the points) is split across tasks by the
-skew-join handling, the polygon side of each key being small. The crossing
-test uses cross products only (no division), so it is exact for integer
-coordinates and never divides by a horizontal edge.
+The point side is never aggregated or multiplied: when the index is small
+(Spark broadcasts it after measuring it) assigning points is map-only;
+otherwise points are shuffled once by key and AQE splits a hot cell. The
+crossing test uses cross products only (no division), so it is exact for
+integer coordinates and never divides by a horizontal edge.
 """
 
 from __future__ import annotations
@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 from staylens.functions import amenity_tokens_raw
 from staylens.plans.scalars import scalar_row
 
+# Fixed value: most horizontal edge bands per grid cell (bounds the index size
+# when edges are much shorter than polygons)
+MAX_BANDS_PER_CELL = 64
+
 
 def polygon_edges(features: DataFrame, first_ring_only: bool = False) -> DataFrame:
     """Features ``(pid, neighbourhood, neighbourhood_group, coordinates)`` ->
@@ -92,18 +96,25 @@ def assign_neighbourhood(
     keep: tuple[str, ...] = (),
     stripe_size: float | None = None,
 ) -> DataFrame:
-    """``(id, *keep, pid, neighbourhood)``: the first polygon (smallest pid)
-    strictly containing each point, NULL when none (or a NULL coordinate).
-
-    ``points`` must have one row per ``id_col``; ``keep`` columns are carried
-    through (they must be functions of the id).
-
-    ``cell_size`` is the grid cell edge of the bbox join (default: the mean
-    polygon bbox extent, so a polygon covers a handful of cells).
-    ``stripe_size`` is the height of the horizontal stripes edges are filed
-    under (default: the mean edge height, so a stripe of a polygon holds only
-    the few edges a horizontal line through it crosses, not the whole ring).
-    Both defaults are one-row aggregates evaluated as a scalar subquery."""
+    """``(id, *keep, pid, neighbourhood)``: per point row, the first polygon
+    (smallest pid) strictly containing it; NULL when none (or a NULL
+    coordinate). ``keep`` columns of ``points`` are carried through.
+
+    ``cell_size`` is the grid cell edge (default: the mean polygon bbox
+    extent, so a polygon covers a handful of cells). ``stripe_size`` is the
+    height of the horizontal bands edges are filed under (default: the mean
+    edge height, at least 1/64 of a cell, so a band of a polygon holds only
+    the few edges a horizontal line through it crosses). Both defaults come
+    from one scalar subquery over the polygons.
+
+    Plan: the polygons are turned into a spatial index with exactly one row
+    per (cell x, cell y, band) key, holding every candidate polygon of that
+    cell with its bbox and its edges in that band. Each point computes its key
+    and equi-joins at most one index row (no row multiplication); containment
+    is then evaluated on that row with higher-order functions. Points are
+    never aggregated: with a small index (Spark broadcasts it after
+    measuring it) the point side is map-only, otherwise it is shuffled once
+    by key (AQE splits a hot cell)."""
     # one aggregation per polygon gives its bbox (exterior rings) and edge
     # heights; both default sizes then come from one scalar subquery over it
     ext = F.col("ring") == 0
@@ -123,31 +134,48 @@ def assign_neighbourhood(
         ss_val = F.lit(float(stripe_size))
     raw = bbox.agg(cs_val.alias("c"), ss_val.alias("s"))
     cell = F.when(F.col("c") > 0, F.col("c")).otherwise(F.lit(1.0))
+    band = F.when(F.col("s") > 0, F.greatest(F.col("s"), cell / F.lit(float(MAX_BANDS_PER_CELL)))).otherwise(cell)
     # one struct subquery; every branch binds it to a column once (each
     # reference to a subquery is planned separately, so keep them few)
-    sizes = scalar_row(raw.select(cell.alias("cs"), F.when(F.col("s") > 0, F.col("s")).otherwise(cell).alias("ss")))
+    sizes = scalar_row(raw.select(cell.alias("cs"), band.alias("ss")))
     cs, ss = F.col("_sz.cs"), F.col("_sz.ss")
 
-    # polygon bbox -> covered grid cells
+    # polygon bbox -> covered grid cells -> the bands of each cell (one band of
+    # slack on both sides absorbs rounding between the two floor divisions)
     cells = bbox.where(F.col("min_x").isNotNull()).withColumn("_sz", sizes)
     cells = cells.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
     cells = cells.withColumn("cy", F.explode(F.sequence(_cell(F.col("min_y"), cs), _cell(F.col("max_y"), cs))))
-    cells = cells.select("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "cx", "cy")
+    lo = F.floor(F.col("cy") * cs / ss) - 1
+    hi = F.floor((F.col("cy") + 1) * cs / ss) + 1
+    cells = cells.withColumn("sy", F.explode(F.sequence(lo, hi)))
+    cells = cells.select("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "cx", "cy", "sy")
+
+    # edges -> the bands their y-range touches, gathered per (polygon, band)
+    bands = edges.select("pid", "x1", "y1", "x2", "y2").withColumn("_sz", sizes)
+    bands = bands.withColumn(
+        "sy", F.explode(F.sequence(_cell(F.least("y1", "y2"), ss), _cell(F.greatest("y1", "y2"), ss)))
+    )
+    bands = bands.groupBy(F.col("pid").alias("e_pid"), F.col("sy").alias("e_sy")).agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
+    )
 
-    # edges -> horizontal stripes their y-range touches
-    stripes = edges.select("pid", "x1", "y1", "x2", "y2").withColumn("_sz", sizes)
-    stripes = stripes.withColumn("ylo", F.least("y1", "y2")).withColumn("yhi", F.greatest("y1", "y2"))
-    stripes = stripes.withColumn("sy", F.explode(F.sequence(_cell(F.col("ylo"), ss), _cell(F.col("yhi"), ss))))
-    stripes = stripes.select(F.col("pid").alias("e_pid"), "sy", "x1", "y1", "x2", "y2", "ylo", "yhi")
+    # index: one row per (cx, cy, sy) listing its candidate polygons; a band of
+    # a polygon without edges lies outside the polygon's y-range, so dropping
+    # it (inner join) never drops a containing polygon
+    idx = cells.join(bands, (cells.pid == bands.e_pid) & (cells.sy == bands.e_sy), "inner")
+    idx = idx.groupBy("cx", "cy", "sy").agg(
+        F.collect_list(
+            F.struct("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "edges")
+        ).alias("polys")
+    )
 
     pts = points.select(
         F.col(id_col).alias("_id"),
         *keep,
         F.col(x_col).cast("double").alias("_x"),
         F.col(y_col).cast("double").alias("_y"),
-    )
-    located = pts.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).withColumn("_sz", sizes)
-    located = located.select(
+    ).withColumn("_sz", sizes)
+    pts = pts.select(
         "_id",
         *keep,
         "_x",
@@ -156,47 +184,38 @@ def assign_neighbourhood(
         _cell(F.col("_y"), cs).alias("pcy"),
         _cell(F.col("_y"), ss).alias("psy"),
     )
+    j = pts.join(idx, (pts.pcx == idx.cx) & (pts.pcy == idx.cy) & (pts.psy == idx.sy), "left")
 
-    cand = located.join(
-        cells,
-        (located.pcx == cells.cx)
-        & (located.pcy == cells.cy)
-        & (located._x > cells.min_x)
-        & (located._x < cells.max_x)
-        & (located._y > cells.min_y)
-        & (located._y < cells.max_y),
-        "inner",
-    ).select("_id", *keep, "_x", "_y", "psy", "pid")
-
-    tested = cand.join(
-        stripes,
-        (cand.pid == stripes.e_pid)
-        & (cand.psy == stripes.sy)
-        & (cand._y >= stripes.ylo)
-        & (cand._y <= stripes.yhi),
-        "inner",
-    )
     x, y = F.col("_x"), F.col("_y")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    t = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
-    crosses = ((y1 > y) != (y2 > y)) & F.when(y2 > y1, t > 0).otherwise(t < 0)
-    on_edge = (t == 0) & (x >= F.least(x1, x2)) & (x <= F.greatest(x1, x2))
-    per_pair = tested.groupBy("_id", *keep, "pid").agg(
-        F.sum(crosses.cast("int")).alias("crossings"), F.max(on_edge).alias("on_edge")
-    )
-    hits = per_pair.where((F.col("crossings") % 2 == 1) & ~F.col("on_edge")).select("_id", *keep, "pid")
-
-    # every point once (NULL pid) plus its hits; the smallest pid wins. Only a
-    # long is aggregated (hash aggregation); names are joined afterwards from
-    # the polygon table (small: Spark broadcasts it when its measured size
-    # allows, else a shuffle join).
-    base = pts.select("_id", *keep, F.lit(None).cast("bigint").alias("pid"))
-    first = base.unionByName(hits.select("_id", *keep, F.col("pid").cast("bigint"))).groupBy("_id", *keep).agg(
-        F.min("pid").alias("pid")
-    )
-    names = bbox.select(F.col("pid").alias("n_pid"), "neighbourhood")
-    return first.join(names, first.pid == names.n_pid, "left").select(
-        F.col("_id").alias(id_col), *keep, "pid", "neighbourhood"
+
+    def tally(acc, e):
+        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+        t = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+        crosses = ((y1 > y) != (y2 > y)) & F.when(y2 > y1, t > 0).otherwise(t < 0)
+        on_edge = (
+            (t == 0)
+            & (x >= F.least(x1, x2))
+            & (x <= F.greatest(x1, x2))
+            & (y >= F.least(y1, y2))
+            & (y <= F.greatest(y1, y2))
+        )
+        return F.struct(
+            (acc["c"] + crosses.cast("int")).alias("c"), (acc["on"] | on_edge).alias("on")
+        )
+
+    def contains(p):
+        in_box = (x > p["min_x"]) & (x < p["max_x"]) & (y > p["min_y"]) & (y < p["max_y"])
+        zero = F.struct(F.lit(0).alias("c"), F.lit(False).alias("on"))
+        r = F.aggregate(p["edges"], zero, tally)
+        return in_box & (r["c"] % 2 == 1) & ~r["on"]
+
+    hits = F.filter("polys", contains)
+    first = F.array_min(F.transform(hits, lambda p: F.struct(p["pid"].alias("pid"), p["neighbourhood"].alias("nb"))))
+    return j.select(
+        F.col("_id").alias(id_col),
+        *keep,
+        first["pid"].cast("bigint").alias("pid"),
+        first["nb"].alias("neighbourhood"),
     )
 
 
