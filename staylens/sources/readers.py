@@ -54,15 +54,23 @@ def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     ``pid`` is derived from the line order with ``monotonically_increasing_id``
     (increasing in file order, not dense), which is what first-match needs.
     """
-    rows = spark.read.schema(schemas.FEATURE).json(path)
+    rows = spark.read.schema(schemas.FEATURE_RAW).json(path)
     rows = rows.select(F.monotonically_increasing_id().alias("pid"), F.struct(*rows.columns).alias("f"))
     return _flatten_features(rows)
 
 
 def _flatten_features(rows: DataFrame) -> DataFrame:
+    """Features -> (pid, neighbourhood, neighbourhood_group, coordinates); a
+    Polygon geometry becomes a one-part MultiPolygon, other geometry types get
+    NULL coordinates (they contain no point)."""
+    raw = F.col("f.geometry.coordinates")
+    gtype = F.col("f.geometry.type")
+    coords = F.when(gtype == "MultiPolygon", F.from_json(raw, schemas.COORDINATES)).when(
+        gtype == "Polygon", F.array(F.from_json(raw, schemas.POLYGON_COORDINATES))
+    )
     return rows.select(
         F.col("pid").cast("bigint").alias("pid"),
         F.col("f.properties.neighbourhood").alias("neighbourhood"),
         F.col("f.properties.neighbourhood_group").alias("neighbourhood_group"),
-        F.col("f.geometry.coordinates").alias("coordinates"),
+        coords.alias("coordinates"),
     )

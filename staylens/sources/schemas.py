@@ -55,9 +55,10 @@ NEIGHBOURHOOD_TEST = T.StructType(
     ]
 )
 
-# A GeoJSON Feature whose geometry is a MultiPolygon:
-# coordinates[part][ring][point] = [x (longitude), y (latitude)]
+# MultiPolygon coordinates[part][ring][point] = [x (longitude), y (latitude)];
+# a Polygon has one nesting level less (coordinates[ring][point])
 COORDINATES = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
+POLYGON_COORDINATES = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 
 FEATURE = T.StructType(
     [
@@ -83,9 +84,22 @@ FEATURE = T.StructType(
     ]
 )
 
+# the same Feature with the coordinates left as JSON text, so Polygon and
+# MultiPolygon features can share one file and be parsed by geometry type
+FEATURE_RAW = T.StructType(
+    [
+        T.StructField(
+            "geometry",
+            T.StructType([T.StructField("coordinates", T.StringType()), T.StructField("type", T.StringType())]),
+        ),
+        FEATURE["properties"],
+        T.StructField("type", T.StringType()),
+    ]
+)
+
 FEATURE_COLLECTION = T.StructType(
     [
-        T.StructField("features", T.ArrayType(FEATURE)),
+        T.StructField("features", T.ArrayType(FEATURE_RAW)),
         T.StructField("type", T.StringType()),
     ]
 )

@@ -162,3 +162,21 @@ def test_geojson_seq_reader(spark, tmp_path):
     pts = spark.createDataFrame([(1, 3.0, 1.0), (2, 6.0, 1.0), (3, 30.0, 1.0)], "id long, longitude double, latitude double")
     got = rows(spatial.assign_neighbourhood(pts, spatial.polygon_edges(f)), "id", "neighbourhood")
     assert got == [(1, "concave"), (2, "big"), (3, None)]
+
+
+def test_geojson_mixed_polygon_and_multipolygon(spark, tmp_path):
+    feats = [
+        {"type": "Feature", "properties": {"neighbourhood": "poly", "neighbourhood_group": "g"},
+         "geometry": {"type": "Polygon", "coordinates": CONCAVE[0]}},
+        {"type": "Feature", "properties": {"neighbourhood": "multi", "neighbourhood_group": "g"},
+         "geometry": {"type": "MultiPolygon", "coordinates": TWO_PART}},
+        {"type": "Feature", "properties": {"neighbourhood": "pt", "neighbourhood_group": "g"},
+         "geometry": {"type": "Point", "coordinates": [1.0, 1.0]}},
+    ]
+    p = tmp_path / "mixed.geojson"
+    p.write_text(json.dumps({"type": "FeatureCollection", "features": feats}, indent=1))
+    f = read_geojson_features(spark, str(p))
+    assert rows(f.where("coordinates IS NULL"), "neighbourhood") == [("pt",)]
+    pts = spark.createDataFrame([(1, 3.0, 1.0), (2, 15.0, 1.0), (3, 1.0, 1.1)], "id long, longitude double, latitude double")
+    got = rows(spatial.assign_neighbourhood(pts, spatial.polygon_edges(f)), "id", "neighbourhood")
+    assert got == [(1, "poly"), (2, "multi"), (3, "poly")]
