@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from staylens.sources import schemas
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_tsv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """Tab-separated text with a header line; every field arrives as text and
     an empty field is NULL.
 
@@ -19,8 +21,15 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     converted with ``try_cast`` (an unparsable value becomes NULL instead of
     failing the job). Only the selected columns are parsed (CSV column
     pruning), and the file is split across tasks by byte range.
+
+    ``multi_line=True`` accepts quoted fields with embedded newlines (free-text
+    descriptions); Spark then parses each file in one task, so keep it off
+    for files without such fields.
     """
-    raw = spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE").csv(path)
+    reader = spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE")
+    if multi_line:
+        reader = reader.option("multiLine", True).option("escape", '"')
+    raw = reader.csv(path)
     if schema is None:
         return raw
     return raw.select(

@@ -1,3 +1,5 @@
+from pyspark.sql import types as T
+
 from conftest import rows
 from staylens.sources import read_tsv, write_delimited
 from staylens.sources import schemas
@@ -21,3 +23,12 @@ def test_tsv_roundtrip(spark, tmp_path):
     back = read_tsv(spark, str(out))
     assert rows(back) == rows(df)
     assert len([p for p in out.iterdir() if p.name.startswith("part-")]) == 1
+
+
+def test_tsv_multi_line_descriptions(spark, tmp_path):
+    src = tmp_path / "listings.tsv"
+    src.write_text('id\tdescription\tcity\n1\t"Sunny loft.\nNear the park"\tSeattle\n2\tplain\tNew York\n')
+    schema = T.StructType([f for f in schemas.LISTINGS.fields if f.name in ("id", "description", "city")])
+    df = read_tsv(spark, str(src), schema, multi_line=True)
+    assert rows(df, "id", "city") == [(1, "Seattle"), (2, "New York")]
+    assert [r["description"] for r in df.orderBy("id").collect()][0] == "Sunny loft.\nNear the park"
