@@ -18,8 +18,15 @@ from pyspark.sql import functions as F
 MONEY_A_DELETE = "$,"
 # money form B keeps only characters matching this class
 MONEY_B_DROP_PATTERN = r"[^0-9.]"
-# description tokeniser: a token is a maximal run of characters of this class
-TOKEN_RUN_PATTERN = r"[0-9a-z'\-&]+"
+# description tokeniser: a token is a maximal run of characters of the class
+# [0-9a-z'-&] after lower-casing. Matched case-insensitively (ASCII only), with
+# a second, anchored alternative that yields one empty token for a text
+# without any token character.
+TOKEN_RUN_PATTERN = r"(?i)[0-9a-z'\-&]+|^(?![\s\S]*[0-9a-z'\-&])"
+# the only non-ASCII characters whose simple lower-case mapping is ASCII:
+# LATIN CAPITAL LETTER I WITH DOT ABOVE -> i, KELVIN SIGN -> k
+NON_ASCII_UPPER = "\u0130\u212a"
+NON_ASCII_UPPER_LOWERED = "ik"
 # amenity cleaning for the alternatives query: characters outside this class are deleted
 AMENITY_CLEAN_DROP_PATTERN = r"[^0-9a-z,'/ \-]"
 # raw amenity splitting for the per-neighbourhood amenity list: these characters are deleted
@@ -64,15 +71,26 @@ def nights_per_year(reviews_per_month: Column | str) -> Column:
 
 
 def text_tokens(c: Column | str) -> Column:
-    """Tokens of a text: lower-case it, then take the maximal runs of
-    ``[0-9a-z'-&]`` characters (everything else separates tokens).
-
-    Equivalent to replacing every other character by a space, collapsing
-    spaces, trimming and splitting on a space, in one regex pass. A text
-    without any token character yields one empty token, like ``"".split(" ")``.
+    """Tokens of a text: the maximal runs of ``[0-9a-z'-&]`` characters of the
+    lower-cased text (everything else separates tokens), lower-cased. A text
+    without any token character yields one empty token, like
+    ``"".split(" ")``.
+
+    Equivalent to lower-casing the text (simple case mapping), replacing every
+    other character by a space, collapsing spaces, trimming and splitting on a
+    space, but done as one case-insensitive regex pass over the raw text plus
+    a lower-case of the (ASCII) tokens. Lower-casing the whole text first
+    would convert every non-ASCII text to UTF-16 and back. The two non-ASCII
+    capitals whose lower case is ASCII are folded first, only in texts that
+    contain them.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_RUN_PATTERN), 0)
-    return F.when(F.size(runs) == 0, F.array(F.lit(""))).otherwise(runs)
+    text = _col(c)
+    special = F.lit(False)
+    for ch in NON_ASCII_UPPER:
+        special = special | text.contains(ch)
+    folded = F.when(special, F.translate(text, NON_ASCII_UPPER, NON_ASCII_UPPER_LOWERED)).otherwise(text)
+    runs = F.regexp_extract_all(folded, F.lit(TOKEN_RUN_PATTERN), 0)
+    return F.transform(runs, lambda t: F.lower(t))
 
 
 def amenity_tokens_raw(c: Column | str) -> Column:

@@ -45,7 +45,7 @@ def py_tokens(text):
     """Reference definition: replace, collapse, strip, split."""
     import re
 
-    t = re.sub("[^0-9a-z'\\-&]", " ", text.lower())
+    t = re.sub("[^0-9a-z'\\-&]", " ", text.replace("\u0130", "i").lower())
     t = re.sub(" +", " ", t).strip()
     return t.split(" ")
 
@@ -62,6 +62,9 @@ def test_text_tokens_match_definition(spark):
     for s in samples:
         assert one(spark, s, text_tokens) == py_tokens(s), s
     assert one(spark, None, text_tokens) is None
+    # simple case mapping, as the surveyed (Python 2) code: dotted capital I and
+    # the Kelvin sign lower-case to ASCII letters and stay inside their token
+    assert one(spark, "\u0130stanbul 5\u212a", text_tokens) == ["istanbul", "5k"]
 
 
 def test_amenity_tokens(spark):

@@ -14,7 +14,7 @@ ALPHABET = "abcXYZ09 '-&.,$\t\n{}\"/éÉßΩ€İ!?"
 
 
 def py_tokens(text):
-    t = re.sub("[^0-9a-z'\\-&]", " ", text.lower())
+    t = re.sub("[^0-9a-z'\\-&]", " ", text.replace("\u0130", "i").lower())
     return re.sub(" +", " ", t).strip().split(" ")
 
 
