@@ -74,3 +74,17 @@ def test_cli(spark, tmp_path):
               "1", "2016-12-15", "10", "5", "3", "--out", str(out2)], spark=spark)
     alts = rows(read_tsv(spark, str(out2)), "listing_id", "common_amenities")
     assert alts == [("2", "2")]
+
+
+def test_cli_neighbourhood_and_include_self(spark, tmp_path):
+    setup_files(tmp_path)
+    out = tmp_path / "tfidf_nb"
+    cli.main(["tfidf", "--listings", str(tmp_path / "listings.tsv"), "--neighbourhoods", str(tmp_path / "nb.tsv"),
+              "--neighbourhood", "SoHo", "--out", str(out)], spark=spark)
+    got = {t: float(w) for t, w in rows(read_tsv(spark, str(out)))}
+    assert set(got) == {"busy", "loft"}  # SoHo = listing 3: "Busy loft"; N = 2 neighbourhoods
+    assert abs(got["busy"] - 0.5 * 2.0) < 1e-12 and abs(got["loft"] - 0.5 * 1.0) < 1e-12
+    out2 = tmp_path / "alts_self"
+    cli.main(["alternatives", "--listings", str(tmp_path / "listings.tsv"), "--calendar", str(tmp_path / "calendar.tsv"),
+              "2", "2016-12-15", "100", "5", "3", "--include-self", "--out", str(out2)], spark=spark)
+    assert [r[0] for r in rows(read_tsv(spark, str(out2)), "listing_id")] == ["2"]
