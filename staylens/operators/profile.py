@@ -15,8 +15,8 @@ STATE_SPELLINGS = {"NEW YORK": "NY"}
 
 def _long_values(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     cols = list(columns or df.columns)
-    as_text = df.select(*[ascii_upper(F.col(c).cast("string")).alias(c) for c in cols])
-    return as_text.unpivot([], cols, "column_name", "value")
+    as_text = df.select(*[ascii_upper(F.col(f"`{c}`").cast("string")).alias(c) for c in cols])
+    return as_text.unpivot([], [F.col(f"`{c}`") for c in cols], "column_name", "value")
 
 
 def profile_distinct_ci(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -36,9 +36,9 @@ def profile_distinct_approx(df: DataFrame, columns: Sequence[str] | None = None,
     partial sketches merged across the shuffle, no value is shuffled."""
     cols = list(columns or df.columns)
     sketches = df.agg(
-        *[F.approx_count_distinct(ascii_upper(F.col(c).cast("string")), rsd).alias(c) for c in cols]
+        *[F.approx_count_distinct(ascii_upper(F.col(f"`{c}`").cast("string")), rsd).alias(c) for c in cols]
     )
-    return sketches.unpivot([], cols, "column_name", "approx_distinct_count").select(
+    return sketches.unpivot([], [F.col(f"`{c}`") for c in cols], "column_name", "approx_distinct_count").select(
         "column_name", F.col("approx_distinct_count").cast("bigint")
     )
 

@@ -15,6 +15,12 @@ def test_profile_case_insensitive_ascii(spark):
     assert approx["c"] == 0 and approx["a"] == 2
 
 
+def test_profile_odd_column_names(spark):
+    df = spark.createDataFrame([("a", 1), ("A", 2)], "`host.name` string, value int")
+    assert dict(rows(profile.profile_distinct_ci(df))) == {"host.name": 1, "value": 2}
+    assert dict(rows(profile.profile_distinct_approx(df))) == {"host.name": 1, "value": 2}
+
+
 def test_distinct_values_and_normalised(spark):
     df = spark.createDataFrame([("New York",), ("new york",), ("NY",), (None,), ("Seattle",)], "city string")
     assert len(profile.distinct_values(df, "city").collect()) == 5  # NULL kept
