@@ -45,13 +45,14 @@ def profile_distinct_approx(df: DataFrame, columns: Sequence[str] | None = None,
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column``; NULL is kept as a value."""
-    return df.select(column).distinct()
+    return df.select(F.col(f"`{column}`")).distinct()
 
 
 def distinct_normalised(df: DataFrame, column: str, out_col: str = "value") -> DataFrame:
     """Drop NULLs, ASCII upper-case, map the known long spellings to their code,
     then de-duplicate."""
-    v = ascii_upper(F.col(column))
+    c = F.col(f"`{column}`")
+    v = ascii_upper(c)
     for long_form, code in STATE_SPELLINGS.items():
         v = F.when(v == long_form, F.lit(code)).otherwise(v)
-    return df.where(F.col(column).isNotNull()).select(v.alias(out_col)).distinct()
+    return df.where(c.isNotNull()).select(v.alias(out_col)).distinct()
