@@ -1,0 +1,15 @@
+"""The README operator table and PLANS.md name every registered query."""
+
+import os
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_every_key_is_documented():
+    import __spark_entry__ as E
+
+    readme = open(os.path.join(ROOT, "README.md")).read()
+    plans = open(os.path.join(ROOT, "PLANS.md")).read()
+    for key in E.queries():
+        assert f"`{key}`" in readme, key
+        assert f"`{key}`" in plans, key
