@@ -55,8 +55,8 @@ def _t(spark: SparkSession, sf_dir: str) -> TestTables:
 ALL_LISTING_EXTRAS = ("host_listings_count", "reviews_per_month", "amenities")
 
 
-def _assigned(t: TestTables) -> DataFrame:
-    edges = spatial.polygon_edges(t.features())
+def _assigned(t: TestTables, first_ring_only: bool = False) -> DataFrame:
+    edges = spatial.polygon_edges(t.features(), first_ring_only=first_ring_only)
     return spatial.assign_neighbourhood(t.listing_points(), edges, keep=("city",))
 
 
@@ -107,6 +107,8 @@ QUERIES: dict[str, Query] = {
     "polygon_edges": lambda s, d: spatial.polygon_edges(_t(s, d).features()),
     "polygon_bbox": lambda s, d: spatial.polygon_bbox(spatial.polygon_edges(_t(s, d).features())),
     "assign_neighbourhood": lambda s, d: _assigned(_t(s, d)),
+    # parity mode: only the first part's exterior ring, as the surveyed code did
+    "assign_neighbourhood_first_ring": lambda s, d: _assigned(_t(s, d), first_ring_only=True),
     "neighbourhood_disagreements": lambda s, d: spatial.neighbourhood_disagreements(
         _assigned(_t(s, d)), _t(s, d).neighbourhood_test()
     ),

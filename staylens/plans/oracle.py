@@ -134,6 +134,26 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           FROM points p JOIN edges e ON p.y >= least(e.y1, e.y2) AND p.y <= greatest(e.y1, e.y2))
     GROUP BY id, pid, neighbourhood""",
     ),
+    "edges_first": (("edges",), "SELECT * FROM edges WHERE part = 0 AND ring = 0"),
+    "pip_first": (
+        ("points", "edges_first"),
+        """SELECT id, pid, neighbourhood,
+           sum(CASE WHEN ((y1 > y) <> (y2 > y)) AND (CASE WHEN y2 > y1 THEN t > 0 ELSE t < 0 END)
+                    THEN 1 ELSE 0 END) AS crossings,
+           bool_or(t = 0 AND x >= least(x1, x2) AND x <= greatest(x1, x2)) AS on_edge
+    FROM (SELECT p.id, p.x, p.y, e.pid, e.neighbourhood, e.x1, e.y1, e.x2, e.y2,
+                 (e.x2 - e.x1) * (p.y - e.y1) - (p.x - e.x1) * (e.y2 - e.y1) AS t
+          FROM points p JOIN edges_first e ON p.y >= least(e.y1, e.y2) AND p.y <= greatest(e.y1, e.y2))
+    GROUP BY id, pid, neighbourhood""",
+    ),
+    "assigned_first": (
+        ("points", "pip_first", "features"),
+        """SELECT p.id, p.city, h.pid, f.neighbourhood
+    FROM points p
+    LEFT JOIN (SELECT id, min(pid) AS pid FROM pip_first WHERE crossings % 2 = 1 AND NOT on_edge GROUP BY id) h
+           ON p.id = h.id
+    LEFT JOIN features f ON h.pid = f.pid""",
+    ),
     "assigned": (
         ("points", "pip", "features"),
         """SELECT p.id, p.city, h.pid, f.neighbourhood
@@ -441,6 +461,9 @@ ORACLE: dict[str, str] = {
         "edges",
     ),
     "assign_neighbourhood": with_ctes("SELECT id, city, pid, neighbourhood FROM assigned", "assigned"),
+    "assign_neighbourhood_first_ring": with_ctes(
+        "SELECT id, city, pid, neighbourhood FROM assigned_first", "assigned_first"
+    ),
     "neighbourhood_disagreements": with_ctes("SELECT * FROM disagree", "disagree"),
     "neighbourhood_agreement_pct": with_ctes(
         f"""SELECT n_listings, n_disagreements, n_unlabelled,
