@@ -1,9 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are counted by cell (source x language x topic, as far as the targets name them). Raking
-scales the cells' weights to each target margin in turn, sweep after sweep. A document's inclusion
-probability is its cell's raked weight over the cell's tokens, scaled so that the largest is 1; the
-expected token shares of the sample are then the targets. Each document is drawn on its own by a
+scales the cells' weights to each target margin in turn, sweep after sweep, and never above the
+tokens that a cell has. A document's inclusion probability is its cell's raked weight over the
+cell's tokens; as long as no cell is exhausted, the expected token shares of the sample are the
+targets. Each document is drawn on its own by a
 hash of its key, so the sample doesn't depend on partitions and a retried task draws the same.
 
 Only DataFrame expressions are used. The number of cells is bounded by the targets (values that
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from staylens.llm.common import WORD, staged, text_or_empty, unique_name
 
 SWEEPS = 12
+#: Share of all tokens that the sample is to have.
+KEEP_SHARE = 0.4
 SEED = "mix-1"
 #: The category of all values that a margin doesn't name, NULL included.
 REST = "*"
@@ -44,20 +47,23 @@ def _target(cat: str, shares: dict[str, float]) -> Column:
     return out
 
 
-def rake(cells: DataFrame, targets: Targets, tokens: str = "tokens", sweeps: int = SWEEPS) -> DataFrame:
-    """``cells`` (one row per combination of the target columns) with ``weight``: the tokens raked to
-    the targets. Targets of categories without tokens go to the others in proportion."""
+def rake(
+    cells: DataFrame, targets: Targets, tokens: str = "tokens", share: float = KEEP_SHARE, sweeps: int = SWEEPS
+) -> DataFrame:
+    """``cells`` (one row per combination of the target columns) with ``weight``: the tokens to keep
+    of each cell, ``share`` of all, raked to the targets and never more than the cell has. Targets of
+    categories without tokens go to the others in proportion."""
     out = cells.where(F.col(tokens) > 0).repartition(1).withColumn("weight", F.col(tokens).cast("double"))
+    wanted = F.sum(tokens).over(Window.partitionBy(F.lit(1))) * F.lit(share)
+    out = out.withColumn("_wanted", wanted)
     for dim, shares in targets.items():
         out = out.withColumn(f"_t_{dim}", _target(dim, shares))
     for _ in range(sweeps):
         for dim in targets:
             now = F.sum("weight").over(Window.partitionBy(dim))
-            out = out.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(f"_t_{dim}") / now).otherwise(0.0))
-    total = F.sum("weight").over(Window.partitionBy(F.lit(1)))
-    return out.withColumn("weight", F.when(total > 0, F.col("weight") / total).otherwise(0.0)).drop(
-        *[f"_t_{d}" for d in targets]
-    )
+            raked = F.when(now > 0, F.col("weight") * F.col(f"_t_{dim}") * F.col("_wanted") / now).otherwise(0.0)
+            out = out.withColumn("weight", F.least(raked, F.col(tokens).cast("double")))
+    return out.drop("_wanted", *[f"_t_{d}" for d in targets])
 
 
 def with_probability(
@@ -67,6 +73,7 @@ def with_probability(
     values: dict[str, Column] | None = None,
     text: str = "text",
     key: str = "doc_id",
+    share: float = KEEP_SHARE,
     sweeps: int = SWEEPS,
     seed: str = SEED,
 ) -> DataFrame:
@@ -88,10 +95,9 @@ def with_probability(
     )
     cells = counted.groupBy(*cat.values()).agg(F.sum("n_tokens").alias("tokens"))
     raked = staged(
-        rake(cells.toDF(*targets, "tokens"), targets, sweeps=sweeps)
-        .withColumn("_ratio", F.col("weight") / F.col("tokens"))
-        .withColumn("_p", F.col("_ratio") / F.max("_ratio").over(Window.partitionBy(F.lit(1))))
-        .select(*[F.col(d).alias(c) for d, c in cat.items()], "_p"),
+        rake(cells.toDF(*targets, "tokens"), targets, share=share, sweeps=sweeps).select(
+            *[F.col(d).alias(c) for d, c in cat.items()], (F.col("weight") / F.col("tokens")).alias("_p")
+        ),
         "cells",
     )
     # one row for each cell of the targets, whatever the size of docs

@@ -141,10 +141,12 @@ def with_verdict(
         total = F.aggregate(b, F.lit(0.0), lambda a, x: a + F.get(table, x))
         return F.when(F.size(b) > 0, total / F.size(b))
 
-    # a subquery may not stand in a lambda, but the optimizer moves the column there
+    # A subquery may not stand in a lambda, but the optimizer moves the column there. The row id (always
+    # >= 0) keeps filters on llr or kept above this step; pushed below it, they would copy the array.
+    here = F.monotonically_increasing_id() >= 0
     scored = (
         stats.withColumn(table, weights.agg(in_order.alias("w")).scalar())
-        .withColumn("llr", let(_buckets(text_or_empty(text), n_buckets), mean_weight))
+        .withColumn("llr", F.when(here, let(_buckets(text_or_empty(text), n_buckets), mean_weight)))
         .drop(table)
     )
     return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr") >= min_llr, F.lit(False)))
