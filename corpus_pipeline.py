@@ -12,20 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import jaccard_join, mixing, packing, quality_llr, queries, toxicity
-from staylens.llm.common import shared_dir
+from staylens.llm.common import rows_that_pass, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_llr.with_verdict(docs, queries.trusted(spark, sf_dir))
-    return judged.where("kept").select(*docs.columns)
+    good = queries.trusted(spark, sf_dir)
+    return rows_that_pass(docs, quality_llr.RESULTS, lambda d: quality_llr.with_verdict(d, good).where("kept"))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under the threshold."""
     model = queries.toxicity_model(spark, sf_dir, docs)
-    scored = toxicity.with_score(docs, model, score="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    return rows_that_pass(
+        docs, ["toxicity"], lambda d: toxicity.with_score(d, model).where(F.col("toxicity") < toxicity.THRESHOLD)
+    )
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +36,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose token shares follow the target mix."""
-    drawn = mixing.with_probability(docs, queries.MIX_TARGETS, values={"topic": queries.topic()})
-    return drawn.where("kept").select(*docs.columns)
+
+    def draw(rows: DataFrame) -> DataFrame:
+        return mixing.with_probability(rows, queries.MIX_TARGETS, values={"topic": queries.topic()}).where("kept")
+
+    return rows_that_pass(docs, mixing.RESULTS, draw)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

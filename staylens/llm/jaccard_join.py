@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import bytes_words, runs_in_tasks, staged, unique_name
+from staylens.llm.common import bytes_words, runs_in_tasks, sorted_distinct, staged, unique_name
 
 runs_in_tasks(__name__)
 
@@ -68,7 +68,7 @@ def shingles(text: str | None, known: dict, n: int = N) -> np.ndarray:
         code ^= code >> np.uint64(29)
     code *= _MIX[1]
     code ^= code >> np.uint64(32)
-    return np.unique(code).view(np.int64)
+    return sorted_distinct(code).view(np.int64)
 
 
 def _sketch_slot(codes: np.ndarray, bits: int) -> np.ndarray:

@@ -25,6 +25,9 @@ SEED = "mix-1"
 #: The category of all values that a margin doesn't name, NULL included.
 REST = "*"
 
+#: Columns that ``with_probability`` adds.
+RESULTS = ["n_tokens", "probability", "kept"]
+
 Targets = dict[str, dict[str, float]]
 
 
@@ -84,7 +87,7 @@ def with_probability(
     are kept or dropped together; a NULL key counts as the empty string. Columns n_tokens,
     probability and kept of ``docs`` are replaced."""
     values = values or {}
-    taken = [c for c in docs.columns if c.lower() not in ("n_tokens", "probability", "kept")]
+    taken = [c for c in docs.columns if c.lower() not in RESULTS]
     cat = {}
     for dim in targets:
         cat[dim] = unique_name(taken + list(cat.values()), f"_{dim}_cat")

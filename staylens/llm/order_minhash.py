@@ -53,7 +53,7 @@ def _numbered(h: Column) -> Column:
             lambda b: F.flatten(F.transform(b, lambda at, r: run(at, F.coalesce(F.get(b, r + 1), F.size(s))))),
         )
 
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), plain).otherwise(let(F.array_sort(plain), by_runs))
+    return F.when(F.size(F.array_distinct(h)) == F.size(h), plain).otherwise(let(F.sort_array(plain), by_runs))
 
 
 def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int = BIN_BITS) -> Column:
@@ -75,7 +75,7 @@ def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int =
         def token(j: Column) -> Column:
             own = bin_of(F.get(chosen, j)["h"])
             members = F.filter(F.slice(chosen, j + 1, size), lambda e: bin_of(e["h"]) == own)
-            in_order = F.array_sort(F.transform(members, lambda e: F.struct(e["i"].alias("i"), e["h"].alias("h"))))
+            in_order = F.sort_array(F.transform(members, lambda e: F.struct(e["i"].alias("i"), e["h"].alias("h"))))
             tuple_hash = F.xxhash64(F.transform(in_order, lambda e: e["h"]))
             return own * F.lit(1 << 32) + F.shiftrightunsigned(tuple_hash, 32)
 
@@ -86,7 +86,7 @@ def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int =
 
         def with_place(hs: Column) -> Column:
             return F.transform(
-                let(F.array_sort(hs), smallest),
+                let(F.sort_array(hs), smallest),
                 lambda x: F.get(numbered, (F.array_position(hs, x) - 1).cast("int")),
             )
 

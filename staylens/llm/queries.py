@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import jaccard_join, mixing, packing, quality_llr, toxicity
+from staylens.llm import (
+    class_ngrams,
+    html_blocks,
+    jaccard_join,
+    license_scan,
+    mixing,
+    oracle,
+    order_minhash,
+    packing,
+    quality_llr,
+    sharding,
+    toxicity,
+)
 from staylens.llm.common import id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +33,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# -- LM scoring -------------------------------------------------------------------------------
+
+
+def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_crc32() % 7 == 2, F.lit(False))
+    model, vocabulary = class_ngrams.train(docs.where(~held_out))
+    scored = class_ngrams.score(docs, model, vocabulary)
+    return scored.withColumn("held_out", held_out)
+
+
 # -- quality rules ----------------------------------------------------------------------------
 
 
@@ -34,6 +57,20 @@ def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.with_verdict(docs, trusted(spark, sf_dir)).drop("text")
 
 
+# -- HTML extraction --------------------------------------------------------------------------
+
+
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# -- license scans ----------------------------------------------------------------------------
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 # -- mixing sources to target weights ---------------------------------------------------------
 
 #: Token shares. A source, language or topic without a share gets what the others leave.
@@ -62,6 +99,22 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- document fingerprints --------------------------------------------------------------------
+
+
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_check(_table(spark, sf_dir, "documents"))
+
+
+# -- sharding ---------------------------------------------------------------------------------
+
+SHARDS = 8
+
+
+def op7_jump_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.with_shard(_table(spark, sf_dir, "documents"), SHARDS).withColumn("law", F.lit("key"))
+
+
 # -- toxicity ---------------------------------------------------------------------------------
 
 
@@ -103,11 +156,20 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_class_lm": op1_class_lm,
     "op2_quality_llr": op2_quality_llr,
+    "op3_line_blocks": op3_line_blocks,
+    "op4_license_scan": op4_license_scan,
     "op5_mix": op5_mix,
+    "op6_order_minhash": op6_order_minhash,
+    "op7_jump_hash": op7_jump_hash,
     "op8_toxicity": op8_toxicity,
     "op9_pack": op9_pack,
     "op10_jaccard": op10_jaccard,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mix": oracle.mixing_sql(MIX_TARGETS, mixing.KEEP_SHARE, mixing.SWEEPS, mixing.SEED),
+    "op7_jump_hash": oracle.sharding_sql(SHARDS),
+    "op10_jaccard": oracle.jaccard_sql(jaccard_join.N, jaccard_join.PERCENT),
+}

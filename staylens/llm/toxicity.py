@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import runs_in_tasks, staged, unique_name
+from staylens.llm.common import runs_in_tasks, sorted_distinct, staged, unique_name
 
 runs_in_tasks(__name__)
 
@@ -72,8 +72,8 @@ def _present(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple
         if wanted is not None:
             hit = wanted[buckets]
             rows, buckets = rows[hit], buckets[hit]
-        keys.append(np.unique((rows.astype(np.int64) << HASH_BITS) | buckets))
-    key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        keys.append(sorted_distinct((rows.astype(np.int64) << HASH_BITS) | buckets))
+    key = sorted_distinct(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
     return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1)
 
 

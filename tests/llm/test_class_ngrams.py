@@ -1,0 +1,111 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+from helpers import WORD, no_docs, odd_docs
+
+from staylens.llm import class_ngrams as C
+from staylens.llm import queries as Q
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def tokens(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [*WORD.findall(lower), None]
+
+
+def test_base_score_and_gain(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
+    count = Counter(t for i, x in docs.items() if not held[i] for t in tokens(x))
+    n, v = sum(count.values()), len(count)
+    rows = {r["doc_id"]: r for r in Q.op1_class_lm(spark, SMALL).collect()}
+    for i, x in docs.items():
+        r, w = rows[i], tokens(x)
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held[i], len(w), n)
+        assert r["n_known"] == sum(count[t] > 0 for t in w)
+        base = sum(math.log10((count[t] + 1) / (n + v + 1)) for t in w)
+        assert abs(r["base_score"] - base) < 1e-6 * len(w)
+    out = [r for i, r in rows.items() if held[i]]
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_model_is_a_distribution_and_scores_match_brute_force(spark):
+    texts = ["a b a b c", "b a c a", "a c. b", "d e d e", "e d. e", "f", None, "A b\tc"] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    # few frequent words, so that the join with the vocabulary has work
+    model, vocabulary = C.train(docs, n_classes=3, own_units=2, ending_units=3, hot_words=4, sweeps=3)
+    count = {bytes(r["word"]): r["n"] for r in vocabulary.collect()}
+
+    def class_of(word):
+        rank = model.units.rank.get(word, -1)
+        return model.classes[rank if 0 <= rank < 2 else model.units.ending(word)]
+
+    end = len(model.class_tokens) - 1
+    for prev in range(end + 1):
+        mass = 10 ** model.transitions[prev, end]
+        for c in range(end):
+            words = [w for w in count if class_of(w) == c]
+            known = sum((count[w] - model.discount) / model.class_tokens[c] for w in words)
+            unknown = 10 ** C._unknown(model)[c]
+            assert abs(known + unknown - 1) < 1e-9
+            mass += 10 ** model.transitions[prev, c] * (known + unknown)
+        assert abs(mass - 1) < 1e-9
+    more = spark.createDataFrame([(100, "a zz b"), (101, ""), (102, "c. d e a"), (102, "c. d e a")], "doc_id long, text string")
+    rows = C.score(docs.union(more), model, vocabulary).collect()
+    assert len(rows) == len(texts) + 4
+    text_of = dict(enumerate(texts)) | {100: "a zz b", 101: "", 102: "c. d e a"}
+    for r in rows:
+        prev, want, known = end, 0.0, 0
+        for w in tokens(text_of[r["doc_id"]]):
+            c = end if w is None else class_of(w.encode())
+            want += model.transitions[prev, c]
+            if w is not None:
+                n = count.get(w.encode(), 0)
+                want += math.log10((n - model.discount) / model.class_tokens[c]) if n else C._unknown(model)[c]
+                known += n > 0
+            prev = c
+        assert abs(r["score"] - want) < 1e-9
+        assert r["n_known"] == known + 1
+
+
+def test_exchange_raises_the_likelihood():
+    rng = np.random.default_rng(5)
+    size, k = 40, 4
+    group = np.arange(size) % 3
+    pairs = rng.poisson(1 + 20 * (group[None, :] == (group[:, None] + 1) % 3)).astype(float)
+    start = rng.integers(0, k, size)
+    start[-1] = k
+    classes = start
+
+    def sums(c):
+        after, before = np.zeros((size, k + 1)), np.zeros((size, k + 1))
+        for u in range(size):
+            after[u] = np.bincount(c, pairs[u], minlength=k + 1)
+            before[u] = np.bincount(c, pairs[:, u], minlength=k + 1)
+        n = np.zeros((k + 1, k + 1))
+        np.add.at(n, c, after)
+        return after, before, n
+
+    values = []
+    for _ in range(4):
+        after, before, n = sums(classes)
+        values.append(C.likelihood(n))
+        classes = C.exchange_sweep(classes, after, before, np.diag(pairs).copy(), size - 1)
+    assert max(values[1:]) > values[0]
+    assert classes[-1] == k
+
+
+def test_odd_rows_and_no_rows(spark):
+    docs = odd_docs(spark)
+    model, vocabulary = C.train(docs, n_classes=4, own_units=10, ending_units=5, hot_words=20, sweeps=2)
+    rows = C.score(docs, model, vocabulary).collect()
+    assert len(rows) == docs.count()
+    empty = {r["score"] for r in rows if r["n_tokens"] == 1}
+    assert len(empty) == 1
+    model, vocabulary = C.train(no_docs(spark), n_classes=4, own_units=10, ending_units=5, sweeps=1)
+    rows = C.score(docs, model, vocabulary).collect()
+    assert {r["base_score"] for r in rows} == {0.0} and all(r["n_known"] == 0 for r in rows)
+    assert C.score(no_docs(spark), model, vocabulary).count() == 0

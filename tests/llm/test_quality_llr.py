@@ -1,0 +1,91 @@
+import math
+from collections import Counter
+
+import xxhash
+from helpers import ODD_TEXTS, WORD, no_docs, odd_docs
+
+from staylens.llm import quality_llr as L
+
+
+def stats(text):
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    runs = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    inside = {i + k for i in range(len(w) - 2) if runs[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    return (
+        len(w),
+        sum(map(len, w)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        len(inside),
+        len(w) < 50 or 100 * len(inside) > 50 * len(w),
+    )
+
+
+TEXTS = [
+    "a b c a b c d e f a b c",
+    "a a a a a",
+    "a a a",
+    "x y\nx y\n\n  \nx y\nz",
+    "### | $$ <b> & 100% *",
+    "\n\n",
+    *[t for _, t in ODD_TEXTS],
+    " ".join(f"w{i % 61}" for i in range(200)),
+    " ".join(f"w{i}" for i in range(60)) + " w1 w2 w3 w4 w9 w2 w3 w4",
+]
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_word_stats(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    for r in L.with_word_stats(docs).collect():
+        assert tuple(r[c] for c in NAMES) == stats(TEXTS[r["doc_id"]]), r["doc_id"]
+
+
+def test_llr_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(L, "BUCKET_BITS", 6)
+    good = [" ".join(f"g{(i * j) % 17} the" for i in range(40)) for j in range(1, 9)]
+    bad = [" ".join(f"g{(i * j) % 17}$$ $$" for i in range(40)) for j in range(1, 5)]
+    texts = good + bad + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trusted = spark.createDataFrame([(0,), (1,), (2,), (2,), (None,)], "doc_id long")
+    buckets = 64
+
+    def grams(text):
+        w = [x.encode() for x in WORD.findall(text or "")]
+        one = [xxhash.xxh64_intdigest(x, 42) for x in w]
+        as_bytes = [h.to_bytes(8, "little") for h in one]
+        two = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in zip(as_bytes, as_bytes[1:])]
+        return [h >> 58 for h in one + two]
+
+    raw = Counter(g for t in texts for g in grams(t))
+    target = Counter(g for t in texts[:3] for g in grams(t))
+    share = sum(target.values()) / sum(raw.values())
+    weight = [math.log((target[b] + L.PRIOR * share) / (share * (raw[b] + L.PRIOR))) for b in range(buckets)]
+    rows = {r["doc_id"]: r for r in L.with_verdict(docs, trusted).collect()}
+    for i, t in enumerate(texts):
+        g = grams(t)
+        if g:
+            assert abs(rows[i]["llr"] - sum(weight[b] for b in g) / len(g)) < 1e-9
+            assert rows[i]["kept"] == (not rows[i]["base_failed"] and rows[i]["llr"] >= L.MIN_LLR)
+        else:
+            assert rows[i]["llr"] is None and rows[i]["kept"] is False
+    assert min(rows[i]["llr"] for i in range(8)) > max(rows[i]["llr"] for i in range(8, 12))
+
+
+def test_filter_stays_above_the_score(spark):
+    docs, trusted = odd_docs(spark), odd_docs(spark).where("doc_id = 7")
+    plan = L.with_verdict(docs, trusted).where("kept").select(*docs.columns)._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert "AS _weights" not in text and "scalar-subquery" in text
+
+
+def test_odd_rows_and_no_rows(spark):
+    docs = odd_docs(spark)
+    out = L.with_verdict(docs, docs.where("doc_id < 3").select("doc_id"))
+    assert out.count() == docs.count()
+    assert [c for c in out.columns if c == "n_words"] == ["n_words"]
+    assert L.with_verdict(no_docs(spark), docs.select("doc_id")).count() == 0
+    # no trusted text: the target is empty, all rows still get a verdict
+    assert L.with_verdict(docs, no_docs(spark).select("doc_id")).where("kept is null").count() == 0
