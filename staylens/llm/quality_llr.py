@@ -134,11 +134,12 @@ def bucket_weights(
     ids = trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct().withColumn("_t", F.lit(1))
     both = docs.select(F.col(key).alias("_k"), text_or_empty(text).alias("_x")).join(ids, "_k", "left")
     # pairs by zipping the words with themselves, one on; the last word has no pair
-    pairs = let(words(F.col("_x")), lambda w: F.arrays_zip(w, F.slice(w, F.lit(2), F.size(w))))
-    at = both.select(F.explode(pairs).alias("p"), F.coalesce("_t", F.lit(0)).alias("_t")).select(
-        F.xxhash64(F.col("p").getField("0")).alias("one"), F.xxhash64(F.col("p").getField("1")).alias("next"), "_t", "p"
+    listed = both.select(words(F.col("_x")).alias("w"), F.coalesce("_t", F.lit(0)).alias("_t"))
+    pairs = F.explode(F.arrays_zip(F.col("w"), F.slice("w", F.lit(2), F.size("w")).alias("next")))
+    at = listed.select(pairs.alias("p"), "_t").select(
+        F.xxhash64("p.w").alias("one"), F.when(F.col("p.next").isNotNull(), F.xxhash64("p.next")).alias("next"), "_t"
     )
-    two = F.when(F.col("p").getField("1").isNotNull(), _bucket(F.xxhash64("one", "next")))
+    two = F.when(F.col("next").isNotNull(), _bucket(F.xxhash64("one", "next")))
     counted = (
         at.select(F.explode(F.array(_bucket(F.col("one")), two)).alias("bucket"), "_t")
         .where("bucket is not null")
@@ -174,13 +175,11 @@ def with_verdict(
     table = unique_name(stats.columns, "_weights")
 
     def mean_weight(h: Column) -> Column:
-        def of_place(x: Column, i: Column) -> Column:
-            return F.get(table, _bucket(x)) + F.get(table, _bucket(F.xxhash64(x, F.get(h, i + 1))))
-
-        total = F.aggregate(F.transform(h, of_place), F.lit(0.0), lambda a, x: a + x)
-        # the last word has no pair: the hash of it alone was taken for one
-        extra = F.get(table, _bucket(F.xxhash64(F.element_at(h, -1))))
-        return F.when(F.size(h) > 0, (total - extra) / (2 * F.size(h) - 1))
+        pairs = F.transform(h, lambda x, i: F.when(i + 1 < F.size(h), _bucket(F.xxhash64(x, F.get(h, i + 1)))))
+        buckets = F.concat(F.transform(h, _bucket), pairs)
+        # the only mention of the table, else it would become a column of every row
+        total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.coalesce(F.get(table, b), F.lit(0.0)))
+        return F.when(F.size(h) > 0, total / (2 * F.size(h) - 1))
 
     # A subquery may not stand in a lambda, but the optimizer moves the column there. The row id (always
     # >= 0) keeps filters on llr or kept above this step; pushed below it, they would copy the array.

@@ -27,7 +27,7 @@ runs_in_tasks(__name__)
 HASH_BITS = 18
 NGRAMS = (4, 5, 6)
 MAX_TRAIN_ROWS = 20_000
-N_FEATURES = 512
+N_FEATURES = 1024
 L2 = 1.0
 THRESHOLD = 0.7
 #: Bytes of text that a task hashes at a time.
@@ -108,17 +108,19 @@ def _hits(features: np.ndarray):
     return run
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = L2, steps: int = 12) -> tuple[np.ndarray, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = L2, steps: int = 10) -> tuple[np.ndarray, float]:
     """Newton's method for logistic regression with an L2 penalty on all but the intercept."""
-    x1 = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = np.zeros(x1.shape[1])
-    penalty = np.full(x1.shape[1], l2)
-    penalty[-1] = 1e-6
+    n, k = x.shape
+    w = np.zeros(k + 1)
+    penalty = np.append(np.full(k, l2), 1e-6)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        grad = x1.T @ (p - y) + penalty * w
-        curve = np.maximum(p * (1 - p), 1e-5).astype(x1.dtype)
-        step = np.linalg.solve((x1.T * curve) @ x1 + np.diag(penalty), grad)
+        grad, curve = penalty * w, np.diag(penalty)
+        for at in range(0, n, 4096):
+            part = np.hstack([x[at : at + 4096], np.ones((len(x[at : at + 4096]), 1), x.dtype)])
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            grad = grad + part.T @ (p - y[at : at + 4096])
+            curve = curve + (part.T * np.maximum(p * (1 - p), 1e-5).astype(x.dtype)) @ part
+        step = np.linalg.solve(curve, grad)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -192,7 +194,7 @@ def train(
     return Model(weights, bias)
 
 
-def _score_batches(model: Model):
+def _score_batches(model: Model, name: str):
     wanted = model.weights != 0
 
     def run(batches):
@@ -201,7 +203,7 @@ def _score_batches(model: Model):
             total = model.bias + np.bincount(rows, model.weights[buckets], minlength=b.num_rows)
             score = 1 / (1 + np.exp(-np.clip(total, -50, 50)))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(score)], names=[*b.schema.names[:-1], "score"]
+                [*b.columns[:-1], pa.array(score)], names=[*b.schema.names[:-1], name]
             )
 
     return run
@@ -214,6 +216,5 @@ def with_score(
     texts get the score of a text without any feature. A column of the name ``score`` is replaced."""
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != score.lower()]
     sent = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(unique_name(keep, "_text")))
-    out = sent.drop(sent.columns[-1]).withColumn("score", F.lit(0.0)).schema
-    scored = sent.mapInArrow(_score_batches(model), out)
-    return scored.withColumnRenamed(scored.columns[-1], score) if score != "score" else scored
+    out = sent.drop(sent.columns[-1]).withColumn(score, F.lit(0.0)).schema
+    return sent.mapInArrow(_score_batches(model, score), out)
