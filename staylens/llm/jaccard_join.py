@@ -9,9 +9,10 @@ product is exact, but only blocks that can hold a link are multiplied:
    two linked sets share one of the n - ceil(percent/100 * n) + 1 n-grams that come first in any
    common order. Rare n-grams come first (by a corpus-wide count sketch), so passages that many
    documents share hardly ever are among them.
-3. The smallest document that has such an n-gram is the hub of all others that have it. The rows
-   of a hub are a block of the incidence matrix, cut into tiles of ``TILE`` documents, each with
-   the hub. In a tile the product accumulates overlaps over column blocks of n-grams, and size
+3. Documents that share such an n-gram, in the order of their set sizes, are a block as long as no
+   gap between neighbours exceeds the bound on linked sizes. The first is the block's hub. A block's
+   rows of the incidence matrix are cut into tiles of about ``TILE`` documents (fewer long ones), each
+   with the hub. In a tile the product accumulates overlaps over column blocks of n-grams, and size
    bounds discard pairs before and after. A tile returns a spanning forest of its links.
 4. Components by label propagation with pointer jumping over these forests. Only a block whose
    tiles are still in several components has its cross-tile products taken, between documents of
@@ -30,15 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import bytes_words, runs_in_tasks, sorted_distinct, staged, unique_name
+from staylens.llm.common import bytes_words, runs_in_tasks, sorted_distinct, staged
 
 runs_in_tasks(__name__)
 
 N = 4
 PERCENT = 85
 #: Counters of the sketch that orders n-grams by rarity. A larger corpus wants more; any number is exact.
-SKETCH_BITS = 18
+SKETCH_BITS = 21
+#: Counters in a row of the sketch's table.
+_CHUNK = 1 << 16
 TILE = 512
+#: N-grams of a tile's documents, about; longer documents make smaller tiles.
+TILE_NGRAMS = 4_000_000
 #: Columns (n-grams) of an incidence block that are multiplied at a time.
 COLUMN_BLOCK = 8192
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
@@ -77,34 +82,79 @@ def _sketch_slot(codes: np.ndarray, bits: int) -> np.ndarray:
 
 def _describe(n: int, bits: int):
     """A row for each document: id, 128-bit hash of its set, set size; and rows with n_shingles -1
-    for the counters of the sketch: slot, count."""
+    for a task's part of the sketch: the number of a chunk of counters and the counters as bytes,
+    which stop at 255."""
 
     def run(batches):
         known, sketch = _Words(), np.zeros(1 << bits, np.int64)
         for b in batches:
-            out = []
+            out, held = [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, known, n)
-                if len(s):
-                    sketch += np.bincount(_sketch_slot(s, bits), minlength=1 << bits) if len(s) > 5000 else 0
-                    if len(s) <= 5000:
-                        np.add.at(sketch, _sketch_slot(s, bits), 1)
+                held.append(s)
                 d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), len(s)))
+                hash_parts = (int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))
+                out.append((*hash_parts, len(s)))
+            if held:
+                np.add.at(sketch, _sketch_slot(np.concatenate(held), bits), 1)
             hi, lo, size = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(size, pa.int64())],
-                names=["id", "hi", "lo", "n_shingles"],
+                [
+                    b.column(0),
+                    pa.array(hi, pa.int64()),
+                    pa.array(lo, pa.int64()),
+                    pa.array(size, pa.int64()),
+                    pa.nulls(len(out), pa.binary()),
+                ],
+                names=_SET_NAMES,
             )
-        used = np.flatnonzero(sketch)
+        parts = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, min(_CHUNK, 1 << bits))
+        used = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(used), pa.int64()), pa.array(used), pa.array(sketch[used]), pa.array(np.full(len(used), -1))],
-            names=["id", "hi", "lo", "n_shingles"],
+            [
+                pa.nulls(len(used), pa.int64()),
+                pa.array(used),
+                pa.nulls(len(used), pa.int64()),
+                pa.array(np.full(len(used), -1)),
+                pa.array([parts[c].tobytes() for c in used], pa.binary()),
+            ],
+            names=_SET_NAMES,
         )
 
     return run
 
 
+_SET_NAMES = ["id", "hi", "lo", "n_shingles", "counts"]
+_SET_SCHEMA = "id long, hi long, lo long, n_shingles long, counts binary"
+
+
+def _add_up(batches):
+    """Sums of the chunks of a partition."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for chunk, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            wide = np.frombuffer(counts, np.uint8 if len(counts) <= _CHUNK else np.int64).astype(np.int64)
+            total[chunk] = total[chunk] + wide if chunk in total else wide
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(total, pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+        names=["chunk", "counts"],
+    )
+
+
+def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
+    """The counters of all tasks. Each of a chunk's partitions is summed on its own as a stream."""
+    summed = (
+        parts.select(F.col("hi").alias("chunk"), "counts")
+        .repartition("chunk")
+        .mapInArrow(_add_up, "chunk long, counts binary")
+        .toArrow()
+    )
+    out = np.zeros((max(1, (1 << bits) // _CHUNK), min(_CHUNK, 1 << bits)), np.int64)
+    for chunk, counts in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True):
+        out[chunk] += np.frombuffer(counts, np.int64)
+    return out.ravel()
+
+
 def prefix(codes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     """The n-grams of a set of which two linked sets must share one: the first in the common order
     (count in the sketch, hash)."""
@@ -114,24 +164,49 @@ def prefix(codes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(n: int, percent: int, counts: np.ndarray):
+    """(token, size, id): the prefix of each set."""
+
     def run(batches):
         known = _Words()
         for b in batches:
-            found = [prefix(s, counts, percent) for s in (shingles(t, known, n) for t in b.column(1).to_pylist())]
-            sizes = np.array([len(x) for x in found], np.int64)
-            ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), sizes)
+            sets = [shingles(t, known, n) for t in b.column(1).to_pylist()]
+            found = [prefix(s, counts, percent) for s in sets]
+            lengths = np.array([len(x) for x in found], np.int64)
+            ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), lengths)
+            sizes = np.repeat(np.array([len(x) for x in sets], np.int64), lengths)
             tokens = np.concatenate(found) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ids, pa.int64())], names=["token", "id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens), pa.array(sizes.astype(np.int32)), pa.array(ids, pa.int64())],
+                names=["token", "size", "id"],
+            )
 
     return run
 
 
-def _sets(n: int):
+def _blocks(percent: int):
+    """(hub, id) from rows sorted by token, size and id, as a stream: a block ends with its token, or
+    where a size is too far above the one before for any link across."""
+
     def run(batches):
-        known = _Words()
+        last = None  # token, size and hub of the row before, and whether the hub has been told
         for b in batches:
-            sets = [shingles(t, known, n).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "codes"])
+            if not b.num_rows:
+                continue
+            token, size, ids = (b.column(i).to_numpy() for i in range(3))
+            before_token = np.concatenate([[last[0] if last else token[0]], token[:-1]])
+            before_size = np.concatenate([[last[1] if last else size[0]], size[:-1]]).astype(np.int64)
+            begins = (token != before_token) | (100 * before_size < percent * size)
+            begins[0] |= last is None
+            start = np.maximum.accumulate(np.where(begins, np.arange(len(ids)), -1))
+            hub = np.where(start >= 0, ids[start], last[2] if last else 0)
+            member = ~begins
+            # a hub is told with its first other member
+            first = member & np.concatenate([[bool(last) and not last[3]], begins[:-1]])
+            out_hub = np.concatenate([hub[member], hub[first]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_hub), pa.array(np.concatenate([ids[member], hub[first]]))], names=["hub", "id"]
+            )
+            last = (token[-1], size[-1], hub[-1], bool(member[-1]))
 
     return run
 
@@ -189,24 +264,19 @@ def _forest(ids: list[int], group: np.ndarray, link: np.ndarray) -> list[tuple[i
     return found
 
 
-def _tile_links(percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_pylist()
-        sets = [np.frombuffer(c, np.int64) for c in table.column("codes").to_pylist()]
-        link = linked(sets, percent)
-        found = _forest(ids, np.arange(len(ids)), link)
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
-
+def _links(n: int, percent: int):
+    """Spanning forest of the links between the texts of a tile. With a column ``label``, documents
+    of one label count as joined."""
 
-def _cross_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
+        known = _Words()
         ids = table.column("id").to_pylist()
-        sets = [np.frombuffer(c, np.int64) for c in table.column("codes").to_pylist()]
-        _, group = np.unique(np.array(table.column("label").to_pylist(), np.int64), return_inverse=True)
-        link = linked(sets, percent) & (group[:, None] != group[None, :])
+        sets = [shingles(t, known, n) for t in table.column("text").to_pylist()]
+        link = linked(sets, percent)
+        group = np.arange(len(ids))
+        if "label" in table.column_names:
+            _, group = np.unique(np.array(table.column("label").to_pylist(), np.int64), return_inverse=True)
+            link &= group[:, None] != group[None, :]
         found = _forest(ids, group, link)
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -252,54 +322,39 @@ def jaccard_components(
     key are one node and share a component. A row with a NULL key is linked with nothing and has a
     NULL component."""
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    all_rows = staged(
-        source.mapInArrow(_describe(n, sketch_bits), "id long, hi long, lo long, n_shingles long"), "sets"
-    )
-    described = all_rows.where("n_shingles >= 0")
-    counters = (
-        all_rows.where("n_shingles < 0").groupBy(F.col("hi").alias("slot")).agg(F.sum("lo").alias("n")).toArrow()
-    )
-    counts = np.zeros(1 << sketch_bits, np.int64)
-    counts[counters.column("slot").to_numpy()] = counters.column("n").to_numpy()
+    all_rows = staged(source.mapInArrow(_describe(n, sketch_bits), _SET_SCHEMA), "sets")
+    described = all_rows.where("n_shingles >= 0").drop("counts")
+    counts = _sketch(all_rows.where("n_shingles < 0"), sketch_bits)
 
     with_words = described.where("n_shingles > 0 and id is not null")
     classes = staged(with_words.groupBy("hi", "lo", "n_shingles").agg(F.min("id").alias("rep")), "classes")
 
-    # candidate blocks: hub and members
-    tokens = staged(
-        source.where("id is not null").mapInArrow(_prefixes(n, percent, counts), "token long, id long"), "prefixes"
+    # candidate blocks: hub and members. A token's rows are 20 bytes each and pass as a stream
+    tokens = source.where("id is not null").mapInArrow(
+        _prefixes(n, percent, counts), "token long, size int, id long"
     )
-    hubs = staged(
-        tokens.groupBy("token")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-        .where("hub < last")
-        .select("token", "hub"),
-        "hubs",
+    in_order = tokens.repartition("token").sortWithinPartitions("token", "size", "id")
+    members = in_order.mapInArrow(_blocks(percent), "hub long, id long").distinct()
+    reps = classes.groupBy(F.col("rep").alias("id")).agg(F.sum("n_shingles").alias("size"))
+    members = staged(members.join(reps, "id"), "members")
+    by_count = F.ceil((F.count(F.lit(1)) - 1) / (tile - 1))
+    by_size = F.ceil(F.sum("size") / TILE_NGRAMS)
+    sizes = members.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("m"), F.greatest(by_count, by_size).cast("int").alias("tiles")
     )
-    members = tokens.join(hubs, "token").select("hub", "id").distinct()
-    members = members.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    members = staged(members, "members")
-    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    sizes = sizes.where("m > 1").select("hub", "tiles")
     spread = (
         members.where("id <> hub")
-        .join(sizes.withColumn("tiles", F.ceil((F.col("m") - 1) / (tile - 1)).cast("int")), "hub")
-        .withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-        .select("hub", "tile", "tiles", "id")
+        .join(sizes, "hub")
+        .select("hub", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"), "tiles", "id")
     )
     hub_rows = sizes.select(
-        "hub",
-        F.explode(F.sequence(F.lit(0), F.ceil((F.col("m") - 1) / (tile - 1)).cast("int") - 1)).alias("tile"),
-        F.ceil((F.col("m") - 1) / (tile - 1)).cast("int").alias("tiles"),
-        F.col("hub").alias("id"),
+        "hub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "tiles", F.col("hub").alias("id")
     )
     block = staged(spread.union(hub_rows), "blocks")
-    sets = staged(
-        source.join(block.select("id").distinct(), "id", "left_semi").mapInArrow(_sets(n), "id long, codes binary"),
-        "codes",
-    )
-    links = staged(
-        block.join(sets, "id").groupBy("hub", "tile").applyInArrow(_tile_links(percent), "a long, b long"), "links"
-    )
+    texts = staged(source.join(block.select("id").distinct(), "id", "left_semi"), "texts")
+    tiles = block.select("hub", "tile", "id").join(texts, "id")
+    links = staged(tiles.groupBy("hub", "tile").applyInArrow(_links(n, percent), "a long, b long"), "links")
     # rows that repeat a key make one node of their classes
     in_class = with_words.join(classes, ["hi", "lo", "n_shingles"]).select("id", "n_shingles", "rep")
     first = in_class.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
@@ -319,9 +374,8 @@ def jaccard_components(
         paired = paired.select(
             "hub", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "id", "label"
         )
-        across = (
-            paired.join(sets, "id").groupBy("hub", "t1", "t2").applyInArrow(_cross_links(percent), "a long, b long")
-        )
+        pairs = paired.join(texts, "id").groupBy("hub", "t1", "t2")
+        across = pairs.applyInArrow(_links(n, percent), "a long, b long")
         label = components(links.union(staged(across, "across")))
 
     found = in_class.join(label.toDF("rep", "label"), "rep", "left").select(
@@ -336,11 +390,13 @@ def keep_one_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", *
     smallest key. Rows that repeat a key keep one (the smallest text); rows with a NULL key stay."""
     found = jaccard_components(docs, text=text, key=key, **settings)
     stay = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    copies = unique_name(docs.columns, "_copies")
-    repeated = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(copies))
-    repeated = repeated.where(F.col(copies) > 1)
-    once = docs.join(stay, key, "left_semi").join(repeated, key, "left_anti")
+    without_key = docs.where(F.col(key).isNull())
+    once = docs.join(stay, key, "left_semi").select(*docs.columns)
+    repeated = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    repeated = staged(repeated.where("n > 1").select(key), "repeated")
+    if not repeated.limit(1).count():
+        return once.union(without_key)
     row = F.struct(F.coalesce(F.col(text), F.lit("")).alias("first"), F.struct(*docs.columns).alias("row"))
-    several = docs.join(repeated, key, "left_semi").join(stay, key, "left_semi")
+    several = once.join(repeated, key, "left_semi")
     several = several.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("r")).select("r.row.*")
-    return once.select(*docs.columns).union(several).union(docs.where(F.col(key).isNull()))
+    return once.join(repeated, key, "left_anti").select(*docs.columns).union(several).union(without_key)

@@ -99,6 +99,27 @@ def test_block_product_and_bounds():
         assert len(J.prefix(np.unique(wide), counts, 85)) == len(s) - -(-85 * len(s) // 100) + 1
 
 
+def test_blocks_of_a_stream():
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    rows = sorted((rng.randrange(12), rng.choice([10, 11, 13, 20, 21, 40]), i) for i in range(80))
+    want = set()
+    block = []
+    for k, (t, n, i) in enumerate(rows):
+        if block and (t != rows[k - 1][0] or 100 * rows[k - 1][1] < 85 * n):
+            block = []
+        block.append(i)
+        if len(block) > 1:
+            want |= {(block[0], block[0]), (block[0], i)}
+    for size in (1, 3, 80):
+        parts = [rows[k : k + size] for k in range(0, len(rows), size)]
+        names = ["token", "size", "id"]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*p)], names=names) for p in parts]
+        got = [x for b in J._blocks(85)(batches) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        assert set(got) == want
+
+
 def test_odd_rows_and_no_rows(spark):
     docs = odd_docs(spark)
     rows = J.jaccard_components(docs).collect()
