@@ -125,12 +125,14 @@ def _count_pairs(units: Units):
 def _neighbour_sums(classes: np.ndarray, n_classes: int):
     def run(batches):
         for b in batches:
-            out = []
-            for pairs in b.column(2).to_pylist():
-                v = np.array([p["v"] for p in pairs], np.int64)
-                n = np.array([p["n"] for p in pairs], np.float64)
-                out.append(np.bincount(classes[v], n, minlength=n_classes).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["u", "after", "by_class"])
+            near = b.column(2)
+            row = np.repeat(np.arange(b.num_rows), np.diff(near.offsets.to_numpy()))
+            v, n = (near.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            sums = np.bincount(row * n_classes + classes[v], n, minlength=b.num_rows * n_classes)
+            out = [r.tobytes() for r in sums.astype(np.float64).reshape(-1, n_classes)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(out, pa.binary())], names=["u", "after", "by_class"]
+            )
 
     return run
 
