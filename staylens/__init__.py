@@ -1,6 +1,6 @@
 """staylens: short-stay marketplace analytics as Spark DataFrame operators.
 
-Every public operator is a plain function ``DataFrame(s) -> DataFrame`` built
+Every listing operator is a plain function ``DataFrame(s) -> DataFrame`` built
 only from native Spark expressions, so Catalyst sees (and optimises) the whole
 query: no RDDs, no Python UDFs, no driver-side collection inside an operator.
 
@@ -12,7 +12,7 @@ operators  the query-level operators (profile, pricing, hosts, guests, spatial,
            terms, alternatives)
 plans      reusable plan shapes (top-k per group, scalar subqueries) and the
            registry of runnable queries with their DuckDB SQL oracles
-streaming  intentionally empty: the surveyed workload is batch only
+llm        operators for language-model training text (optional; see its docstring)
 """
 
 __version__ = "0.1.0"

@@ -13,10 +13,12 @@ is a ``TakeOrderedAndProject``. No row leaves the executors before the result.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.functions.columns import EARTH_RADIUS_KM
 from staylens.functions import amenity_list, count_found_in, haversine_km, money_b
 from staylens.plans.scalars import scalar_row
 from staylens.plans.topk import top_k
@@ -115,6 +117,9 @@ def alternative_listings(
     j = cand.withColumn("_c", _chosen(listings, listing_id))
     cap = F.col("_c.price") * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
     j = j.where((F.col("room_type") == F.col("_c.room_type")) & (F.col("price") <= cap))
+    # a degree of latitude is the same length everywhere; half a per cent of slack for rounding
+    degrees = float(max_km) / (math.radians(1.0) * EARTH_RADIUS_KM) * 1.005
+    j = j.where(F.abs(F.col("latitude") - F.col("_c.latitude")) <= F.lit(degrees))
     j = j.withColumn("distance", haversine_km("_c.latitude", "_c.longitude", "latitude", "longitude"))
     j = j.where(F.col("distance") < F.lit(float(max_km)))
     j = j.withColumn("common_amenities", count_found_in("amen", "_c.amenities"))

@@ -45,3 +45,11 @@ def yearly_spend_by_city(listings: DataFrame) -> DataFrame:
     """Total (not mean) estimated yearly guest spend per city: nights x price."""
     spend = nights_per_year("reviews_per_month") * money_a("price")
     return listings.groupBy("city").agg(F.sum(spend).alias("yearly_spend"))
+
+
+def listing_price_points(listings: DataFrame) -> DataFrame:
+    """``(lat, lon, price, name)``: the projection a price map is drawn from
+    (write it with ``sources.sinks``; the price stays as text)."""
+    return listings.select(
+        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "price", "name"
+    )

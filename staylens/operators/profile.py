@@ -43,6 +43,17 @@ def profile_distinct_approx(df: DataFrame, columns: Sequence[str] | None = None,
     )
 
 
+def profile_distinct_approx_check(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05) -> DataFrame:
+    """``(column_name, distinct_count, within_bound)``: the exact count, and
+    whether the sketch of ``profile_distinct_approx`` is within 3 x ``rsd`` of it."""
+    exact = profile_distinct_ci(df, columns)
+    near = profile_distinct_approx(df, columns, rsd)
+    error = F.abs(F.col("approx_distinct_count") - F.col("distinct_count"))
+    return exact.join(near, "column_name").select(
+        "column_name", "distinct_count", (error <= 3 * rsd * F.col("distinct_count")).alias("within_bound")
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column``; NULL is kept as a value."""
     return df.select(F.col(f"`{column}`")).distinct()

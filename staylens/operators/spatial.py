@@ -271,8 +271,13 @@ def neighbourhood_agreement(assigned: DataFrame, test: DataFrame) -> DataFrame:
     )
     out = per_id.agg(
         F.sum("n_m").cast("bigint").alias("n_listings"),
-        F.sum(F.col("a") * F.col("b")).cast("bigint").alias("n_disagreements"),
-        F.coalesce(F.sum(F.when(F.col("n_t") == 0, F.col("n_m"))), F.lit(0)).cast("bigint").alias("n_unlabelled"),
+        # a NULL id pairs with nothing, as in neighbourhood_disagreements
+        F.coalesce(F.sum(F.when(F.col("id").isNotNull(), F.col("a") * F.col("b"))), F.lit(0))
+        .cast("bigint")
+        .alias("n_disagreements"),
+        F.coalesce(F.sum(F.when((F.col("n_t") == 0) | F.col("id").isNull(), F.col("n_m"))), F.lit(0))
+        .cast("bigint")
+        .alias("n_unlabelled"),
     )
     pct = F.try_divide(
         (F.col("n_listings") - F.col("n_disagreements")).cast("double"), F.col("n_listings").cast("double")
@@ -280,21 +285,19 @@ def neighbourhood_agreement(assigned: DataFrame, test: DataFrame) -> DataFrame:
     return out.withColumn("agreement_pct", pct)
 
 
-def amenities_by_neighbourhood(
-    listings: DataFrame, assigned: DataFrame, city: str | None = None
-) -> DataFrame:
+def amenities_by_neighbourhood(assigned: DataFrame, city: str | None = None) -> DataFrame:
     """``(city, neighbourhood, amenities)``: the distinct raw amenity tokens of
-    each neighbourhood's listings, sorted and joined with ``,``. Listings no
-    polygon contains form the neighbourhood ``''``. With ``city`` only that city
-    is read (the filter reaches the scan).
+    each neighbourhood's listings, sorted and joined with ``,``. ``assigned`` is
+    ``assign_neighbourhood`` with ``keep=("city", "amenities")``, so listings are
+    not joined again. Listings no polygon contains form the neighbourhood ``''``.
+    With ``city`` only that city is kept.
 
     Tokens are de-duplicated by an aggregation on (city, neighbourhood, token)
     before anything is collected, so each output list holds distinct values."""
-    lst = listings.select("id", "city", "amenities").where(F.col("amenities").isNotNull())
+    j = assigned.where(F.col("amenities").isNotNull())
     if city is not None:
-        lst = lst.where(F.col("city") == city)
-    asg = assigned.select(F.col("id").alias("a_id"), F.coalesce("neighbourhood", F.lit("")).alias("neighbourhood"))
-    j = lst.join(asg, lst.id == asg.a_id, "inner")
+        j = j.where(F.col("city") == city)
+    j = j.withColumn("neighbourhood", F.coalesce("neighbourhood", F.lit("")))
     tokens = j.select("city", "neighbourhood", F.explode(amenity_tokens_raw("amenities")).alias("amenity")).distinct()
     return tokens.groupBy("city", "neighbourhood").agg(
         F.array_join(F.array_sort(F.collect_list("amenity")), ",").alias("amenities")

@@ -18,7 +18,9 @@ final aggregation before any join; document totals and term frequencies are
 aggregates joined back on their key (no window over a whole document, no
 global sort); corpus-wide scalars are scalar subqueries over one-row
 aggregates; top-k uses ``row_number() <= k`` (``WindowGroupLimit``) or
-``TakeOrderedAndProject``.
+``TakeOrderedAndProject``. Joins whose key can be hot (a term that is in every
+document, a neighbourhood with a third of the listings) are salted, always:
+AQE does not split a join with an aggregate right under it.
 """
 
 from __future__ import annotations
@@ -31,9 +33,11 @@ from staylens.plans.scalars import scalar
 from staylens.plans.topk import top_k, top_k_per_group
 
 _KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
-# Broadcast bound for one document's term set (one short string per row; a
-# million terms is tens of MB, far above any real description's vocabulary)
-MAX_BROADCAST_TERMS = 1_000_000
+# Salts of a join whose key can be hot: the large side's rows of a key go to so
+# many partitions, the small side has each row so many times
+SALTS = 8
+# A text has a word if it has a token character (see functions.columns)
+_HAS_WORD = r"(?i)[0-9a-z'\-&\u0130\u212a]"
 
 
 def listing_corpus(listings: DataFrame, neighbourhood_map: DataFrame) -> DataFrame:
@@ -49,31 +53,41 @@ def _raw_counts(corpus: DataFrame, key: str, only_terms: DataFrame | None = None
     # identical after filter inference, so Spark computes them once and
     # reuses the exchange
     toks = toks.where(F.col("term").isNotNull())
-    if only_terms is not None:  # size-checked broadcast: a map-side filter, no shuffle
-        toks = toks.join(F.broadcast(only_terms), "term", "left_semi")
+    if only_terms is not None:
+        toks = toks.join(only_terms, "term", "left_semi")
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def _join_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Join on ``key`` NULL-safely (a NULL id / neighbourhood is a document too)."""
-    r = right.withColumnRenamed(key, "_k")
-    return left.join(r, left[key].eqNullSafe(r["_k"]), "inner").drop("_k")
+def _join_salted(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join of a large side with one row per key, NULL keys matching each
+    other. A key's rows of the large side are dealt to ``SALTS`` partitions by
+    ``spread_by``; the small side is repeated for each."""
+    l = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    r = right.withColumnRenamed(key, "_k").withColumn("_s", salts)
+    on = l[key].eqNullSafe(r["_k"]) & (l["_salt"] == r["_s"])
+    return l.join(r, on, "inner").drop("_k", "_s", "_salt")
 
 
 def term_counts(corpus: DataFrame, mode: str = "listing", only_terms: DataFrame | None = None) -> DataFrame:
     """``(key, term, n)``: occurrences of each term per document.
 
-    ``only_terms`` (a small ``(term)`` frame whose size the caller has checked)
-    restricts the result to those terms, filtering tokens before any shuffle."""
+    ``only_terms`` (distinct terms) restricts the result to those; tokens are
+    filtered before they are counted."""
     key = _KEYS[mode]
-    counts = _raw_counts(corpus, key, only_terms)
     if mode == "listing":
-        return counts
-    # neighbourhood documents: drop empty tokens unless the document has no word
-    words = counts.groupBy(key).agg(F.sum(F.when(F.col("term") != "", F.col("n"))).alias("_words"))
-    j = _join_on_key(counts, words, key)
-    keep = (F.col("term") != "") | F.col("_words").isNull()
-    return j.where(keep).select(key, "term", F.when(F.col("term") == "", F.lit(1)).otherwise(F.col("n")).cast("bigint").alias("n"))
+        return _raw_counts(corpus, key, only_terms)
+    # neighbourhood documents have no empty token unless the document has no word
+    words = _raw_counts(corpus, key, only_terms).where(F.col("term") != "")
+    has_word = F.rlike("description", F.lit(_HAS_WORD))
+    wordless = (
+        corpus.where(F.col("description").isNotNull())
+        .groupBy(key)
+        .agg(F.bool_or(has_word).alias("_any"))
+        .where(~F.col("_any"))
+        .select(key, F.lit("").alias("term"), F.lit(1).cast("bigint").alias("n"))
+    )
+    return words.unionByName(wordless)
 
 
 def _n_documents(corpus: DataFrame, mode: str) -> DataFrame:
@@ -100,6 +114,11 @@ def document_frequency(corpus: DataFrame, mode: str = "listing", counts: DataFra
     return df.select("term", "df", (n_docs / F.col("df").cast("double")).alias("idf"))
 
 
+def idf_by_neighbourhood(corpus: DataFrame) -> DataFrame:
+    """``(term, idf)`` over neighbourhood documents."""
+    return document_frequency(corpus, "neighbourhood").select("term", "idf")
+
+
 def idf_by_listing(corpus: DataFrame) -> DataFrame:
     """``(term, idf)`` over listing documents."""
     return document_frequency(corpus, "listing").select("term", "idf")
@@ -109,7 +128,7 @@ def term_frequency(counts: DataFrame, key: str) -> DataFrame:
     """``(key, term, n, total, tf)`` from term counts: document totals are an
     aggregate joined back on the key."""
     totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
-    return _join_on_key(counts, totals, key).withColumn(
+    return _join_salted(counts, totals, key, "term").withColumn(
         "tf", F.col("n").cast("double") / F.col("total").cast("double")
     )
 
@@ -117,7 +136,7 @@ def term_frequency(counts: DataFrame, key: str) -> DataFrame:
 def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
     """``(term, tf)`` of one document (a listing id or a neighbourhood)."""
     key = _KEYS[mode]
-    if mode == "listing" and not str(value).isdigit():
+    if mode == "listing" and not (str(value).isascii() and str(value).isdigit()):
         raise ValueError(f"listing id must be a non-negative integer, got {value!r}")
     one = corpus.where(F.col(key) == F.lit(value))
     counts = term_counts(one, mode)
@@ -125,33 +144,20 @@ def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
     return counts.select("term", (F.col("n").cast("double") / total).alias("tf"))
 
 
-def tfidf_top_terms(
-    corpus: DataFrame, value, mode: str = "listing", k: int = 100, max_broadcast_terms: int = MAX_BROADCAST_TERMS
-) -> DataFrame:
+def tfidf_top_terms(corpus: DataFrame, value, mode: str = "listing", k: int = 100) -> DataFrame:
     """``(term, weight)``: the ``k`` highest-weighted terms of one document
     (weight desc, term asc). An unknown document gives an empty result.
 
-    Listing mode: only the listing's own terms need a document frequency. One
-    small job counts them; if there are at most ``max_broadcast_terms``, that
-    term set is broadcast and the corpus tokens are filtered against it
-    map-side, so the corpus-wide pass shuffles only (listing, term) pairs of
-    those terms instead of the whole vocabulary of every listing. Above the
-    bound (or for a blank listing, whose empty-token frequency needs every
-    document) the full document-frequency table is computed and joined.
+    Listing mode: only the listing's own terms need a document frequency, so
+    the corpus tokens are semi-joined with them before they are counted. Which
+    side Spark broadcasts, if any, is its own decision from measured sizes.
 
     Neighbourhood mode: a neighbourhood's vocabulary is a large share of the
     corpus vocabulary and the (neighbourhood, term) table is already compact,
-    so tf and df both read one (neighbourhood, term, count) table: the corpus
-    is tokenised once."""
+    so tf and df both read one (neighbourhood, term, count) table."""
     if mode == "listing":
         tf = tf_one(corpus, value, mode)
-        check = tf.agg(
-            F.count(F.lit(1)).alias("n"), F.max((F.col("term") == "").cast("int")).alias("blank")
-        ).first()
-        if check["n"] <= max_broadcast_terms and not check["blank"]:
-            idf = document_frequency(corpus, mode, term_counts(corpus, mode, only_terms=tf.select("term")))
-        else:
-            idf = document_frequency(corpus, mode)
+        idf = document_frequency(corpus, mode, term_counts(corpus, mode, only_terms=tf.select("term")))
     else:
         counts = term_counts(corpus, mode)
         one = counts.where(F.col(_KEYS[mode]) == F.lit(value))
@@ -164,12 +170,14 @@ def tfidf_top_terms(
 
 def tfidf_top_terms_all(corpus: DataFrame, mode: str = "listing", k: int = 100) -> DataFrame:
     """``(key, rank, term, weight)``: the top ``k`` terms of every document at
-    once (the same weights as ``tfidf_top_terms``, one pass for all keys)."""
+    once (the same weights as ``tfidf_top_terms``, one pass for all keys). Up to
+    k = 1000 (Spark's windowGroupLimitThreshold) at most k rows a document leave
+    a task; beyond it a document's terms are ranked after one shuffle."""
     key = _KEYS[mode]
     counts = term_counts(corpus, mode)
     tf = term_frequency(counts, key)
     idf = document_frequency(corpus, mode, counts)
-    w = tf.join(idf.select("term", "idf"), "term", "inner").select(
+    w = _join_salted(tf, idf.select("term", "idf"), "term", key).select(
         key, "term", (F.col("tf") * F.col("idf")).alias("weight")
     )
     ranked = top_k_per_group(w, [key], [F.desc("weight"), F.asc("term")], k)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.operators import alternatives, guests, hosts, pricing, profile, spatial, terms
-from staylens.sources.testdata import TestTables, tables_for
+from staylens.sources.readers import features_from_text
+from staylens.sources.testdata import TestTables
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the registered queries
@@ -48,10 +49,6 @@ def _round(df: DataFrame, digits: int) -> DataFrame:
     )
 
 
-def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return tables_for(spark, sf_dir)
-
-
 ALL_LISTING_EXTRAS = ("host_listings_count", "reviews_per_month", "amenities")
 
 
@@ -60,104 +57,116 @@ def _assigned(t: TestTables, first_ring_only: bool = False) -> DataFrame:
     return spatial.assign_neighbourhood(t.listing_points(), edges, keep=("city",))
 
 
-QUERIES: dict[str, Query] = {
+def _with_amenities(t: TestTables) -> DataFrame:
+    edges = spatial.polygon_edges(t.features())
+    return spatial.assign_neighbourhood(t.listing_points(amenities=True), edges, keep=("city", "amenities"))
+
+
+def _listed(df: DataFrame, column: str) -> DataFrame:
+    """An array of numbers as comma-separated text."""
+    return df.withColumn(column, F.array_join(F.transform(column, lambda x: x.cast("string")), ","))
+
+
+_OVER_TABLES: dict[str, Callable[[TestTables], DataFrame]] = {
     # -- profile ----------------------------------------------------------
-    "profile_distinct_ci": lambda s, d: profile.profile_distinct_ci(_t(s, d).listings(ALL_LISTING_EXTRAS)),
-    "profile_distinct_approx": lambda s, d: profile.profile_distinct_approx(_t(s, d).listings(ALL_LISTING_EXTRAS)),
-    "distinct_cities": lambda s, d: profile.distinct_values(_t(s, d).listings(), "city"),
-    "distinct_states_normalised": lambda s, d: profile.distinct_normalised(_t(s, d).listings(), "city"),
+    "profile_distinct_ci": lambda t: profile.profile_distinct_ci(t.listings(ALL_LISTING_EXTRAS)),
+    # the sketch, held against the exact counts
+    "profile_distinct_approx": lambda t: profile.profile_distinct_approx_check(t.listings(ALL_LISTING_EXTRAS)),
+    "distinct_cities": lambda t: profile.distinct_values(t.listings(), "city"),
+    "distinct_states_normalised": lambda t: profile.distinct_normalised(t.listings(), "city"),
     # -- pricing ----------------------------------------------------------
-    "avg_price_by_city": lambda s, d: _round(pricing.avg_price_by(_t(s, d).listings(), ["city"]), FINE),
-    "avg_price_one_city": lambda s, d: _round(pricing.avg_price_one_city(_t(s, d).listings(), ONE_CITY), FINE),
-    "avg_price_by_city_room": lambda s, d: _round(
-        pricing.avg_price_by(_t(s, d).listings(), ["city", "room_type"]), FINE
+    "avg_price_by_city": lambda t: _round(pricing.avg_price_by(t.listings(), ["city"]), FINE),
+    "avg_price_one_city": lambda t: _round(pricing.avg_price_one_city(t.listings(), ONE_CITY), FINE),
+    "avg_price_by_city_room": lambda t: _round(
+        pricing.avg_price_by(t.listings(), ["city", "room_type"]), FINE
     ),
-    "avg_reviews_by_city": lambda s, d: _round(
-        pricing.avg_reviews_by_city(_t(s, d).listings(("reviews_per_month",))), FINE
+    "avg_reviews_by_city": lambda t: _round(
+        pricing.avg_reviews_by_city(t.listings(("reviews_per_month",))), FINE
     ),
-    "avg_nights_per_year_by_city": lambda s, d: _round(
-        pricing.avg_nights_per_year_by_city(_t(s, d).listings(("reviews_per_month",))), FINE
+    "avg_nights_per_year_by_city": lambda t: _round(
+        pricing.avg_nights_per_year_by_city(t.listings(("reviews_per_month",))), FINE
     ),
-    "yearly_spend_by_city": lambda s, d: _round(
-        pricing.yearly_spend_by_city(_t(s, d).listings(("reviews_per_month",))), MONEY
+    "yearly_spend_by_city": lambda t: _round(
+        pricing.yearly_spend_by_city(t.listings(("reviews_per_month",))), MONEY
     ),
     # -- hosts ------------------------------------------------------------
-    "listings_per_host": lambda s, d: _round(hosts.listings_per_host(_t(s, d).listings()), FINE),
-    "multi_listing_ratio_rows": lambda s, d: _round(
-        hosts.multi_listing_ratio_rows(_t(s, d).listings(("host_listings_count",))), FINE
+    "listings_per_host": lambda t: _round(hosts.listings_per_host(t.listings()), FINE),
+    "multi_listing_ratio_rows": lambda t: _round(
+        hosts.multi_listing_ratio_rows(t.listings(("host_listings_count",))), FINE
     ),
-    "multi_listing_host_share": lambda s, d: _round(
-        hosts.multi_listing_host_share(_t(s, d).listings(("host_listings_count",))), FINE
+    "multi_listing_host_share": lambda t: _round(
+        hosts.multi_listing_host_share(t.listings(("host_listings_count",))), FINE
     ),
-    "booked_nights_by_listing": lambda s, d: hosts.booked_nights_by_listing(_t(s, d).listings(), _t(s, d).calendar()),
-    "host_income_by_city": lambda s, d: _round(
-        hosts.host_income_by_city(_t(s, d).listings(), _t(s, d).calendar()), MONEY
+    "booked_nights_by_listing": lambda t: hosts.booked_nights_by_listing(t.listings(), t.calendar()),
+    "host_income_by_city": lambda t: _round(
+        hosts.host_income_by_city(t.listings(), t.calendar()), MONEY
     ),
-    "top_hosts_by_city": lambda s, d: _round(
-        hosts.top_hosts_by_city(_t(s, d).listings(), _t(s, d).calendar(), k=3), MONEY
+    "top_hosts_by_city": lambda t: _round(
+        hosts.top_hosts_by_city(t.listings(), t.calendar(), k=3), MONEY
+    ),
+    "top_hosts_by_city_lists": lambda t: _listed(
+        hosts.top_hosts_by_city(t.listings(), t.calendar(), k=3, as_lists=True), "top_hosts"
     ),
     # -- guests -----------------------------------------------------------
-    "reviews_by_city_guest": lambda s, d: guests.reviews_by_city_guest(_t(s, d).reviews(), _t(s, d).listings()),
-    "top_guests_by_city": lambda s, d: guests.top_guests_by_city(_t(s, d).reviews(), _t(s, d).listings(), k=3),
-    "spend_by_guest_listing": lambda s, d: _round(
-        guests.spend_by_guest_listing(_t(s, d).reviews(), _t(s, d).listings()), MONEY
+    "reviews_by_city_guest": lambda t: guests.reviews_by_city_guest(t.reviews(), t.listings()),
+    "top_guests_by_city": lambda t: guests.top_guests_by_city(t.reviews(), t.listings(), k=3),
+    "spend_by_guest_listing": lambda t: _round(
+        guests.spend_by_guest_listing(t.reviews(), t.listings()), MONEY
     ),
-    "biggest_spender": lambda s, d: _round(guests.biggest_spender(_t(s, d).reviews(), _t(s, d).listings()), MONEY),
+    "spend_by_guest": lambda t: _round(guests.spend_by_guest(t.reviews(), t.listings()), MONEY),
+    "biggest_spender": lambda t: _round(guests.biggest_spender(t.reviews(), t.listings()), MONEY),
     # -- spatial ----------------------------------------------------------
-    "polygon_edges": lambda s, d: spatial.polygon_edges(_t(s, d).features()),
-    "polygon_bbox": lambda s, d: spatial.polygon_bbox(spatial.polygon_edges(_t(s, d).features())),
-    "assign_neighbourhood": lambda s, d: _assigned(_t(s, d)),
+    "polygon_edges": lambda t: spatial.polygon_edges(t.features()),
+    "polygon_bbox": lambda t: spatial.polygon_bbox(spatial.polygon_edges(t.features())),
+    "assign_neighbourhood": lambda t: _assigned(t),
     # parity mode: only the first part's exterior ring, as the surveyed code did
-    "assign_neighbourhood_first_ring": lambda s, d: _assigned(_t(s, d), first_ring_only=True),
-    "neighbourhood_disagreements": lambda s, d: spatial.neighbourhood_disagreements(
-        _assigned(_t(s, d)), _t(s, d).neighbourhood_test()
-    ),
-    "neighbourhood_agreement_pct": lambda s, d: _round(
-        spatial.neighbourhood_agreement(_assigned(_t(s, d)), _t(s, d).neighbourhood_test()), FINE
-    ),
-    "amenities_by_neighbourhood": lambda s, d: spatial.amenities_by_neighbourhood(
-        _t(s, d).listings(("amenities",)), _assigned(_t(s, d))
+    "assign_neighbourhood_first_ring": lambda t: _assigned(t, first_ring_only=True),
+    "neighbourhood_disagreements": lambda t: spatial.neighbourhood_disagreements(
+        _assigned(t), t.neighbourhood_test()
     ),
-    "listing_price_points": lambda s, d: _t(s, d)
-    .listings()
-    .select(
-        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "price", "name"
+    "neighbourhood_agreement_pct": lambda t: _round(
+        spatial.neighbourhood_agreement(_assigned(t), t.neighbourhood_test()), FINE
     ),
+    "amenities_by_neighbourhood": lambda t: spatial.amenities_by_neighbourhood(_with_amenities(t)),
+    "amenities_one_city": lambda t: spatial.amenities_by_neighbourhood(_with_amenities(t), city=ONE_CITY),
+    "polygon_edges_geojson": lambda t: spatial.polygon_edges(features_from_text(t.features_text())),
+    "listing_price_points": lambda t: pricing.listing_price_points(t.listings()),
     # -- terms ------------------------------------------------------------
-    "term_counts": lambda s, d: terms.term_counts(_t(s, d).descriptions()),
-    "idf_by_listing": lambda s, d: _round(terms.idf_by_listing(_t(s, d).descriptions()), FINE),
-    "tf_one_listing": lambda s, d: _round(terms.tf_one(_t(s, d).descriptions(), TFIDF_LISTING), FINE),
-    "tfidf_top_terms_listing": lambda s, d: _round(
-        terms.tfidf_top_terms(_t(s, d).descriptions(), TFIDF_LISTING, "listing", TOP_TERMS), FINE
+    "term_counts": lambda t: terms.term_counts(t.descriptions()),
+    "idf_by_listing": lambda t: _round(terms.idf_by_listing(t.descriptions()), FINE),
+    "idf_by_neighbourhood": lambda t: _round(terms.idf_by_neighbourhood(t.descriptions()), FINE),
+    "tf_one_listing": lambda t: _round(terms.tf_one(t.descriptions(), TFIDF_LISTING), FINE),
+    "tfidf_top_terms_listing": lambda t: _round(
+        terms.tfidf_top_terms(t.descriptions(), TFIDF_LISTING, "listing", TOP_TERMS), FINE
     ),
-    "tfidf_top_terms_neighbourhood": lambda s, d: _round(
-        terms.tfidf_top_terms(_t(s, d).descriptions(), TFIDF_NEIGHBOURHOOD, "neighbourhood", TOP_TERMS), FINE
+    "tfidf_top_terms_neighbourhood": lambda t: _round(
+        terms.tfidf_top_terms(t.descriptions(), TFIDF_NEIGHBOURHOOD, "neighbourhood", TOP_TERMS), FINE
     ),
-    "tfidf_top_terms_all": lambda s, d: _round(
-        terms.tfidf_top_terms_all(_t(s, d).descriptions(), "listing", TOP_TERMS_ALL), FINE
+    "tfidf_top_terms_all": lambda t: _round(
+        terms.tfidf_top_terms_all(t.descriptions(), "listing", TOP_TERMS_ALL), FINE
     ),
-    "tfidf_top_terms_all_neighbourhoods": lambda s, d: _round(
-        terms.tfidf_top_terms_all(_t(s, d).descriptions(), "neighbourhood", TOP_TERMS_ALL), FINE
+    "tfidf_top_terms_all_neighbourhoods": lambda t: _round(
+        terms.tfidf_top_terms_all(t.descriptions(), "neighbourhood", TOP_TERMS_ALL), FINE
     ),
-    "listing_corpus": lambda s, d: terms.listing_corpus(_t(s, d).description_listings(), _t(s, d).neighbourhood_map()),
+    "listing_corpus": lambda t: terms.listing_corpus(t.description_listings(), t.neighbourhood_map()),
     # -- alternatives -----------------------------------------------------
-    "listing_profile": lambda s, d: _round(
-        alternatives.listing_profile(_t(s, d).listings(("amenities",)), CHOSEN_LISTING).withColumn(
+    "listing_profile": lambda t: _round(
+        alternatives.listing_profile(t.listings(("amenities",)), CHOSEN_LISTING).withColumn(
             "amenities", F.array_join("amenities", "|")
         ),
         FINE,
     ),
-    "available_on_date": lambda s, d: alternatives.available_on_date(_t(s, d).calendar(), AVAILABLE_DATE),
-    "haversine_distance": lambda s, d: _round(
-        alternatives.distance_from_listing(_t(s, d).listings(("amenities",)), CHOSEN_LISTING), FINE
+    "available_on_date": lambda t: alternatives.available_on_date(t.calendar(), AVAILABLE_DATE),
+    "haversine_distance": lambda t: _round(
+        alternatives.distance_from_listing(t.listings(("amenities",)), CHOSEN_LISTING), FINE
     ),
-    "common_amenities": lambda s, d: alternatives.common_amenities_with(
-        _t(s, d).listings(("amenities",)), CHOSEN_LISTING
+    "common_amenities": lambda t: alternatives.common_amenities_with(
+        t.listings(("amenities",)), CHOSEN_LISTING
     ),
-    "alternative_listings": lambda s, d: _round(
+    "alternative_listings": lambda t: _round(
         alternatives.alternative_listings(
-            _t(s, d).listings(("amenities",)),
-            _t(s, d).calendar(),
+            t.listings(("amenities",)),
+            t.calendar(),
             CHOSEN_LISTING,
             AVAILABLE_DATE,
             MAX_PRICE_INCREASE_PCT,
@@ -166,10 +175,10 @@ QUERIES: dict[str, Query] = {
         ),
         FINE,
     ),
-    "alternative_listings_map": lambda s, d: _round(
+    "alternative_listings_map": lambda t: _round(
         alternatives.alternative_listings(
-            _t(s, d).listings(("amenities",)),
-            _t(s, d).calendar(),
+            t.listings(("amenities",)),
+            t.calendar(),
             CHOSEN_LISTING,
             AVAILABLE_DATE,
             MAX_PRICE_INCREASE_PCT,
@@ -179,4 +188,25 @@ QUERIES: dict[str, Query] = {
         ),
         FINE,
     ),
+    "alternative_listings_with_self": lambda t: _round(
+        alternatives.alternative_listings(
+            t.listings(("amenities",)),
+            t.calendar(),
+            CHOSEN_LISTING,
+            AVAILABLE_DATE,
+            MAX_PRICE_INCREASE_PCT,
+            MAX_KM,
+            N_ALTERNATIVES,
+            include_self=True,
+        ),
+        FINE,
+    ),
 }
+
+
+def _query(over: Callable[[TestTables], DataFrame]) -> Query:
+    """Each call reads the tables anew, each table once."""
+    return lambda spark, sf_dir: over(TestTables(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {key: _query(over) for key, over in _OVER_TABLES.items()}

@@ -36,7 +36,7 @@ def _scaled(mult, mod, base, span) -> str:
 
 
 TOKENS = (
-    "string_split(trim(regexp_replace(regexp_replace(lower({c}), '[^0-9a-z''\\-&]', ' ', 'g'), ' +', ' ', 'g')), ' ')"
+    "string_split(trim(regexp_replace(regexp_replace(lower(translate({c}, '\u0130\u212a', 'ik')), '[^0-9a-z''\\-&]', ' ', 'g'), ' +', ' ', 'g')), ' ')"
 )
 AMENITY_LIST = "string_split(regexp_replace(lower({c}), '[^0-9a-z,''/ \\-]', '', 'g'), ',')"
 MONEY_A = "TRY_CAST(replace(replace({c}, '$', ''), ',', '') AS DOUBLE)"
@@ -57,24 +57,33 @@ def haversine(lat1, lon1, lat2, lon2) -> str:
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "listings": (
         (),
-        f"""SELECT o_orderkey AS id, o_custkey AS host_id,
+        f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % {TD.Q_HOST_NULL} <> 0 THEN o_custkey END AS host_id,
            'host ' || CAST(o_custkey AS VARCHAR) AS host_name,
            'listing ' || CAST(o_orderkey AS VARCHAR) AS name,
-           o_orderpriority AS city, o_orderstatus AS room_type,
-           '$' || format('{{:,.2f}}', o_totalprice) AS price,
-           {_scaled(TD.LAT_MULT, TD.LAT_MOD, TD.LAT_BASE, TD.LAT_SPAN)} AS latitude,
+           CASE WHEN o_orderkey % {TD.Q_CITY_NEW_YORK} = 0 THEN 'New York'
+                WHEN o_orderkey % {TD.Q_CITY_LOWER} = 0 THEN lower(o_orderpriority)
+                WHEN o_orderkey % {TD.Q_CITY_NULL} = 0 THEN NULL ELSE o_orderpriority END AS city,
+           o_orderstatus AS room_type,
+           CASE WHEN o_orderkey % {TD.Q_PRICE_NULL} = 0 THEN NULL
+                WHEN o_orderkey % {TD.Q_PRICE_WORDS} = 0 THEN 'call us'
+                WHEN o_orderkey % {TD.Q_PRICE_USD} = 0 THEN 'USD ' || format('{{:,.2f}}', o_totalprice)
+                ELSE '$' || format('{{:,.2f}}', o_totalprice) END AS price,
+           CASE WHEN o_orderkey % {TD.Q_LATITUDE_NULL} <> 0
+                THEN {_scaled(TD.LAT_MULT, TD.LAT_MOD, TD.LAT_BASE, TD.LAT_SPAN)} END AS latitude,
            {_scaled(TD.LON_MULT, TD.LON_MOD, TD.LON_BASE, TD.LON_SPAN)} AS longitude,
            CAST(80 + (o_orderkey * 31) % 21 AS VARCHAR) AS review_scores_rating
     FROM orders""",
     ),
     "per_order": (
         (),
-        """SELECT l_orderkey AS ok,
-           CAST(count(*) AS DOUBLE) / 12.0::DOUBLE AS reviews_per_month,
-           '{' || array_to_string(list_sort(coalesce(list(DISTINCT p_name) FILTER (WHERE p_name IS NOT NULL), [])), ',') || '}'
-               AS amenities
-    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
-    GROUP BY l_orderkey""",
+        f"""SELECT ok, reviews_per_month,
+           CASE WHEN ok % {TD.Q_AMENITIES_NONE} = 0 THEN '{{}}'
+                WHEN ok % {TD.Q_AMENITIES_QUOTED} = 0 THEN '{{"' || array_to_string(names, '","') || '"}}'
+                ELSE '{{' || array_to_string(names, ',') || '}}' END AS amenities
+    FROM (SELECT l_orderkey AS ok, CAST(count(*) AS DOUBLE) / 12.0::DOUBLE AS reviews_per_month,
+                 list_sort(coalesce(list(DISTINCT p_name) FILTER (WHERE p_name IS NOT NULL), [])) AS names
+          FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+          GROUP BY l_orderkey)""",
     ),
     "per_host": (
         (),
@@ -92,7 +101,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     FROM lineitem""",
     ),
     "reviews": ((), "SELECT l_orderkey AS listing_id, l_suppkey AS reviewer_id FROM lineitem"),
-    "descriptions": ((), "SELECT doc_id AS id, text AS description, source AS neighbourhood FROM documents"),
+    "descriptions": (
+        (),
+        f"""SELECT CASE WHEN doc_id % {TD.Q_ID_REPEATED} = 0 AND doc_id > 0 THEN doc_id - 1 ELSE doc_id END AS id,
+           CASE WHEN doc_id % {TD.Q_TEXT_BLANK} = 0 THEN ' ! '
+                WHEN doc_id % {TD.Q_TEXT_NULL} = 0 THEN NULL
+                WHEN doc_id % {TD.Q_TEXT_CAPITALS} = 0 THEN '\u0130N \u212aO ' || text ELSE text END AS description,
+           CASE WHEN doc_id % {TD.Q_TEXT_BLANK} = 0 THEN 'wordless'
+                WHEN doc_id % {TD.Q_NEIGHBOURHOOD_NULL} = 0 THEN NULL ELSE source END AS neighbourhood
+    FROM documents""",
+    ),
     # -- polygons ---------------------------------------------------------
     "features": (
         (),
@@ -118,7 +136,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "points": (
         (),
         f"""SELECT o_orderkey AS id, o_orderpriority AS city,
-           CAST((o_orderkey * {TD.POINT_X_MULT}) % {TD.POINT_X_MOD} AS DOUBLE) AS x,
+           CASE WHEN o_orderkey % {TD.Q_POINT_NULL} <> 0
+                THEN CAST((o_orderkey * {TD.POINT_X_MULT}) % {TD.POINT_X_MOD} AS DOUBLE) END AS x,
            CAST((o_orderkey // {TD.ORDERS_PER_BAND}) * {TD.CELL} + (o_orderkey * {TD.POINT_Y_MULT}) % {TD.POINT_Y_MOD}
                 AS DOUBLE) AS y
     FROM orders""",
@@ -164,11 +183,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "ntest": (
         ("points",),
-        f"""SELECT p.id, s.s_name AS neighbourhood, p.city
+        f"""SELECT CASE WHEN p.id % {TD.Q_LABEL_ID_NULL} <> 0 THEN p.id END AS id, s.s_name AS neighbourhood, p.city
     FROM (SELECT id, city,
                  CASE WHEN floor(x / {TD.CELL}) < {TD.GRID_COLUMNS}
                       THEN floor(y / {TD.CELL}) * {TD.GRID_COLUMNS} + floor(x / {TD.CELL}) END AS owner
-          FROM points) p
+          FROM points WHERE id % {TD.Q_LABEL_MISSING} <> 0) p
     LEFT JOIN supplier s ON p.owner = s.s_suppkey""",
     ),
     "mine_only": (
@@ -249,15 +268,19 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
            CAST(len(list_filter(a.amen, lambda x: list_contains(c.c_amenities, x))) AS BIGINT) AS common_amenities,
            {haversine('c.c_latitude', 'c.c_longitude', 'a.latitude', 'a.longitude')} AS distance
     FROM amen_listings a JOIN chosen c ON a.room_type = c.c_room_type
-    WHERE a.id <> {C.CHOSEN_LISTING}
-      AND a.id IN (SELECT listing_id FROM calendar WHERE available = 't' AND date = DATE '{C.AVAILABLE_DATE}')
+    WHERE a.id IN (SELECT listing_id FROM calendar WHERE available = 't' AND date = DATE '{C.AVAILABLE_DATE}')
       AND a.price <= c.c_price * (1.0::DOUBLE + {C.MAX_PRICE_INCREASE_PCT}::DOUBLE / 100.0::DOUBLE)""",
     ),
     "alts_top": (
         ("alts",),
-        f"""SELECT * FROM alts WHERE distance < {C.MAX_KM}::DOUBLE
+        f"""SELECT * FROM alts WHERE distance < {C.MAX_KM}::DOUBLE AND listing_id <> {C.CHOSEN_LISTING}
     ORDER BY common_amenities DESC, distance ASC, listing_id ASC LIMIT {C.N_ALTERNATIVES}""",
     ),
+    "alts_top_self": (
+        ("alts",),
+        f"""SELECT * FROM alts WHERE distance < {C.MAX_KM}::DOUBLE
+    ORDER BY common_amenities DESC, distance ASC, listing_id ASC LIMIT {C.N_ALTERNATIVES + 1}""",
+    ),
 }
 
 
@@ -321,11 +344,12 @@ def _top_terms_all(mode: str) -> str:
     )
 
 
-def _alternatives(wide: bool) -> str:
+def _alternatives(wide: bool, include_self: bool = False) -> str:
     cols = "listing_id, name, common_amenities, round(distance, 6) AS distance, round(price, 6) AS price"
     if wide:
         cols += ", round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, host_name, review_scores_rating"
-    return with_ctes(f"SELECT {cols} FROM alts_top", "alts_top")
+    name = "alts_top_self" if include_self else "alts_top"
+    return with_ctes(f"SELECT {cols} FROM {name}", name)
 
 
 def _income() -> str:
@@ -340,9 +364,24 @@ def _booked() -> str:
     GROUP BY l.city, l.host_id, l.id, l.price"""
 
 
+def _amenities(where: str) -> str:
+    return with_ctes(
+        f"""SELECT city, neighbourhood, string_agg(amenity, ',' ORDER BY amenity) AS amenities FROM (
+    SELECT DISTINCT a.city, coalesce(a.neighbourhood, '') AS neighbourhood,
+           unnest(string_split(replace(replace(replace(p.amenities, '{{', ''), '}}', ''), '"', ''), ',')) AS amenity
+    FROM listings l JOIN per_order p ON l.id = p.ok JOIN assigned a ON l.id = a.id
+    WHERE p.amenities IS NOT NULL {where})
+    GROUP BY city, neighbourhood""",
+        "listings",
+        "per_order",
+        "assigned",
+    )
+
+
 ORACLE: dict[str, str] = {
     # -- profile ----------------------------------------------------------
     "profile_distinct_ci": _profile_sql(),
+    "profile_distinct_approx": f"SELECT *, true AS within_bound FROM ({_profile_sql()})",
     "distinct_cities": with_ctes("SELECT DISTINCT city FROM listings", "listings"),
     "distinct_states_normalised": with_ctes(
         f"""SELECT DISTINCT CASE WHEN {ASCII_UPPER.format(c='city')} = 'NEW YORK' THEN 'NY'
@@ -417,6 +456,13 @@ ORACLE: dict[str, str] = {
         "listings",
         "calendar",
     ),
+    "top_hosts_by_city_lists": with_ctes(
+        f"""SELECT city, string_agg(CAST(host_id AS VARCHAR), ',' ORDER BY rank) AS top_hosts FROM (
+    SELECT city, host_id, row_number() OVER (PARTITION BY city ORDER BY income DESC, host_id ASC) AS rank
+    FROM ({_income()})) WHERE rank <= 3 GROUP BY city""",
+        "listings",
+        "calendar",
+    ),
     # -- guests -----------------------------------------------------------
     "reviews_by_city_guest": with_ctes(
         """SELECT l.city, r.reviewer_id, CAST(count(*) AS BIGINT) AS n_reviews
@@ -442,6 +488,12 @@ ORACLE: dict[str, str] = {
         "reviews",
         "listings",
     ),
+    "spend_by_guest": with_ctes(
+        f"""SELECT r.reviewer_id, round(sum({MONEY_A.format(c='l.price')} * 3.0::DOUBLE), {MONEY}) AS spend
+    FROM reviews r JOIN listings l ON r.listing_id = l.id GROUP BY r.reviewer_id""",
+        "reviews",
+        "listings",
+    ),
     "biggest_spender": with_ctes(
         f"""SELECT reviewer_id, round(spend, {MONEY}) AS spend FROM (
     SELECT r.reviewer_id, sum({MONEY_A.format(c='l.price')} * 3.0::DOUBLE) AS spend
@@ -477,23 +529,18 @@ ORACLE: dict[str, str] = {
         "disagree",
         "ntest",
     ),
-    "amenities_by_neighbourhood": with_ctes(
-        """SELECT city, neighbourhood, string_agg(amenity, ',' ORDER BY amenity) AS amenities FROM (
-    SELECT DISTINCT l.city, coalesce(a.neighbourhood, '') AS neighbourhood,
-           unnest(string_split(replace(replace(replace(p.amenities, '{', ''), '}', ''), '"', ''), ',')) AS amenity
-    FROM listings l JOIN per_order p ON l.id = p.ok JOIN assigned a ON l.id = a.id
-    WHERE p.amenities IS NOT NULL)
-    GROUP BY city, neighbourhood""",
-        "listings",
-        "per_order",
-        "assigned",
+    "polygon_edges_geojson": with_ctes(
+        "SELECT pid, neighbourhood, neighbourhood_group, part, ring, i, x1, y1, x2, y2 FROM edges", "edges"
     ),
+    "amenities_by_neighbourhood": _amenities(""),
+    "amenities_one_city": _amenities(f"AND a.city = '{C.ONE_CITY}'"),
     "listing_price_points": with_ctes(
         "SELECT latitude AS lat, longitude AS lon, price, name FROM listings", "listings"
     ),
     # -- terms ------------------------------------------------------------
     "term_counts": with_ctes("SELECT id, term, CAST(n AS BIGINT) AS n FROM counts_l", "counts_l"),
     "idf_by_listing": with_ctes(f"SELECT term, round(idf, {FINE}) AS idf FROM idf_l", "idf_l"),
+    "idf_by_neighbourhood": with_ctes(f"SELECT term, round(idf, {FINE}) AS idf FROM idf_n", "idf_n"),
     "tf_one_listing": with_ctes(
         f"SELECT term, round(tf, {FINE}) AS tf FROM tf_l WHERE id = {C.TFIDF_LISTING}", "tf_l"
     ),
@@ -501,8 +548,11 @@ ORACLE: dict[str, str] = {
     "tfidf_top_terms_neighbourhood": _top_terms_one("neighbourhood", C.TFIDF_NEIGHBOURHOOD),
     "tfidf_top_terms_all": _top_terms_all("listing"),
     "tfidf_top_terms_all_neighbourhoods": _top_terms_all("neighbourhood"),
-    "listing_corpus": """SELECT d.doc_id AS id, d.text AS description, m.source AS neighbourhood
-    FROM documents d JOIN documents m ON d.doc_id = m.doc_id WHERE d.text IS NOT NULL""",
+    "listing_corpus": with_ctes(
+        """SELECT d.id, d.description, m.source AS neighbourhood
+    FROM descriptions d JOIN documents m ON d.id = m.doc_id WHERE d.description IS NOT NULL""",
+        "descriptions",
+    ),
     # -- alternatives -----------------------------------------------------
     "listing_profile": with_ctes(
         f"""SELECT c_id AS id, round(c_latitude, {FINE}) AS latitude, round(c_longitude, {FINE}) AS longitude,
@@ -528,4 +578,5 @@ ORACLE: dict[str, str] = {
     ),
     "alternative_listings": _alternatives(False),
     "alternative_listings_map": _alternatives(True),
+    "alternative_listings_with_self": _alternatives(False, True),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,27 +45,53 @@ def read_tsv(
 def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON FeatureCollection file(s) -> one row per feature.
 
-    Output columns: ``pid`` (0-based feature position in the file, the order in
-    which polygons are tried), ``neighbourhood``, ``neighbourhood_group``,
-    ``coordinates`` (MultiPolygon arrays).
+    Output columns: ``pid`` (0-based position over all files, by file path and
+    then by position in the file: the order in which polygons are tried),
+    ``neighbourhood``, ``neighbourhood_group``, ``coordinates`` (MultiPolygon
+    arrays).
 
     A FeatureCollection is one JSON document, so each file is parsed by one task
     (``multiLine``); neighbourhood files are small. For large polygon sets use
     :func:`read_geojson_seq`, which splits across tasks.
     """
     doc = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True).json(path)
-    return _flatten_features(doc.select(F.posexplode("features").alias("pid", "f")))
+    rows = doc.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_pos", "f"))
+    return _flatten_features(_numbered(rows, ["_file"]))
 
 
 def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     """Newline-delimited GeoJSON features (one Feature object per line).
 
-    ``pid`` is derived from the line order with ``monotonically_increasing_id``
-    (increasing in file order, not dense), which is what first-match needs.
+    ``pid`` numbers the features by file path and line. Tasks read splits of
+    files in any order, so a split's rows are numbered within and shifted by the
+    rows of the splits before it.
     """
-    rows = spark.read.schema(schemas.FEATURE_RAW).json(path)
-    rows = rows.select(F.monotonically_increasing_id().alias("pid"), F.struct(*rows.columns).alias("f"))
-    return _flatten_features(rows)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.from_json("value", schemas.FEATURE_RAW).alias("f"),
+    )
+    in_split = Window.partitionBy("_file", "_start").orderBy("_row")
+    rows = lines.withColumn("_pos", F.row_number().over(in_split) - 1).drop("_row")
+    return _flatten_features(_numbered(rows, ["_file", "_start"]))
+
+
+def features_from_text(rows: DataFrame, value: str = "value", pid: str = "pid") -> DataFrame:
+    """Feature objects as JSON text, with their number -> one row per feature, as
+    the file readers give it."""
+    return _flatten_features(rows.select(F.col(pid).alias("pid"), F.from_json(value, schemas.FEATURE_RAW).alias("f")))
+
+
+def _numbered(rows: DataFrame, parts: list[str]) -> DataFrame:
+    """``rows`` with ``pid``: ``_pos`` (0-based and gapless within the files or
+    splits ``parts``) plus the rows of the parts before. Only the counts, one row
+    for each part, are ordered as a whole."""
+    counts = rows.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*parts, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(starts, parts).withColumn("pid", F.col("_before") + F.col("_pos"))
 
 
 def _flatten_features(rows: DataFrame) -> DataFrame:

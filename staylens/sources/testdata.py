@@ -24,14 +24,18 @@ neighbourhood_test
                a reference labelling of every listing point: the supplier
                owning the point's grid cell (NULL outside the grid)
 
+The driver's tables are clean, so the adapters make some rows irregular by their
+keys (the ``Q_`` numbers): NULL, worded and foreign-currency prices, lower-case, NULL
+and "New York" cities, NULL hosts and coordinates, quoted and empty amenities, blank
+and NULL descriptions, a neighbourhood without words, repeated ids, and labels that
+are missing or have a NULL id.
+
 Every adapter is a lazy projection / aggregation of whole tables, so the work
 of every registered query grows with the data.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +63,21 @@ SHAPES = (
     # 3: two parts: a small square and a triangle
     ((((0, 0), (40, 0), (40, 40), (0, 40)),), (((50, 50), (100, 50), (100, 100)),)),
 )
+# irregular rows: a row whose key is divisible by the number is irregular that way
+Q_PRICE_NULL, Q_PRICE_WORDS, Q_PRICE_USD = 97, 89, 83
+Q_CITY_NEW_YORK, Q_CITY_LOWER, Q_CITY_NULL = 53, 7, 103
+Q_HOST_NULL, Q_LATITUDE_NULL, Q_POINT_NULL = 101, 113, 127
+Q_AMENITIES_NONE, Q_AMENITIES_QUOTED = 61, 5
+Q_TEXT_BLANK, Q_TEXT_NULL, Q_TEXT_CAPITALS = 41, 43, 37
+Q_NEIGHBOURHOOD_NULL, Q_ID_REPEATED = 47, 59
+Q_LABEL_MISSING, Q_LABEL_ID_NULL = 31, 29
 # ---------------------------------------------------------------------------
 
 
+def _every(key: Column, n: int) -> Column:
+    return key % n == 0
+
+
 def closed(ring):
     """Ring of (dx, dy) with the first point repeated at the end."""
     return tuple(ring) + (ring[0],)
@@ -90,15 +106,30 @@ class TestTables:
         ``host_listings_count``, ``reviews_per_month``, ``amenities``.
         Only the requested ones are joined, so queries pay for what they use."""
         o = self.raw("orders")
+        k = F.col("o_orderkey")
+        city = (
+            F.when(_every(k, Q_CITY_NEW_YORK), "New York")
+            .when(_every(k, Q_CITY_LOWER), F.lower("o_orderpriority"))
+            .when(_every(k, Q_CITY_NULL), F.lit(None))
+            .otherwise(F.col("o_orderpriority"))
+        )
+        amount = F.format_number("o_totalprice", 2)
+        price = (
+            F.when(_every(k, Q_PRICE_NULL), F.lit(None))
+            .when(_every(k, Q_PRICE_WORDS), "call us")
+            .when(_every(k, Q_PRICE_USD), F.concat(F.lit("USD "), amount))
+            .otherwise(F.concat(F.lit("$"), amount))
+        )
+        latitude = _scaled(F.col("o_orderkey"), LAT_MULT, LAT_MOD, LAT_BASE, LAT_SPAN)
         df = o.select(
             F.col("o_orderkey").alias("id"),
-            F.col("o_custkey").alias("host_id"),
+            F.when(~_every(k, Q_HOST_NULL), F.col("o_custkey")).alias("host_id"),
             F.concat(F.lit("host "), F.col("o_custkey").cast("string")).alias("host_name"),
             F.concat(F.lit("listing "), F.col("o_orderkey").cast("string")).alias("name"),
-            F.col("o_orderpriority").alias("city"),
+            city.alias("city"),
             F.col("o_orderstatus").alias("room_type"),
-            F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("price"),
-            _scaled(F.col("o_orderkey"), LAT_MULT, LAT_MOD, LAT_BASE, LAT_SPAN).alias("latitude"),
+            price.alias("price"),
+            F.when(~_every(k, Q_LATITUDE_NULL), latitude).alias("latitude"),
             _scaled(F.col("o_orderkey"), LON_MULT, LON_MOD, LON_BASE, LON_SPAN).alias("longitude"),
             (F.lit(80) + (F.col("o_orderkey") * 31) % 21).cast("string").alias("review_scores_rating"),
         )
@@ -113,10 +144,15 @@ class TestTables:
             if want_amen:
                 part = self.raw("part").select("p_partkey", "p_name")
                 li = li.join(part, li.l_partkey == part.p_partkey, "left")
+                names = F.array_sort(F.collect_set("p_name"))
+                plain = F.concat(F.lit("{"), F.array_join(names, ","), F.lit("}"))
+                quoted = F.concat(F.lit('{"'), F.array_join(names, '","'), F.lit('"}'))
+                order = F.col("l_orderkey")
                 aggs.append(
-                    F.concat(
-                        F.lit("{"), F.array_join(F.array_sort(F.collect_set("p_name")), ","), F.lit("}")
-                    ).alias("amenities")
+                    F.when(_every(order, Q_AMENITIES_NONE), "{}")
+                    .when(_every(order, Q_AMENITIES_QUOTED), quoted)
+                    .otherwise(plain)
+                    .alias("amenities")
                 )
             if want_rpm:
                 aggs.append((F.count(F.lit(1)).cast("double") / F.lit(12.0)).alias("reviews_per_month"))
@@ -138,16 +174,30 @@ class TestTables:
 
     # -- descriptions ---------------------------------------------------------
     def descriptions(self) -> DataFrame:
-        """Listing descriptions with their neighbourhood (already joined)."""
+        """Listing descriptions with their neighbourhood (already joined): some blank
+        (all of those in one neighbourhood), NULL, with the two capitals that fold to
+        ASCII, without neighbourhood, or under the id of the row before."""
+        k = F.col("doc_id")
+        text = (
+            F.when(_every(k, Q_TEXT_BLANK), " ! ")
+            .when(_every(k, Q_TEXT_NULL), F.lit(None))
+            .when(_every(k, Q_TEXT_CAPITALS), F.concat(F.lit("\u0130N \u212aO "), F.col("text")))
+            .otherwise(F.col("text"))
+        )
+        place = (
+            F.when(_every(k, Q_TEXT_BLANK), "wordless")
+            .when(_every(k, Q_NEIGHBOURHOOD_NULL), F.lit(None))
+            .otherwise(F.col("source"))
+        )
         return self.raw("documents").select(
-            F.col("doc_id").alias("id"),
-            F.col("text").alias("description"),
-            F.col("source").alias("neighbourhood"),
+            F.when(_every(k, Q_ID_REPEATED) & (k > 0), k - 1).otherwise(k).alias("id"),
+            text.alias("description"),
+            place.alias("neighbourhood"),
         )
 
     def description_listings(self) -> DataFrame:
         """Listing side of the corpus join: (id, description)."""
-        return self.raw("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("description"))
+        return self.descriptions().select("id", "description")
 
     def neighbourhood_map(self) -> DataFrame:
         """Map side of the corpus join: (id, neighbourhood)."""
@@ -179,33 +229,46 @@ class TestTables:
             coords.alias("coordinates"),
         )
 
-    def listing_points(self) -> DataFrame:
-        """(id, city, longitude=x, latitude=y) on the planar polygon grid."""
+    def features_text(self) -> DataFrame:
+        """The features as GeoJSON text, one Feature object per row, with their pid."""
+        f = F.struct(
+            F.lit("Feature").alias("type"),
+            F.struct(F.lit("MultiPolygon").alias("type"), F.col("coordinates")).alias("geometry"),
+            F.struct("neighbourhood", "neighbourhood_group").alias("properties"),
+        )
+        return self.features().select("pid", F.to_json(f).alias("value"))
+
+    def listing_points(self, amenities: bool = False) -> DataFrame:
+        """(id, city, longitude=x, latitude=y) on the planar polygon grid; with
+        ``amenities`` also that column of the listings."""
         k = F.col("o_orderkey")
         x = ((k * POINT_X_MULT) % POINT_X_MOD).cast("double")
         y = (F.floor(k / ORDERS_PER_BAND) * CELL + (k * POINT_Y_MULT) % POINT_Y_MOD).cast("double")
-        return self.raw("orders").select(
-            k.alias("id"), F.col("o_orderpriority").alias("city"), x.alias("longitude"), y.alias("latitude")
+        points = self.raw("orders").select(
+            k.alias("id"),
+            F.col("o_orderpriority").alias("city"),
+            F.when(~_every(k, Q_POINT_NULL), x).alias("longitude"),
+            y.alias("latitude"),
         )
+        if amenities:
+            points = points.join(self.listings(("amenities",)).select("id", "amenities"), "id")
+        return points
 
     def neighbourhood_test(self) -> DataFrame:
-        """Reference labelling: the supplier owning the point's grid cell."""
-        pts = self.listing_points()
+        """Reference labelling: the supplier owning the point's grid cell; some ids
+        have no row, some rows a NULL id."""
+        pts = self.listing_points().where(~_every(F.col("id"), Q_LABEL_MISSING))
         cx = F.floor(F.col("longitude") / CELL)
         cy = F.floor(F.col("latitude") / CELL)
         owner = F.when(cx < GRID_COLUMNS, cy * GRID_COLUMNS + cx)
         pts = pts.select("id", "city", owner.alias("owner"))
         s = self.raw("supplier").select("s_suppkey", "s_name")
         return pts.join(s, pts.owner == s.s_suppkey, "left").select(
-            "id", F.col("s_name").alias("neighbourhood"), "city"
+            F.when(~_every(F.col("id"), Q_LABEL_ID_NULL), F.col("id")).alias("id"),
+            F.col("s_name").alias("neighbourhood"),
+            "city",
         )
 
 
-@functools.lru_cache(maxsize=16)
-def tables_for(spark: SparkSession, sf_dir: str) -> TestTables:
-    """One shared ``TestTables`` per (session, directory)."""
-    return TestTables(spark, sf_dir)
-
-
 def _scaled(key: Column, mult: int, mod: int, base: float, span: float) -> Column:
     return F.lit(base) + ((key * mult) % mod).cast("double") / F.lit(float(mod)) * F.lit(span)

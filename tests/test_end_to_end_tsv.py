@@ -54,9 +54,9 @@ def test_native_inputs(spark, tmp_path):
         ("New York", 11, 1200.0), ("Seattle", 10, 240.0)]
     assert rows(guests.reviews_by_city_guest(rev, lst)) == [("New York", 9, 1), ("Seattle", 7, 2), ("Seattle", 8, 1)]
     edges = spatial.polygon_edges(read_geojson_features(spark, str(tmp_path / "nb.geojson")))
-    asg = spatial.assign_neighbourhood(lst, edges, keep=("city",))
+    asg = spatial.assign_neighbourhood(lst, edges, keep=("city", "amenities"))
     assert rows(asg, "id", "neighbourhood") == [(1, "Downtown"), (2, "Downtown"), (3, None)]
-    am = rows(spatial.amenities_by_neighbourhood(lst, asg, city="Seattle"))
+    am = rows(spatial.amenities_by_neighbourhood(asg, city="Seattle"))
     assert am == [("Seattle", "Downtown", "Kitchen,TV,Wireless Internet")]
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from staylens.operators import guests, hosts, spatial
+from staylens.operators import guests, hosts, spatial, terms
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -94,3 +94,30 @@ def test_hot_cell_spatial(skew_session):
     res = {r["id"]: r["neighbourhood"] for r in got.collect()}
     assert sum(1 for v in res.values() if v == "hot") == 1000
     assert sum(1 for v in res.values() if v == "cold") == 2000
+
+
+def test_hot_term_and_hot_neighbourhood_are_dealt_to_many_tasks(skew_session):
+    """One term in every description, a third of the listings in one
+    neighbourhood: no task of the salted joins gets a share near the whole."""
+    from pyspark.sql import functions as F
+
+    spark = skew_session
+    texts = [(i, f"the w{i % 50} x{i}", "hot" if i % 3 == 0 else f"n{i % 40}") for i in range(1200)]
+    c = spark.createDataFrame(texts, "id long, description string, neighbourhood string").repartition(8)
+    salted = terms.term_counts(c).where(F.col("term") == "the").withColumn(
+        "_salt", F.pmod(F.xxhash64("id"), F.lit(terms.SALTS))
+    )
+    dealt = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert len(dealt) == terms.SALTS and max(dealt) < 2 * 1200 / terms.SALTS
+    for mode, key in (("listing", "id"), ("neighbourhood", "neighbourhood")):
+        df = terms.tfidf_top_terms_all(c, mode, 3)
+        assert "_salt" in final_plan(df)
+        got = {(r[key], r["term"]): r["weight"] for r in df.collect()}
+        docs = {}
+        for i, t, n in texts:
+            docs.setdefault(i if mode == "listing" else n, []).extend(t.split())
+        df_of = Counter(t for d in docs.values() for t in set(d))
+        for (k, t), w in got.items():
+            want = docs[k].count(t) / len(docs[k]) * len(docs) / df_of[t]
+            assert abs(w - want) < 1e-9
+        assert len(got) == sum(min(3, len(set(d))) for d in docs.values())

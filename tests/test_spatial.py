@@ -117,15 +117,26 @@ def test_agreement(spark):
     assert abs(a["agreement_pct"] - 4 / 6 * 100) < 1e-12
 
 
+def test_agreement_with_null_and_repeated_ids(spark):
+    schema = "id long, neighbourhood string, city string"
+    mine = spark.createDataFrame([(None, "a", "X"), (1, "b", "X"), (1, "c", "X"), (2, "d", "X")], schema)
+    test = spark.createDataFrame([(None, "z", "X"), (1, "y", "X"), (2, "d", "X")], schema)
+    pairs = rows(spatial.neighbourhood_disagreements(mine, test))
+    assert pairs == [(1, "b", "y"), (1, "c", "y")]  # a NULL id pairs with nothing
+    a = spatial.neighbourhood_agreement(mine, test).collect()[0]
+    assert (a["n_listings"], a["n_disagreements"], a["n_unlabelled"], a["agreement_pct"]) == (4, 2, 1, 50.0)
+
+
 def test_amenities_by_neighbourhood(spark):
     lst = spark.createDataFrame(
         [(1, "S", '{TV,"Wi Fi",Kitchen}'), (2, "S", "{TV,Pool}"), (3, "S", None), (4, "S", "{}"), (5, "T", "{TV}")],
         "id long, city string, amenities string",
     )
     asg = spark.createDataFrame([(1, "n1"), (2, "n1"), (3, "n1"), (4, None), (5, "n2")], "id long, neighbourhood string")
-    got = rows(spatial.amenities_by_neighbourhood(lst, asg))
+    kept = lst.join(asg, "id")
+    got = rows(spatial.amenities_by_neighbourhood(kept))
     assert got == [("S", "", ""), ("S", "n1", "Kitchen,Pool,TV,Wi Fi"), ("T", "n2", "TV")]
-    assert rows(spatial.amenities_by_neighbourhood(lst, asg, city="T")) == [("T", "n2", "TV")]
+    assert rows(spatial.amenities_by_neighbourhood(kept, city="T")) == [("T", "n2", "TV")]
 
 
 def test_geojson_reader(spark, tmp_path):

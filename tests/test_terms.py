@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import re
 from collections import Counter
 
@@ -78,8 +80,23 @@ def test_corpus_join(spark):
 def test_single_document_paths_agree(spark):
     c = corpus(spark)
     for mode, value in (("listing", 1), ("listing", 3), ("neighbourhood", "n1"), ("neighbourhood", "n3")):
-        fast = rows(terms.tfidf_top_terms(c, value, mode, 50))
-        full = rows(terms.tfidf_top_terms(c, value, mode, 50, max_broadcast_terms=0))
-        assert fast == full, (mode, value)
+        key = {"listing": "id"}.get(mode, mode)
+        one = rows(terms.tfidf_top_terms(c, value, mode, 50))
+        every = rows(terms.tfidf_top_terms_all(c, mode, 50).where(F.col(key) == value), "term", "weight")
+        assert one == every, (mode, value)
     # a wordless neighbourhood keeps its single empty token (falls back to the full table)
     assert rows(terms.tfidf_top_terms(c, "n3", "neighbourhood", 5), "term") == [("",)]
+
+
+def test_a_blank_listing_and_odd_ids(spark):
+    import pytest
+
+    c = spark.createDataFrame(
+        [(1, " !? ", "n1"), (2, "", "n1"), (3, "loft", "n1"), (4, None, "n1")],
+        "id long, description string, neighbourhood string",
+    )
+    # N = 3 described listings, two of them blank
+    assert rows(terms.tfidf_top_terms(c, 1)) == [("", 1.5)]
+    for bad in ("\u00b2", "-1", "x"):
+        with pytest.raises(ValueError):
+            terms.tf_one(c, bad)

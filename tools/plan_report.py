@@ -35,14 +35,14 @@ NODES = [
 
 
 def main():
-    import __spark_entry__ as E
+    from staylens.plans.catalog import QUERIES
 
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    keys = [a for a in args if not a.startswith(("/", "--"))] or list(E.queries())
+    keys = [a for a in args if not a.startswith(("/", "--"))] or list(QUERIES)
     spark = build_session(shuffle_partitions=16)
     for k in keys:
-        df = E.queries()[k](spark, sf_dir)
+        df = QUERIES[k](spark, sf_dir)
         t0 = time.time()
         df.collect()  # runs this DataFrame's own execution, so the plan below is AQE-final
         dt = time.time() - t0
