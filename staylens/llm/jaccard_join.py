@@ -352,7 +352,8 @@ def jaccard_components(
         "hub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "tiles", F.col("hub").alias("id")
     )
     block = staged(spread.union(hub_rows), "blocks")
-    texts = staged(source.join(block.select("id").distinct(), "id", "left_semi"), "texts")
+    # a merge join at every size: candidates grow with the documents
+    texts = staged(source.join(block.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
     tiles = block.select("hub", "tile", "id").join(texts, "id")
     links = staged(tiles.groupBy("hub", "tile").applyInArrow(_links(n, percent), "a long, b long"), "links")
     # rows that repeat a key make one node of their classes
@@ -391,7 +392,7 @@ def keep_one_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", *
     found = jaccard_components(docs, text=text, key=key, **settings)
     stay = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
     without_key = docs.where(F.col(key).isNull())
-    once = docs.join(stay, key, "left_semi").select(*docs.columns)
+    once = docs.join(stay.hint("merge"), key, "left_semi").select(*docs.columns)
     repeated = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     repeated = staged(repeated.where("n > 1").select(key), "repeated")
     if not repeated.limit(1).count():

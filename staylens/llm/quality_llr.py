@@ -132,7 +132,9 @@ def bucket_weights(
     and its share T / R of the prior. ``trusted`` has the keys of the target's documents; repeated
     and NULL keys in it are ignored. Of an empty corpus all weights are 0."""
     ids = trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct().withColumn("_t", F.lit(1))
-    both = docs.select(F.col(key).alias("_k"), text_or_empty(text).alias("_x")).join(ids, "_k", "left")
+    both = docs.select(F.col(key).alias("_k"), text_or_empty(text).alias("_x"))
+    # a merge join at every size: labels grow with the documents
+    both = both.join(ids.hint("merge"), "_k", "left")
     # pairs by zipping the words with themselves, one on; the last word has no pair
     listed = both.select(words(F.col("_x")).alias("w"), F.coalesce("_t", F.lit(0)).alias("_t"))
     pairs = F.explode(F.arrays_zip(F.col("w"), F.slice("w", F.lit(2), F.size("w")).alias("next")))
