@@ -1,6 +1,6 @@
 """Document fingerprints by order MinHash.
 
-The k-mers of a text (runs of ``K`` words) are numbered by occurrence and hashed. The hash's first
+The k-mers of a text (runs of ``K`` words, shorter at its end) are numbered by occurrence and hashed. The hash's first
 bits deal them to ``BINS`` bins; in each bin the ``TUPLE`` smallest are kept, put back into the order
 in which they stand in the text, and hashed as a tuple. Two fingerprints agree in a bin only if the
 same k-mers are smallest there and stand in the same order, so their likeness follows the edit
@@ -24,36 +24,58 @@ BLOCK_BITS = 10
 
 
 def _kmers(w: Column, k: int) -> Column:
-    """Hash of each run of k words; of all words if there are fewer."""
-    n = F.size(w)
-    runs = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[w[i + j] for j in range(k)]))
-    return F.when(n >= k, runs).when(n > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
+    """For each word a hash of the run of k words from there on; the last k - 1 runs are shorter."""
+    return F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, k)]))
 
 
-def _numbered(h: Column) -> Column:
-    """(h, i) for each k-mer, with a hash that also tells its occurrence: the first keeps its own."""
-    plain = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+def _places(flags: Column) -> Column:
+    return F.filter(flags, lambda j: j.isNotNull())
 
-    def by_runs(s: Column) -> Column:
-        starts = F.filter(
-            F.transform(s, lambda e, j: F.when((j == 0) | (F.get(s, j - 1)["h"] != e["h"]), j)),
-            lambda j: j.isNotNull(),
-        )
 
-        def run(begin: Column, end: Column) -> Column:
-            return F.transform(
-                F.slice(s, begin + 1, end - begin),
-                lambda e, o: F.struct(
-                    F.when(o == 0, e["h"]).otherwise(F.xxhash64(e["h"], o)).alias("h"), e["i"].alias("i")
-                ),
-            )
-
-        return let(
-            starts,
-            lambda b: F.flatten(F.transform(b, lambda at, r: run(at, F.coalesce(F.get(b, r + 1), F.size(s))))),
-        )
+def _repeats(h: Column) -> Column:
+    """(h, i) for each k-mer that stood in the text before: a hash of the k-mer and its occurrence, and
+    its place. K-mers are sorted as longs, the upper bits of the hash before the place, so that the
+    occurrences of one become neighbours in the order of the text."""
+
+    def numbered(bits: Column) -> Column:
+        def by_mask(m: Column) -> Column:
+            packed = F.transform(h, lambda x, i: x.bitwiseAND(-1 - m).bitwiseOR(i.cast("long")))
+
+            def occurrences(s: Column) -> Column:
+                def again(x: Column, j: Column) -> Column:
+                    return F.call_function("shiftright", x.bitwiseXOR(F.get(s, j - 1)), bits) == 0
+
+                def place(j: Column) -> Column:
+                    return F.get(s, j).bitwiseAND(m).cast("int")
+
+                def runs(d: Column) -> Column:
+                    """``d``: where in ``s`` a k-mer equals the one before; neighbours are a run."""
+                    first = _places(
+                        F.transform(d, lambda j, t: F.when(F.coalesce(F.get(d, t - 1) != j - 1, F.lit(True)), t))
+                    )
+
+                    def run(begin: Column, end: Column) -> Column:
+                        return F.transform(
+                            F.slice(d, begin + 1, end - begin),
+                            lambda j, o: F.struct(
+                                F.xxhash64(F.get(h, place(j)), o + 1).alias("h"), place(j).alias("i")
+                            ),
+                        )
+
+                    return let(
+                        first,
+                        lambda b: F.flatten(F.transform(b, lambda at, r: run(at, F.coalesce(F.get(b, r + 1), F.size(d))))),
+                    )
+
+                return let(_places(F.transform(s, lambda x, j: F.when(again(x, j), j))), runs)
 
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), plain).otherwise(let(F.sort_array(plain), by_runs))
+            return let(F.sort_array(packed), occurrences)
+
+        return let(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1, by_mask)
+
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    some = let(F.length(F.bin(F.size(h).cast("long"))), numbered)
+    return F.when(F.size(F.array_distinct(h)) < F.size(h), some).otherwise(none)
 
 
 def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int = BIN_BITS) -> Column:
@@ -63,13 +85,26 @@ def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int =
     def bin_of(h: Column) -> Column:
         return F.shiftrightunsigned(h, 64 - bin_bits)
 
-    def smallest(s: Column) -> Column:
-        return F.filter(s, lambda x, j: (j < size) | (bin_of(F.get(s, j - size)) != bin_of(x)))
+    def other_bin(x: Column, y: Column) -> Column:
+        """Whether two hashes lie in different bins; a NULL lies in none."""
+        return bin_of(x.bitwiseXOR(F.coalesce(y, F.bitwise_not(x)))) != 0
+
+    def smallest(h: Column) -> Column:
+        """(h, i) of the smallest first occurrences of each bin, with their place."""
+        chosen = let(
+            F.sort_array(F.array_distinct(h)),
+            lambda s: F.filter(s, lambda x, j: other_bin(x, F.get(s, j - size))),
+        )
+        return F.transform(
+            chosen, lambda x: F.struct(x.alias("h"), (F.array_position(h, x) - 1).cast("int").alias("i"))
+        )
+
+    def of_each_bin(s: Column) -> Column:
+        return F.filter(s, lambda e, j: other_bin(e["h"], F.get(s, j - size)["h"]))
 
     def tuples(chosen: Column) -> Column:
-        first = F.filter(
-            F.transform(chosen, lambda e, j: F.when((j == 0) | (bin_of(F.get(chosen, j - 1)["h"]) != bin_of(e["h"])), j)),
-            lambda j: j.isNotNull(),
+        first = _places(
+            F.transform(chosen, lambda e, j: F.when(other_bin(e["h"], F.get(chosen, j - 1)["h"]), j))
         )
 
         def token(j: Column) -> Column:
@@ -81,18 +116,10 @@ def fingerprint(text: Column, *, k: int = K, size: int = TUPLE, bin_bits: int =
 
         return F.transform(first, token)
 
-    def sketch(numbered: Column) -> Column:
-        hashes = F.transform(numbered, lambda e: e["h"])
-
-        def with_place(hs: Column) -> Column:
-            return F.transform(
-                let(F.sort_array(hs), smallest),
-                lambda x: F.get(numbered, (F.array_position(hs, x) - 1).cast("int")),
-            )
-
-        return let(let(hashes, with_place), tuples)
+    def sketch(h: Column) -> Column:
+        return let(let(F.sort_array(F.concat(smallest(h), _repeats(h))), of_each_bin), tuples)
 
-    return let(let(let(words(text), lambda w: _kmers(w, k)), _numbered), sketch)
+    return let(let(words(text), lambda w: _kmers(w, k)), sketch)
 
 
 def as_text(fp: Column) -> Column:

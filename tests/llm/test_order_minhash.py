@@ -23,7 +23,7 @@ def brute(text, k=O.K, size=O.TUPLE, bits=O.BIN_BITS):
             h = xxhash.xxh64_intdigest(p, h)
         return h
 
-    runs = [w[i : i + k] for i in range(len(w) - k + 1)] if len(w) >= k else [w] if w else []
+    runs = [w[i : i + k] for i in range(len(w))]
     seen, numbered = {}, []
     for i, r in enumerate(runs):
         h = chain(r)
