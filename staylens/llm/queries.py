@@ -73,9 +73,18 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- mixing sources to target weights ---------------------------------------------------------
 
-#: Token shares. A source, language or topic without a share gets what the others leave.
-SOURCE_SHARES = {"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)}
-LANG_SHARES = {"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.15}
+#: Share of the tokens for all sources, and for all languages, that aren't listed, NULL included. Where
+#: a corpus has none of them the listed ones fill the sample in proportion, and the other way round.
+REST_SHARE = 0.1
+
+
+def _beside_rest(shares: dict[str, float]) -> dict[str, float]:
+    return {value: share * (1 - REST_SHARE) for value, share in shares.items()}
+
+
+#: Token shares. Unlisted values get what these leave, REST_SHARE. Every text has one of the topics.
+SOURCE_SHARES = _beside_rest({"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)})
+LANG_SHARES = _beside_rest({"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.15})
 TOPIC_SHARES = {"table": 0.04, "note": 0.12, "article": 0.44, "long": 0.40}
 MIX_TARGETS = {"source": SOURCE_SHARES, "lang": LANG_SHARES, "topic": TOPIC_SHARES}
 

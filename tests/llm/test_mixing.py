@@ -4,6 +4,7 @@ from collections import Counter
 from helpers import no_docs, odd_docs
 
 from staylens.llm import mixing as M
+from staylens.llm import queries as Q
 
 TARGETS = {"source": {"a": 0.5, "b": 0.3}, "lang": {"en": 0.7, "fr": 0.3}}
 
@@ -74,3 +75,34 @@ def test_odd_rows_and_no_rows(spark):
     assert M.with_probability(no_docs(spark), TARGETS).count() == 0
     # the verdict is one for all rows of a key
     assert out.where("doc_id = 3").select("kept").distinct().count() == 1
+
+
+def _mix(spark, tmp_path, place):
+    """op5_mix over 900 documents whose (source, lang) is ``place`` of their number."""
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 900)), *place(i)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = Q.op5_mix(spark, str(tmp_path)).collect()
+    total = sum(r["n_tokens"] for r in rows)
+    return rows, sum(r["n_tokens"] * r["probability"] for r in rows) / total
+
+
+def test_unlisted_and_null_values_are_drawn(spark, tmp_path):
+    places = [("src0", "en"), ("books", "en"), (None, "fr"), ("src1", "pt"), ("src2", None), (None, None)]
+    rows, _ = _mix(spark, tmp_path, lambda i: places[i % 6])
+    assert all(r["probability"] > 0 for r in rows)
+    for k, dim in enumerate(("source", "lang")):
+        for value in {place[k] for place in places}:
+            assert any(r["kept"] for r in rows if r[dim] == value), (dim, value)
+
+
+def test_a_corpus_of_unlisted_values_only_fills_the_sample(spark, tmp_path):
+    rows, share = _mix(spark, tmp_path, lambda i: ("books" if i % 2 else None, None if i % 3 else "pt"))
+    assert sum(r["kept"] for r in rows) > 100
+    assert abs(share - sum(min(M.KEEP_SHARE * t, have) for t, have in _topics(rows))) < 1e-3
+
+
+def _topics(rows):
+    """(target share, share of the tokens) of each topic."""
+    total = sum(r["n_tokens"] for r in rows)
+    return [(t, sum(r["n_tokens"] for r in rows if r["topic"] == v) / total) for v, t in Q.TOPIC_SHARES.items()]
