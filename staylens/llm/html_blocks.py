@@ -35,9 +35,8 @@ _MARKUP = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
     re.I | re.S,
 )
-_ATTRIBUTE = re.compile(
-    r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I
-)
+#: One attribute: its name, and its value whole, so that no word of a value counts as a name.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _LINES = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -65,8 +64,12 @@ def _left_out(name: str, rest: str, in_main: bool) -> bool:
         return True
     if not rest or name in ("html", "body") or name in _MAIN:
         return False
+    seen = set()
     for m in _ATTRIBUTE.finditer(rest):
         what, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if what in seen:
+            continue  # of repeated attributes the first counts
+        seen.add(what)
         if what == "hidden" or what == "aria-hidden" and value == "true":
             return True
         if what == "role" and value.strip() in _ROLES:

@@ -71,3 +71,16 @@ def test_odd_rows_and_no_rows(spark):
     out = H.extract(pages).collect()
     assert sorted(r["n_chars"] for r in out) == [0, 0, 1, 119_999]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_words_in_attribute_values_are_not_attributes():
+    tags = [
+        '<p title="a hidden valley">', "<p title='the hidden role=menu'>", '<p data-hidden="false">', '<p data-id="nav">',
+        '<p data-href="?id=ads&class=footer">', "<p data-x=?id=nav>", '<p aria-label="style=display:none">', '<p id="x" id="nav">',
+    ]
+    for tag in tags:
+        assert H.main_text(f"<article><p>{WORDS}</p>{tag}kept</p></article>") == f"{WORDS}\n\nkept", tag
+    link = f'<article><p>{WORDS} <a href="/hidden-gems">gems</a> and <a href="?id=ads">more</a></p></article>'
+    assert H.main_text(link) == f"{WORDS} gems and more"
+    for tag in ["<p hidden>", "<p title='x' HIDDEN=''>", '<p title="a>b" class="nav">', "<p id=ads>", "<p data-x=1 role = 'menu'>"]:
+        assert H.main_text(f"<article><p>{WORDS}</p>{tag}gone</p></article>") == WORDS, tag
