@@ -3,10 +3,11 @@
 Markup is stripped into lines: each block-level tag ends one, so text blocks and the empty lines
 between them alternate as in a rendered page. Elements that can't be main text (menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts, styles) are left out on the way, and
-link text doesn't count. The distribution is the text length summed over a sliding window of lines.
-It surges where the main text begins and dives where it ends; the heaviest stretch between a surge
-and a dive is the core. All lines of the element that holds the core are the page's text, so short
-paragraphs at its edges stay.
+link text doesn't count. Nor do empty lines where one element ends and the next begins. The
+distribution is the text length summed over a sliding window of lines. It surges where main text begins
+and dives where it ends. All lines of the element that holds every stretch between a surge and a dive
+are the page's text, so short paragraphs at its edges stay; where the heaviest stretch is in articles,
+those are.
 
 Pages are independent: one pass, no shuffle.
 """
@@ -55,7 +56,10 @@ _OUT_NAMES = re.compile(
     r"overlay|pager|pagination|popups?|promos?|promotions?|recommended|related|replies|reply|responses|share|sharing|"
     r"sidebars?|skip|social|sponsors?|sponsored|subscribe|subscription|toolbar|topbar|widgets?)"
 )
-_KEPT_NAMES = frozenset(["free", "no", "without"])
+_KEPT_NAMES = frozenset(["free", "has", "no", "with", "without"])
+_WHOLE_PAGE = frozenset(["html", "body"])
+_WRAPPERS = frozenset(["div", "section"])
+_HELD = frozenset(["p", "span", "b", "i", "em", "strong", "font", "a"])
 
 
 def _left_out(name: str, rest: str, in_main: bool) -> bool:
@@ -85,12 +89,14 @@ def _left_out(name: str, rest: str, in_main: bool) -> bool:
 
 
 class _Lines:
-    """Lines of a page with their unlinked text length and the path of open elements."""
+    """Lines of a page with their unlinked text length, the path of open elements and whether an end
+    tag ended them (None after an element that is left out)."""
 
     def __init__(self):
         self.text: list[str] = []
         self.weight: list[int] = []
         self.path: list[tuple] = []
+        self.closed: list[bool | None] = []
         self.parts: list[str] = []
         self.linked = 0
 
@@ -100,13 +106,29 @@ class _Lines:
         if in_link:
             self.linked += len(part.strip())
 
-    def end(self, path: tuple) -> None:
+    def end(self, path: tuple, closed: bool | None) -> None:
         line = " ".join("".join(self.parts).split())
         self.text.append(line)
         self.weight.append(max(0, len(line) - self.linked))
         self.path.append(path)
+        self.closed.append(closed)
         self.parts, self.linked = [], 0
 
+    def without_seams(self) -> list[int]:
+        """The lines without the empty ones that stand where elements end and then others begin."""
+        kept: list[int] = []
+        empty: list[int] = []
+        for i, text in enumerate(self.text):
+            if not text:
+                empty.append(i)
+                continue
+            # the tags between two texts: the one that ended the first, then those of the empty lines
+            tags = [self.closed[j] for j in [*kept[-1:], *empty]]
+            seam = None not in tags and tags == sorted(tags, reverse=True)
+            kept += [i] if seam else [*empty, i]
+            empty = []
+        return kept + empty
+
 
 def page_lines(page: str) -> _Lines:
     """Markup stripped into lines; what can't be main text is left out."""
@@ -114,6 +136,7 @@ def page_lines(page: str) -> _Lines:
     stack: list[tuple[str, int]] = []  # open elements and their numbers
     skip = 0  # the number of open elements at which leaving out began
     links = mains = at = number = 0
+    left_out = False  # since the last line
     for m in _MARKUP.finditer(page):
         if m.start() > at and not skip:
             out.add(page[at : m.start()], links > 0)
@@ -124,7 +147,8 @@ def page_lines(page: str) -> _Lines:
         if name in _CELLS and not skip:
             out.parts.append(" ")
         if name in _LINES and not skip:
-            out.end(tuple(stack))
+            out.end(tuple(stack), None if left_out else bool(m["close"]))
+            left_out = False
         if m["close"]:
             back = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if back is None:
@@ -142,7 +166,7 @@ def page_lines(page: str) -> _Lines:
         links -= sum(g[0] == "a" for g in gone)
         mains -= sum(g[0] in _MAIN for g in gone)
         if skip and len(stack) < skip:
-            skip = 0
+            skip, left_out = 0, True
         if not m["close"] and name not in _VOID and not m["rest"].endswith("/"):
             number += 1
             stack.append((name, number))
@@ -152,20 +176,20 @@ def page_lines(page: str) -> _Lines:
             mains += name in _MAIN
     if at < len(page) and not skip:
         out.add(page[at:], links > 0)
-    out.end(tuple(stack))
+    out.end(tuple(stack), True)
     return out
 
 
-def core(weight: list[int], window: int = WINDOW, surge: int = SURGE) -> tuple[int, int] | None:
-    """(first, last) line of the heaviest stretch between a surge and a dive of the distribution.
-    On a page of little text, half the largest window is a surge."""
+def stretches(weight: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
+    """(first, last) line of each stretch between a surge and a dive of the distribution. On a page of
+    little text, half the largest window is a surge."""
     n = len(weight)
     blocks = [sum(weight[i : i + window]) for i in range(n)]
     top = max(blocks, default=0)
     if not top:
-        return None
+        return []
     least = min(surge, top / 2)
-    best, i = None, 0
+    found, i = [], 0
     while i < n:
         if blocks[i] < least or not weight[i]:
             i += 1
@@ -173,11 +197,14 @@ def core(weight: list[int], window: int = WINDOW, surge: int = SURGE) -> tuple[i
         end = i
         while end < n and blocks[end]:
             end += 1
-        mass = sum(weight[i:end])
-        if best is None or mass > best[0]:
-            best = (mass, i, end - 1)
+        found.append((i, end - 1))
         i = end
-    return best and best[1:]
+    return found
+
+
+def core(weight: list[int], window: int = WINDOW, surge: int = SURGE) -> tuple[int, int] | None:
+    """The heaviest stretch."""
+    return max(stretches(weight, window, surge), key=lambda s: sum(weight[s[0] : s[1] + 1]), default=None)
 
 
 def main_text(page: str | None) -> str:
@@ -185,21 +212,36 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = page_lines(page)
-    found = core(lines.weight)
-    if found is None:
+    at = lines.without_seams()
+    weight = [lines.weight[i] for i in at]
+    top = core(weight)
+    if top is None:
         return ""
-    inside = [i for i in range(found[0], found[1] + 1) if lines.text[i]]
-    heaviest = max(inside, key=lambda i: lines.weight[i])
+    found = [[i for i in at[a : b + 1] if lines.text[i]] for a, b in stretches(weight)]
+    heaviest = max(at[top[0] : top[1] + 1], key=lambda i: lines.weight[i])
+    inside = [i for part in found for i in part]
+    homes = {next((e for e in lines.path[i] if e[0] in _MAIN), None) for i in inside}
     home = next((e for e in lines.path[heaviest] if e[0] in _MAIN), None)
-    if home is None:
-        shared = lines.path[inside[0]]
-        for i in inside:
-            shared = tuple(a for a, b in zip(shared, lines.path[i], strict=False) if a == b)
-        # the block that holds a single line is that line: its parent holds the text
-        while shared and shared[-1][0] in ("p", "span", "b", "i", "em", "strong", "font", "a"):
-            shared = shared[:-1]
-        home = shared[-1] if shared else None
-    kept = [t for t, p in zip(lines.text, lines.path, strict=True) if t and (home is None or home in p)]
+    if home is not None:
+        # the main element, or else all articles
+        homes = {home} if home[0] == "main" else {e for e in homes if e and e[0] == "article"}
+        kept = [t for t, p in zip(lines.text, lines.path, strict=True) if t and homes.intersection(p)]
+        return "\n\n".join(kept)
+    shared = lines.path[inside[0]]
+    for i in inside:
+        shared = tuple(a for a, b in zip(shared, lines.path[i], strict=False) if a == b)
+    # the block that holds a single line is that line: its parent holds the text
+    while shared and shared[-1][0] in _HELD:
+        shared = shared[:-1]
+    home = shared[-1] if shared else None
+    # where several wrappers of a whole page hold the text, lines of links before and after are its menus
+    wrappers = {lines.path[i][len(shared)] for i in inside if len(lines.path[i]) > len(shared)}
+    menus = (home is None or home[0] in _WHOLE_PAGE) and sum(e[0] in _WRAPPERS for e in wrappers) > 1
+    kept = [
+        t
+        for i, (t, p) in enumerate(zip(lines.text, lines.path, strict=True))
+        if t and (home is None or home in p) and not (menus and not lines.weight[i] and not inside[0] <= i <= inside[-1])
+    ]
     return "\n\n".join(kept)
 
 

@@ -84,3 +84,21 @@ def test_words_in_attribute_values_are_not_attributes():
     assert H.main_text(link) == f"{WORDS} gems and more"
     for tag in ["<p hidden>", "<p title='x' HIDDEN=''>", '<p title="a>b" class="nav">', "<p id=ads>", "<p data-x=1 role = 'menu'>"]:
         assert H.main_text(f"<article><p>{WORDS}</p>{tag}gone</p></article>") == WORDS, tag
+
+
+def test_sections_without_article():
+    menu = "<ul>" + "".join(f'<li><a href="/{i}">A menu entry of several words {i}</a></li>' for i in range(30)) + "</ul>"
+    parts = [[f"Part {i}", f"{i} {WORDS}", f"{WORDS} {i}"] for i in range(4)]
+    gaps = ["", "<div></div><div></div><hr><p></p><p></p>", "<aside>Not this, however long it is, because it stands aside.</aside>"]
+    for start, end in (("<div>", "</div>"), ("<section><div><div>", "</div></div></section>"), ("<article>", "</article>")):
+        for gap in gaps:
+            given = [*parts, ["Last", "A short one."]] if not gap else parts
+            body = gap.join(start + f"<h2>{h}</h2>" + "".join(f"<p>{x}</p>" for x in rest) + end for h, *rest in given)
+            want = "\n\n".join(x for part in given for x in part)
+            assert H.main_text(page(menu + body)) == want, (start, gap)
+            assert H.main_text(page(f"<div>{menu}</div><div class='with-header has-sidebar'>{body}</div>")) == want, (start, gap)
+
+
+def test_a_main_element_stands_before_articles_outside():
+    html = page(f"<article><p>{WORDS}</p></article><main><p>{WORDS} {WORDS}</p></main><article><p>{WORDS}</p></article>")
+    assert H.main_text(html) == f"{WORDS} {WORDS}"
