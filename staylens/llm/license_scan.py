@@ -4,8 +4,9 @@ Templates are cut into words; the smallest hash of each window of ``WINDOW`` wor
 fingerprint, and an inverted index tells the places where templates have it. A text's fingerprints,
 chosen the same way, point at templates and diagonals; winnowing guarantees one for every shared run
 of ``K + WINDOW - 1`` words. Hits near one diagonal make a candidate, which is aligned with the
-template by local alignment in a band around that diagonal. The result tells how much of the template
-is matched and where it stands in the text.
+template by local alignment in a band around that diagonal, again and again over the words that are
+left. Alignments that follow each other in the text and in the template are chained. The result tells
+how much of the template is matched and where it stands in the text.
 
 Templates and their index are a parameter of the job, small beside any corpus, and go with the task.
 Texts are independent: one pass, no shuffle.
@@ -32,6 +33,8 @@ WINDOW = 2
 BAND = 8
 MIN_COVERAGE = 0.8
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
+#: Stands for a word that belongs to another alignment; none goes across it.
+_TAKEN = -1
 
 # License notices as their publishers word them.
 TEMPLATES = {
@@ -109,6 +112,9 @@ class Match:
     first: int
     last: int
     score: int
+    #: First and last matched word of the template.
+    begin: int = 0
+    end: int = 0
 
 
 class Scanner:
@@ -126,22 +132,64 @@ class Scanner:
             for code, places in fingerprints(words, k, window).items():
                 self.index[code] += [(name, p) for p in places]
 
-    def candidates(self, words: np.ndarray) -> list[tuple[str, int, int, int]]:
-        """(template, diagonal, first, last place) of hits near one diagonal."""
+    def candidates(self, words: np.ndarray) -> dict[str, list[list[tuple[int, int]]]]:
+        """For each template its candidates: hits (diagonal, place) near one diagonal."""
         hits = defaultdict(list)
         for code, places in fingerprints(words, self.k, self.window).items():
             for name, at in self.index.get(code, ()):
                 hits[name] += [(p - at, p) for p in places]
-        out = []
+        out = {}
         for name, found in hits.items():
             found.sort()
-            group = [found[0]]
+            groups = [[found[0]]]
             for hit in found[1:]:
-                if hit[0] - group[0][0] > self.band:
-                    out.append((name, group[0][0], min(p for _, p in group), max(p for _, p in group)))
-                    group = []
-                group.append(hit)
-            out.append((name, group[0][0], min(p for _, p in group), max(p for _, p in group)))
+                if hit[0] - groups[-1][0][0] > self.band:
+                    groups.append([])
+                groups[-1].append(hit)
+            out[name] = groups
+        return out
+
+    def segments(self, words: np.ndarray, name: str, groups: list[list[tuple[int, int]]]) -> list[Match]:
+        """Local alignments with the template, those of candidates with most hits first, each over words
+        outside the others, until no candidate has a hit left."""
+        free, out = words.copy(), []
+        while groups:
+            m = self.align(free, name, max(groups, key=len)[0][0])
+            if m is None:
+                break
+            out.append(m)
+            free[m.first : m.last + 1] = _TAKEN
+            # hits that lie on the span are used up
+            left = ([h for h in group if h[1] + self.k <= m.first or h[1] > m.last] for group in groups)
+            groups = [group for group in left if group]
+        return out
+
+    def chains(self, parts: list[Match], least: float) -> list[Match]:
+        """Matches of at least ``least`` words: alignments that follow each other in the text and in
+        the template, as where words are inserted or cut, count as one. Between two of them may be half
+        the template's words."""
+        out: list[Match] = []
+        left = sorted(parts, key=lambda m: m.first)
+        while left:
+            far = max(2 * self.band, left[0].words // 2)
+            total, back = [m.matched for m in left], [-1] * len(left)
+            for j, b in enumerate(left):
+                for i, a in enumerate(left[:j]):
+                    if a.last < b.first <= a.last + 1 + far and a.begin < b.begin and a.end < b.end:
+                        more = total[i] + b.matched - max(0, a.end - b.begin + 1)
+                        if more > total[j]:
+                            total[j], back[j] = more, i
+            at = max(range(len(left)), key=lambda i: (total[i], -i))
+            if total[at] < least:
+                break
+            matched, chain = total[at], []
+            while at >= 0:
+                chain.append(at)
+                at = back[at]
+            a, b = left[chain[-1]], left[chain[0]]
+            score = sum(left[i].score for i in chain)
+            out.append(Match(a.template, matched, a.words, a.first, b.last, score, a.begin, b.end))
+            left = [m for i, m in enumerate(left) if i not in chain and not a.first <= m.first <= b.last]
         return out
 
     def align(self, words: np.ndarray, name: str, diagonal: int) -> Match | None:
@@ -154,7 +202,7 @@ class Scanner:
         for i in range(1, len(template) + 1):
             for c in range(1, width + 1):
                 j = diagonal + i - 1 + (c - 1 - band)  # place in the text
-                if not 0 <= j < len(words):
+                if not 0 <= j < len(words) or words[j] == _TAKEN:
                     continue
                 same = words[j] == template[i - 1]
                 options = (
@@ -169,38 +217,32 @@ class Scanner:
         top = int(score[i, c])
         if not top:
             return None
-        matched, first, last = 0, None, None
+        matched, first, last, begin, end = 0, None, None, None, None
         while score[i, c] > 0:
             j = diagonal + i - 1 + (c - 1 - band)
             if step[i, c] == 1:
                 if words[j] == template[i - 1]:
                     matched, first, last = matched + 1, j, j if last is None else last
+                    begin, end = i - 1, i - 1 if end is None else end
                 i -= 1
             elif step[i, c] == 2:
                 i, c = i - 1, c + 1
             else:
                 c -= 1
-        return Match(name, matched, len(template), int(first), int(last), top)
+        return Match(name, matched, len(template), int(first), int(last), top, int(begin), int(end))
 
     def scan(self, text: str | None, min_coverage: float) -> list[tuple[Match, int, int]]:
         """Matches with at least ``min_coverage`` of the template, and their span in code points.
-        Of overlapping matches of one template the best is told."""
+        Matches of one template don't overlap."""
         if not text:
             return []
         found = _WORD.findall(text.lower())
         ids = np.fromiter((self.ids.get(w, 0) for w in found), np.int64, len(found))
         if np.count_nonzero(ids) < self.k:
             return []
-        best: list[Match] = []
-        for name, diagonal, _, _ in self.candidates(ids):
-            m = self.align(ids, name, diagonal)
-            if m and m.matched >= min_coverage * m.words:
-                best.append(m)
-        best.sort(key=lambda m: (m.template, -m.matched, m.first))
         kept: list[Match] = []
-        for m in best:
-            if not any(o.template == m.template and m.first <= o.last and o.first <= m.last for o in kept):
-                kept.append(m)
+        for name, groups in self.candidates(ids).items():
+            kept += self.chains(self.segments(ids, name, groups), min_coverage * len(self.templates[name]))
         if not kept:
             return []
         # str.lower() can change the length of a text; then places come from the text itself

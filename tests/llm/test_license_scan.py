@@ -61,3 +61,28 @@ def test_odd_rows_and_no_rows(spark):
     assert S.scan(no_docs(spark)).count() == 0
     twice = spark.createDataFrame([(None, "Released under the MIT License.")] * 2, "doc_id long, text string")
     assert S.scan(twice).count() == 2
+
+
+def test_copies_side_by_side():
+    scanner = S.Scanner(S.TEMPLATES)
+    for name in ("mit-notice", "cc-by-nc-4.0-notice", "apache-2.0-notice", "bsd-conditions"):
+        text = S.TEMPLATES[name]
+        for n in (2, 3, 5):
+            found = [(m, a, b) for m, a, b in scanner.scan("\n".join([text] * n), 0.8) if m.template == name]
+            assert [m.matched for m, _, _ in found] == [found[0][0].words] * n
+            assert [a for _, a, _ in found] == [i * (len(text) + 1) for i in range(n)]
+
+
+def test_words_inserted_or_cut_in_the_middle():
+    scanner = S.Scanner(S.TEMPLATES)
+    for name in ("mit", "apache-2.0-header", "gpl-3.0-header"):
+        words = S.TEMPLATES[name].split()
+        half = len(words) // 2
+        for edited, least in (
+            (words[:half] + [f"x{i}" for i in range(20)] + words[half:], 1.0),
+            (words[:half] + words[half + 10 :], 0.8),
+        ):
+            text = "before it " + " ".join(edited) + " after it"
+            found = [(m, text[a:b]) for m, a, b in scanner.scan(text, 0.8) if m.template == name]
+            assert len(found) == 1 and found[0][0].matched >= least * found[0][0].words - 1
+            assert found[0][1] == " ".join(edited).rstrip(".")
