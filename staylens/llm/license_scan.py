@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,14 @@ MIN_COVERAGE = 0.8
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
 #: Stands for a word that belongs to another alignment; none goes across it.
 _TAKEN = -1
+_FAR = 1 << 32
+
+#: Long templates are aligned where the text has a hit for each so many of their words beyond the first
+#: forty. At MIN_COVERAGE every fifth word may differ, and any four words between have a hit.
+WORDS_FOR_HIT = 10
+#: Of templates above so many words, candidates with fewer hits than one for each so many are no part of
+#: a chain.
+LEAST_PART = 400
 
 # License notices as their publishers word them.
 TEMPLATES = {
@@ -68,8 +77,85 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met:"
     ),
+    "all-rights-reserved-notice": "All rights reserved.",
+    "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nc-sa-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nd-4.0-notice": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-nd-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc0-1.0-notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
+    "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "lgpl-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "mit-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+        "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE."
+    ),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution."
+    ),
+    "bsd-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+        "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
 }
 
+
+def _variant(name: str, *changes: tuple[str, str]) -> str:
+    text = TEMPLATES[name]
+    for old, new in changes:
+        text = text.replace(old, new)
+    return text
+
+
+TEMPLATES |= {
+    "gpl-2.0-header": _variant("gpl-3.0-header", ("version 3 of", "version 2 of")),
+    "agpl-3.0-header": _variant("gpl-3.0-header", ("GNU General", "GNU Affero General")),
+    "lgpl-3.0-header": _variant("gpl-3.0-header", ("GNU General", "GNU Lesser General")),
+    "lgpl-2.1-header": _variant(
+        "gpl-3.0-header", ("GNU General", "GNU Lesser General"), ("This program", "This library"), ("version 3 of", "version 2.1 of")
+    ),
+}
+# whole texts, read where the job is planned and sent with it
+TEMPLATES |= {f.stem: f.read_text("utf-8") for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -77,9 +163,9 @@ def template_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def fingerprints(ids: np.ndarray, k: int = K, window: int = WINDOW) -> dict[int, list[int]]:
+def fingerprints(ids: np.ndarray, k: int = K, window: int = WINDOW, also: np.ndarray | None = None) -> dict[int, list[int]]:
     """Winnowed fingerprints of a sequence of word ids: hash to places. A k-gram with id 0 (a word
-    of no template) is never one."""
+    of no template) is never one, those with a hash in ``also`` always are."""
     if len(ids) < k:
         return {}
     code = np.zeros(len(ids) - k + 1, np.uint64)
@@ -101,6 +187,10 @@ def fingerprints(ids: np.ndarray, k: int = K, window: int = WINDOW) -> dict[int,
         if place > last and known[place]:
             out[int(code[place])].append(place)
             last = place
+    if also is not None and len(also):
+        for place in at[np.isin(code[at], also)].tolist():
+            if place not in out[int(code[place])]:
+                out[int(code[place])].append(place)
     return out
 
 
@@ -116,6 +206,15 @@ class Match:
     begin: int = 0
     end: int = 0
 
+    def edits(self) -> int:
+        """Words that only the template or only the text has."""
+        return self.words + self.last - self.first + 1 - 2 * self.matched
+
+    def fits_better(self, other: Match) -> bool:
+        """Whether this match explains the words of the other one, and with fewer edits."""
+        shared = min(self.last, other.last) - max(self.first, other.first) + 1
+        return shared >= other.matched - other.edits() and shared > 0 and self.matched >= other.matched and self.edits() < other.edits()
+
 
 class Scanner:
     """Templates with their inverted index of fingerprints."""
@@ -131,15 +230,20 @@ class Scanner:
         for name, words in self.templates.items():
             for code, places in fingerprints(words, k, window).items():
                 self.index[code] += [(name, p) for p in places]
+        # winnowing finds shared runs of k + window - 1 words; shorter templates are always looked for
+        short = [w for w in self.templates.values() if len(w) < k + window - 1]
+        self.short = np.array([c for w in short for c in fingerprints(w, k, 1)], np.uint64)
 
     def candidates(self, words: np.ndarray) -> dict[str, list[list[tuple[int, int]]]]:
         """For each template its candidates: hits (diagonal, place) near one diagonal."""
         hits = defaultdict(list)
-        for code, places in fingerprints(words, self.k, self.window).items():
+        for code, places in fingerprints(words, self.k, self.window, self.short).items():
             for name, at in self.index.get(code, ()):
                 hits[name] += [(p - at, p) for p in places]
         out = {}
         for name, found in hits.items():
+            if len({p for _, p in found}) * WORDS_FOR_HIT < len(self.templates[name]) - 40:
+                continue
             found.sort()
             groups = [[found[0]]]
             for hit in found[1:]:
@@ -161,7 +265,7 @@ class Scanner:
             free[m.first : m.last + 1] = _TAKEN
             # hits that lie on the span are used up
             left = ([h for h in group if h[1] + self.k <= m.first or h[1] > m.last] for group in groups)
-            groups = [group for group in left if group]
+            groups = [group for group in left if group and len(group) * LEAST_PART >= len(self.templates[name])]
         return out
 
     def chains(self, parts: list[Match], least: float) -> list[Match]:
@@ -199,26 +303,40 @@ class Scanner:
         width = 2 * band + 1
         score = np.zeros((len(template) + 1, width + 2), np.int64)
         step = np.zeros((len(template) + 1, width + 2), np.int8)
+        # places outside the text count as taken
+        pad = len(template) + width
+        padded = np.full(len(words) + 2 * pad, _TAKEN, np.int64)
+        padded[pad : pad + len(words)] = words
+        column = np.arange(width)
         for i in range(1, len(template) + 1):
-            for c in range(1, width + 1):
-                j = diagonal + i - 1 + (c - 1 - band)  # place in the text
-                if not 0 <= j < len(words) or words[j] == _TAKEN:
-                    continue
-                same = words[j] == template[i - 1]
-                options = (
-                    0,
-                    score[i - 1, c] + (_MATCH if same else _MISMATCH),
-                    score[i - 1, c + 1] + _GAP,
-                    score[i, c - 1] + _GAP,
-                )
-                best = max(range(4), key=options.__getitem__)
-                score[i, c], step[i, c] = options[best], best
+            at = min(max(diagonal + i - 1 - band, -pad), len(words)) + pad
+            row = padded[at : at + width]
+            if (row == _TAKEN).all():
+                continue
+            taken = row == _TAKEN
+            down = score[i - 1, 1:-1] + np.where(row == template[i - 1], _MATCH, _MISMATCH)
+            skip = score[i - 1, 2:] + _GAP
+            best = np.maximum(np.maximum(down, skip), 0)
+            best[taken] = 0
+            # gaps along the row by a running maximum that starts anew at taken words
+            lift = _FAR * np.cumsum(taken) - _GAP * column
+            best = np.maximum.accumulate(best + lift) - lift
+            best[taken] = 0
+            score[i, 1:-1] = best
+            step[i, 1:-1] = np.where(best <= 0, 0, np.where(best == down, 1, np.where(best == skip, 2, 3)))
         i, c = np.unravel_index(np.argmax(score), score.shape)
         top = int(score[i, c])
         if not top:
             return None
         matched, first, last, begin, end = 0, None, None, None, None
+        low, mark = top, None
         while score[i, c] > 0:
+            if score[i, c] < low:
+                low, mark = score[i, c], (matched, first, begin)
+            elif score[i, c] > low + 3 * band:
+                # the text left the band: what is on the other side is aligned on its own diagonal
+                matched, first, begin = mark
+                break
             j = diagonal + i - 1 + (c - 1 - band)
             if step[i, c] == 1:
                 if words[j] == template[i - 1]:
@@ -243,6 +361,8 @@ class Scanner:
         kept: list[Match] = []
         for name, groups in self.candidates(ids).items():
             kept += self.chains(self.segments(ids, name, groups), min_coverage * len(self.templates[name]))
+        # of templates that differ in a few words, such as versions, the one that fits the words better
+        kept = [m for m in kept if not any(o.fits_better(m) for o in kept)]
         if not kept:
             return []
         # str.lower() can change the length of a text; then places come from the text itself

@@ -86,3 +86,40 @@ def test_words_inserted_or_cut_in_the_middle():
             found = [(m, text[a:b]) for m, a, b in scanner.scan(text, 0.8) if m.template == name]
             assert len(found) == 1 and found[0][0].matched >= least * found[0][0].words - 1
             assert found[0][1] == " ".join(edited).rstrip(".")
+
+
+def test_common_licenses():
+    """Every notice line that the documents have, and classes of licenses, worded here."""
+    scanner = S.Scanner(S.TEMPLATES)
+    for text, want in (
+        ("(c) 2020 the group. All rights reserved.", {"all-rights-reserved-notice"}),
+        ("this work is of the all rights reserved the work", {"all-rights-reserved-notice"}),
+        ("Licensed under CC BY 4.0.", {"cc-by-4.0-notice"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0-notice"}),
+        ("Licensed under CC BY-SA 4.0.", {"cc-by-sa-4.0-notice"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"gpl-2.0-notice"}),
+        ("This work is licensed under the GNU General Public License, version 3.", {"gpl-3.0-notice"}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"cc-by-sa-4.0"}),
+    ):
+        assert {m.template for m, _, _ in scanner.scan(f"so it is\n{text}\nand on", 0.8)} == want, text
+    for name in ("apache-2.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mpl-2.0", "cc0-1.0", "bsd-3-clause", "isc",
+                 "unlicense", "mit-warranty", "bsd-disclaimer", "gpl-2.0-header", "agpl-3.0-header", "lgpl-2.1-header"):
+        assert name in {m.template for m, _, _ in scanner.scan("so\n" + S.TEMPLATES[name] + "\non", 0.8)}, name
+
+
+def test_notice_lines_of_the_documents(spark):
+    """The short lines that several documents share and that speak of licenses or rights, not taken from TEMPLATES."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text rlike '(?i)licen[sc]e|rights reserved'")
+    held = {}
+    for r in docs.collect():
+        for line in set(r["text"].split("\n")):
+            low = line.lower()
+            if len(line) < 100 and ("license" in low or "rights reserved" in low):
+                held.setdefault(line, []).append(r["doc_id"])
+    shared = {line for line, ids in held.items() if len(ids) > 20}
+    assert len(shared) >= 5
+    found = {}
+    for r in S.scan(docs).collect():
+        found.setdefault(r["doc_id"], []).append(r["span"])
+    for line in shared:
+        assert all(any(span in line for span in found.get(i, ())) for i in held[line]), line
