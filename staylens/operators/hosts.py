@@ -73,7 +73,8 @@ def booked_nights_by_listing(listings: DataFrame, calendar: DataFrame) -> DataFr
 
 def host_income_by_city(listings: DataFrame, calendar: DataFrame) -> DataFrame:
     """``(city, host_id, income)``: sum over the host's listings of price x booked
-    nights; hosts with zero income are kept."""
+    nights; hosts with zero income are kept. A listing whose price can't be read adds nothing; a host
+    without a readable price has NULL income and ranks after all others."""
     nights = booked_nights_by_listing(listings, calendar)
     return nights.groupBy("city", "host_id").agg(
         F.sum(money_a("price") * F.col("booked_nights").cast("double")).alias("income")

@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,9 +13,3 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, driver_memory="4g")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of ``cols`` (all columns by default)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

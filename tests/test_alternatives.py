@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from listing_rows import rows
 from staylens.operators import alternatives
 
 D = dt.date(2020, 5, 1)

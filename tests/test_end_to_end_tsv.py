@@ -4,7 +4,7 @@ amenities, money strings, a GeoJSON FeatureCollection; plus the CLI."""
 
 import json
 
-from conftest import rows
+from listing_rows import rows
 from staylens import cli
 from staylens.operators import guests, hosts, pricing, spatial
 from staylens.sources import read_geojson_features, read_tsv, schemas

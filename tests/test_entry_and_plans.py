@@ -3,7 +3,7 @@ import re
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from listing_rows import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

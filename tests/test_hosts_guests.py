@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from listing_rows import rows
 from staylens.operators import guests, hosts
 
 L_SCHEMA = "id long, host_id long, city string, price string, host_listings_count double"

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from listing_rows import rows
 from staylens.operators import pricing, profile
 
 

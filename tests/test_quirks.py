@@ -3,7 +3,7 @@ taken out, the result differs."""
 
 import pytest
 
-from conftest import SF_CHECK, rows
+from listing_rows import SF_CHECK, rows
 from staylens.plans.catalog import QUERIES
 from staylens.sources import testdata as TD
 

@@ -1,6 +1,6 @@
 from pyspark.sql import types as T
 
-from conftest import rows
+from listing_rows import rows
 from staylens.sources import read_tsv, write_delimited
 from staylens.sources import schemas
 

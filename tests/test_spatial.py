@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from listing_rows import rows
 from staylens.operators import spatial
 from staylens.sources import read_geojson_features
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 import re
 from collections import Counter
 
-from conftest import rows
+from listing_rows import rows
 from staylens.operators import terms
 
 DOCS = [
