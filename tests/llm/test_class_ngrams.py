@@ -3,7 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from helpers import WORD, no_docs, odd_docs
+from llm_rows import WORD, no_docs, odd_docs
 
 from staylens.llm import class_ngrams as C
 from staylens.llm import queries as Q

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from helpers import ODD_TEXTS, WORD, no_docs, odd_docs
+from llm_rows import ODD_TEXTS, WORD, no_docs, odd_docs
 
 from staylens.llm import jaccard_join as J
 

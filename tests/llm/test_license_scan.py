@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from helpers import no_docs, odd_docs
+from llm_rows import no_docs, odd_docs
 
 from staylens.llm import license_scan as S
 

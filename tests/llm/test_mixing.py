@@ -1,7 +1,7 @@
 import hashlib
 from collections import Counter
 
-from helpers import no_docs, odd_docs
+from llm_rows import no_docs, odd_docs
 
 from staylens.llm import mixing as M
 from staylens.llm import queries as Q

@@ -1,7 +1,7 @@
 import hashlib
 
 import xxhash
-from helpers import ODD_TEXTS, WORD, no_docs, odd_docs
+from llm_rows import ODD_TEXTS, WORD, no_docs, odd_docs
 from pyspark.sql import functions as F
 
 from staylens.llm import order_minhash as O

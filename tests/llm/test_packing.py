@@ -3,7 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from helpers import ODD_TEXTS, no_docs, odd_docs
+from llm_rows import ODD_TEXTS, no_docs, odd_docs
 from tokenizers import Tokenizer
 
 from staylens.llm import packing as P

@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import corpus_pipeline as CP
-from helpers import no_docs, odd_docs
+from llm_rows import no_docs, odd_docs
 from test_jaccard_join import brute
 from test_packing import check_layout
 from test_quality_llr import stats

@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 import xxhash
-from helpers import ODD_TEXTS, WORD, no_docs, odd_docs
+from llm_rows import ODD_TEXTS, WORD, no_docs, odd_docs
 
 from staylens.llm import quality_llr as L
 

@@ -2,7 +2,7 @@ import hashlib
 import zlib
 from collections import Counter
 
-from helpers import no_docs, odd_docs
+from llm_rows import no_docs, odd_docs
 from pyspark.sql import functions as F
 
 from staylens.llm import sharding as S

@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from helpers import no_docs, odd_docs
+from llm_rows import no_docs, odd_docs
 
 from staylens.llm import queries as Q
 from staylens.llm import toxicity as T
