@@ -108,3 +108,68 @@ e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
 r AS (SELECT doc_id, doc_id AS z FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.z)
 SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(z) AS component_id
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+
+def _merkle_levels(levels: int, start: str, tree: str, prefix: str) -> list[str]:
+    """One table for each level of 8-ary hashing: of each node its digest, the run's digests and its place."""
+    parts = [f"{prefix}0 AS MATERIALIZED ({start})"]
+    for i in range(levels):
+        parts.append(
+            f"{prefix}r{i} AS MATERIALIZED (SELECT {tree}, x // 8 AS x, list(d ORDER BY x) AS run, any_value(n) AS n "
+            f"FROM {prefix}{i} GROUP BY {tree}, x // 8), "
+            f"{prefix}{i + 1} AS MATERIALIZED (SELECT {tree}, x, (n + 7) // 8 AS n, run, "
+            f"CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS d FROM {prefix}r{i})"
+        )
+    return parts
+
+
+def merkle_sql(levels: int = 9, top_levels: int = 3) -> str:
+    """All levels of the trees unrolled; a run of one node at the end of a level is hashed, a lone node isn't."""
+
+    def counted(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(counted, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"h AS MATERIALIZED (SELECT *, coalesce('=' || lang, '-') AS tree, {leaf('text')} AS leaf, "
+        f"hex(encode(doc_id::VARCHAR)) AS digits FROM documents)",
+        f"l AS MATERIALIZED (SELECT doc_id, tree, leaf, "
+        f"CASE WHEN {crc32_sql('digits')} % 3 = 0 THEN {leaf(low)} ELSE leaf END AS now, "
+        "row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS x, "
+        "count(*) OVER (PARTITION BY tree) AS n FROM h)",
+        *_merkle_levels(levels, "SELECT tree, x, n, leaf AS d, NULL::VARCHAR[] AS run FROM l", "tree", "a"),
+        f"s AS MATERIALIZED (SELECT tree, d AS subroot, 0 AS one, row_number() OVER (ORDER BY tree) - 1 AS x, "
+        f"count(*) OVER () AS n FROM a{levels})",
+        *_merkle_levels(top_levels, "SELECT one, x, n, subroot AS d, NULL::VARCHAR[] AS run FROM s", "one", "b"),
+    ]
+    # fold every leaf upwards: f is the folded node, p the siblings so far, c the place at the level
+    parts.append("f0 AS (SELECT doc_id, tree, leaf, now AS f, '' AS p, x AS c, n FROM l)")
+    step = 0
+
+    def up(run_table: str, join: str, keep: str) -> None:
+        nonlocal step
+        place = "CAST(c % 8 AS BIGINT)"
+        left = f"array_to_string(run[1:{place}], '')"
+        right = f"array_to_string(run[{place} + 2:], '')"
+        parts.append(
+            f"f{step + 1} AS MATERIALIZED (SELECT {keep}, CASE WHEN q.n > 1 THEN sha256({left} || q.f || {right}) ELSE q.f END AS f, "
+            f"CASE WHEN q.n > 1 THEN q.p || {left} || {right} ELSE q.p END AS p, q.c // 8 AS c, (q.n + 7) // 8 AS n "
+            f"FROM f{step} q JOIN {run_table} r ON {join} AND r.x = q.c // 8)"
+        )
+        step += 1
+
+    for i in range(levels):
+        up(f"ar{i}", "r.tree = q.tree", "q.doc_id, q.tree, q.leaf")
+    parts.append(
+        f"f{step + 1} AS MATERIALIZED (SELECT q.doc_id, q.leaf, s.subroot, q.f, q.p, s.x AS c, s.n FROM f{step} q JOIN s ON s.tree = q.tree)"
+    )
+    step += 1
+    for i in range(top_levels):
+        up(f"br{i}", "true", "q.doc_id, q.leaf, q.subroot")
+    return (
+        f"WITH {', '.join(parts)} SELECT q.doc_id, q.leaf, q.subroot, b.d AS root, sha256(q.p) AS proof_sha256, "
+        f"q.f AS folded_root, q.f = b.d AS verified FROM f{step} q CROSS JOIN b{top_levels} b"
+    )

@@ -16,6 +16,7 @@ from staylens.llm import (
     html_blocks,
     jaccard_join,
     license_scan,
+    merkle_log,
     mixing,
     oracle,
     order_minhash,
@@ -164,6 +165,13 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+# -- Merkle dataset manifest ------------------------------------------------------------------
+
+
+def op13_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_log.proofs(merkle_log.build(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_class_lm": op1_class_lm,
     "op2_quality_llr": op2_quality_llr,
@@ -175,10 +183,12 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_pack": op9_pack,
     "op10_jaccard": op10_jaccard,
+    "op13_merkle_log": op13_merkle_log,
 }
 
 ORACLE: dict[str, str] = {
     "op5_mix": oracle.mixing_sql(MIX_TARGETS, mixing.KEEP_SHARE, mixing.SWEEPS, mixing.SEED),
     "op7_jump_hash": oracle.sharding_sql(SHARDS),
     "op10_jaccard": oracle.jaccard_sql(jaccard_join.N, jaccard_join.PERCENT),
+    "op13_merkle_log": oracle.merkle_sql(),
 }

@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op9_pack": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
     "op10_jaccard": {"doc_id", "n_shingles", "component_id"},
+    "op13_merkle_log": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
 }
 
 
