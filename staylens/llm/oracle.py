@@ -173,3 +173,22 @@ def merkle_sql(levels: int = 9, top_levels: int = 3) -> str:
         f"WITH {', '.join(parts)} SELECT q.doc_id, q.leaf, q.subroot, b.d AS root, sha256(q.p) AS proof_sha256, "
         f"q.f AS folded_root, q.f = b.d AS verified FROM f{step} q CROSS JOIN b{top_levels} b"
     )
+
+
+def ranked_search_sql(k: int) -> str:
+    """Every document with a term of an item, scored in full."""
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    found = f"unnest(regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"
+    return f"""
+WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {found} FROM documents) GROUP BY 1, 2),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY 1),
+s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS all_terms FROM n),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, s),
+m AS (SELECT doc_id, 100 - 75 + ((75 * n * n_docs) // all_terms) AS m FROM n, s),
+q AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, {found} FROM benchmark) GROUP BY 1, 2),
+r AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM r WHERE score > 0)
+SELECT * FROM o WHERE rank <= {k}"""

@@ -22,6 +22,7 @@ from staylens.llm import (
     order_minhash,
     packing,
     quality_llr,
+    ranked_search,
     sharding,
     toxicity,
 )
@@ -165,6 +166,13 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+# -- ranked lexical search --------------------------------------------------------------------
+
+
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 # -- Merkle dataset manifest ------------------------------------------------------------------
 
 
@@ -183,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_pack": op9_pack,
     "op10_jaccard": op10_jaccard,
+    "op11_ranked_search": op11_ranked_search,
     "op13_merkle_log": op13_merkle_log,
 }
 
@@ -190,5 +199,6 @@ ORACLE: dict[str, str] = {
     "op5_mix": oracle.mixing_sql(MIX_TARGETS, mixing.KEEP_SHARE, mixing.SWEEPS, mixing.SEED),
     "op7_jump_hash": oracle.sharding_sql(SHARDS),
     "op10_jaccard": oracle.jaccard_sql(jaccard_join.N, jaccard_join.PERCENT),
+    "op11_ranked_search": oracle.ranked_search_sql(ranked_search.K),
     "op13_merkle_log": oracle.merkle_sql(),
 }

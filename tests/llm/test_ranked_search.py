@@ -1,0 +1,125 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from staylens.llm import ranked_search
+from llm_rows import ODD_TEXTS, no_docs, odd_docs
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+ITEMS = "item_id long, text string"
+
+
+def terms(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(low)
+
+
+def brute(docs, items, k=10):
+    """(item, rank, key, score) from all documents, by the formula."""
+    tfs = [(key, Counter(terms(text))) for key, text in docs]
+    tfs = [(key, tf) for key, tf in tfs if tf]
+    n_docs, length = len(tfs), sum(sum(tf.values()) for _, tf in tfs)
+    df = Counter(t for _, tf in tfs for t in tf)
+    out = []
+    for item, text in items:
+        rows = []
+        for key, tf in tfs:
+            m = 100 - 75 + (75 * sum(tf.values()) * n_docs) // length
+            score = 0
+            for t in terms(text):
+                if t in tf:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1_000_000_000 * tf[t]) // (1000 * tf[t] + 8 * m))
+            if score > 0:
+                rows.append((-score, key is None, key or 0))
+        for rank, (score, unknown, key) in enumerate(sorted(rows)[:k], 1):
+            out.append((item, rank, None if unknown else key, -score))
+    return sorted(out, key=repr)
+
+
+def found(docs, items, **settings):
+    df = ranked_search.search(docs, items, **settings)
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+def test_terms():
+    text = "A1-b2 Éa_ÇZ\x00x\x7fy İ z 中文,word"
+    assert [t.decode() for t in ranked_search.terms(text)] == terms(text)
+
+
+def test_odd_rows(spark):
+    items = [
+        (1, "The quick fox: word3 WORD3 one two"),
+        (2, None),
+        (3, ""),
+        (4, "é éa \x1c zzz"),
+        (None, "fox"),
+        (5, "fox"),
+        (5, "bear"),
+        (6, "absent words only, really"),
+        (7, "stop zero an id but without text"),
+    ]
+    got = found(odd_docs(spark), spark.createDataFrame(items, ITEMS).selectExpr("*", "1 AS doc_id", "2 AS rank"))
+    assert got == brute(ODD_TEXTS, items)
+
+
+def test_empty_tables(spark):
+    items = spark.createDataFrame([(1, "fox")], ITEMS)
+    assert found(no_docs(spark), items) == []
+    assert found(odd_docs(spark), items.limit(0)) == []
+
+
+def texts(n, seed=0):
+    """Texts over words of very different frequency, a third of them copies of one."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    rows = []
+    for i in range(n):
+        text = " ".join(rng.choices(words, weights, k=rng.choice([1, 5, 40, 200])))
+        rows.append((i, "w0 w1 w2 w7 w350" if i % 3 == 0 else text))
+    return rows
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_against_brute_force(spark, monkeypatch, k):
+    monkeypatch.setattr(ranked_search, "DOC_BLOCK", 100)
+    rng = random.Random(1)
+    docs = texts(900)
+    items = [(i, " ".join(f"w{int(400 * rng.random() ** 3)}" for _ in range(rng.choice([1, 4, 30])))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = found(df, spark.createDataFrame(items, ITEMS), k=k, block_terms=60)
+    assert got == brute(docs, items, k)
+
+
+def test_accumulators_stop_and_stay_exact():
+    """Frequent terms make no accumulators once the rare ones fill the k best, and change nothing but scores."""
+    docs = texts(3000, 2)
+    names = {f"w{i}": i for i in range(400)}
+    doc, term, tf, lengths = [], [], [], []
+    for d, (_, text) in enumerate(docs):
+        count = Counter(text.split())
+        lengths.append(sum(count.values()))
+        for w in sorted(count, key=names.get):
+            doc.append(d)
+            term.append(names[w])
+            tf.append(count[w])
+    df = np.bincount(term, minlength=400)
+    weights = np.array([ranked_search.weight(len(docs), int(f)) for f in df], np.int64)
+    arrays = [np.array(x, np.int64) for x in (lengths, doc, term, tf)]
+    postings = ranked_search.Postings(*arrays, weights, len(docs), sum(lengths))
+    item = sorted(((t, 1) for t in (0, 1, 2, 3, 150, 200, 250)), key=lambda x: (df[x[0]], x[0]))
+    got, score, open_terms = ranked_search.evaluate(item, postings, 5, 0)
+    assert open_terms < len(item)
+    assert len(got) < len(docs) / 2
+    full = np.zeros(len(docs), np.int64)
+    for t, q in item:
+        d, v = postings.of(t)
+        full[d] += q * v
+    best = sorted(range(len(docs)), key=lambda d: (-full[d], d))[:5]
+    assert set(best) <= set(got.tolist())
+    assert all(full[d] == s for d, s in zip(got, score, strict=True))
