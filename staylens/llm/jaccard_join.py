@@ -5,18 +5,19 @@ product is exact, but only blocks that can hold a link are multiplied:
 
 1. Documents with equal n-gram sets form a class; one representative each goes on. A group of
    thousands of copies costs one row from here.
-2. Size-derived bound: a link needs an overlap of at least ceil(percent/100 * n) of a set of n, so
+2. Size-derived bounds: a link needs an overlap of at least ceil(percent/100 * n) of a set of n, so
    two linked sets share one of the n - ceil(percent/100 * n) + 1 n-grams that come first in any
-   common order. Rare n-grams come first (by a corpus-wide count sketch), so passages that many
+   common order; in the smaller of the two it is even among the first n - ceil(2 * percent / (100 + percent) * n) + 1
+   (its place is then early). Rare n-grams come first (by a corpus-wide count sketch), so passages that many
    documents share hardly ever are among them.
 3. Documents that share such an n-gram, in the order of their set sizes, are a block as long as no
-   gap between neighbours exceeds the bound on linked sizes. The first is the block's hub. A block's
-   rows of the incidence matrix are cut into tiles of about ``TILE`` documents (fewer long ones), each
-   with the hub. In a tile the product accumulates overlaps over column blocks of n-grams, and size
-   bounds discard pairs before and after. A tile returns a spanning forest of its links.
-4. Components by label propagation with pointer jumping over these forests. Only a block whose
-   tiles are still in several components has its cross-tile products taken, between documents of
-   different components; so no link is lost, and copies are never expanded into all pairs.
+   gap to the last early place exceeds the bound on linked sizes; a row without an early one before it is
+   dropped. Up to here only (n-gram, size, id, early) rows are shuffled, no text. An n-gram that very many documents have
+   (the sketch tells which may) isn't gathered in one task: its rows are blocked by ranges of set
+   sizes, by aggregation and a salted join.
+4. The blocks go to :func:`staylens.llm.shingle_links.block_labels`, which fetches the candidates' texts and
+   multiplies tiles of about ``TILE`` documents over column blocks of n-grams.
+5. Components by label propagation with pointer jumping.
 
 The result is exact up to equal 64-bit hashes of different n-grams.
 """
@@ -31,49 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import bytes_words, runs_in_tasks, sorted_distinct, staged
+from staylens.llm.common import runs_in_tasks, staged
+from staylens.llm.shingle_links import TILE, Words, block_labels, linked, overlaps, salted_join, shingles, tiles_of
+
+__all__ = ["jaccard_components", "keep_one_each", "linked", "overlaps"]
 
 runs_in_tasks(__name__)
 
 N = 4
 PERCENT = 85
-#: Counters of the sketch that orders n-grams by rarity. A larger corpus wants more; any number is exact.
-SKETCH_BITS = 21
+#: Counters of the sketch that orders n-grams by rarity: one for 8 bytes of text, within these powers of two. Any
+#: number is exact; what is broadcast (2 bytes each) stays within the larger bound.
+SKETCH_BITS = (16, 23)
 #: Counters in a row of the sketch's table.
 _CHUNK = 1 << 16
-TILE = 512
-#: N-grams of a tile's documents, about; longer documents make smaller tiles.
-TILE_NGRAMS = 4_000_000
-#: Columns (n-grams) of an incidence block that are multiplied at a time.
-COLUMN_BLOCK = 8192
-_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
-
-
-class _Words(dict):
-    """64-bit hash of a word, remembered for the words of a task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-def shingles(text: str | None, known: dict, n: int = N) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams of a text (A-Z lower-cased); of the whole sequence
-    if it has fewer than n words; none without words."""
-    w = bytes_words(text)
-    if not w:
-        return np.zeros(0, np.int64)
-    h = np.fromiter(map(known.__getitem__, map(bytes.lower, w)), np.uint64, len(w))
-    k = min(n, len(w))
-    code = np.full(len(w) - k + 1, len(w) if len(w) < n else 0, np.uint64)
-    for i in range(k):
-        code = (code + h[i : len(w) - k + 1 + i]) * _MIX[i % 4]
-        code ^= code >> np.uint64(29)
-    code *= _MIX[1]
-    code ^= code >> np.uint64(32)
-    return sorted_distinct(code).view(np.int64)
+#: Rows from which on those of one n-gram are spread over tasks. A task's counters stop at 255; one that did counts as this.
+HOT = 20_000
 
 
 def _sketch_slot(codes: np.ndarray, bits: int) -> np.ndarray:
@@ -86,7 +60,7 @@ def _describe(n: int, bits: int):
     which stop at 255."""
 
     def run(batches):
-        known, sketch = _Words(), np.zeros(1 << bits, np.int64)
+        known, sketch = Words(), np.zeros(1 << bits, np.int32)
         for b in batches:
             out, held = [], []
             for text in b.column(1).to_pylist():
@@ -96,7 +70,8 @@ def _describe(n: int, bits: int):
                 hash_parts = (int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))
                 out.append((*hash_parts, len(s)))
             if held:
-                np.add.at(sketch, _sketch_slot(np.concatenate(held), bits), 1)
+                slot, times = np.unique(_sketch_slot(np.concatenate(held), bits), return_counts=True)
+                sketch[slot] += times.astype(np.int32)
             hi, lo, size = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -124,19 +99,21 @@ def _describe(n: int, bits: int):
     return run
 
 
+_SET = ["hi", "lo", "n_shingles"]
 _SET_NAMES = ["id", "hi", "lo", "n_shingles", "counts"]
 _SET_SCHEMA = "id long, hi long, lo long, n_shingles long, counts binary"
 
 
 def _add_up(batches):
-    """Sums of the chunks of a partition."""
+    """Sums of the chunks of a partition, up to 65,535."""
     total: dict[int, np.ndarray] = {}
     for b in batches:
         for chunk, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            wide = np.frombuffer(counts, np.uint8 if len(counts) <= _CHUNK else np.int64).astype(np.int64)
-            total[chunk] = total[chunk] + wide if chunk in total else wide
+            wide = np.frombuffer(counts, np.uint8).astype(np.int32)
+            wide[wide == 255] = HOT
+            total[chunk] = np.minimum(total[chunk] + wide, 65_535) if chunk in total else wide
     yield pa.RecordBatch.from_arrays(
-        [pa.array(total, pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+        [pa.array(total, pa.int64()), pa.array([v.astype(np.uint16).tobytes() for v in total.values()], pa.binary())],
         names=["chunk", "counts"],
     )
 
@@ -149,12 +126,17 @@ def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
         .mapInArrow(_add_up, "chunk long, counts binary")
         .toArrow()
     )
-    out = np.zeros((max(1, (1 << bits) // _CHUNK), min(_CHUNK, 1 << bits)), np.int64)
+    out = np.zeros((max(1, (1 << bits) // _CHUNK), min(_CHUNK, 1 << bits)), np.uint16)
     for chunk, counts in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True):
-        out[chunk] += np.frombuffer(counts, np.int64)
+        out[chunk] = np.frombuffer(counts, np.uint16)
     return out.ravel()
 
 
+def early_places(size: int, percent: int) -> int:
+    """How many n-grams of a set may be the first that it shares with a linked set of its size or more."""
+    return size - -(-2 * percent * size // (100 + percent)) + 1
+
+
 def prefix(codes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     """The n-grams of a set of which two linked sets must share one: the first in the common order
     (count in the sketch, hash)."""
@@ -164,124 +146,99 @@ def prefix(codes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(n: int, percent: int, counts: np.ndarray):
-    """(token, size, id): the prefix of each set."""
+    """(token, size, id, early, hot): the prefix of each set, whether the token has an early place in it, and
+    whether many documents may have the token."""
+    bits = int(len(counts)).bit_length() - 1
 
     def run(batches):
-        known = _Words()
+        known = Words()
         for b in batches:
             sets = [shingles(t, known, n) for t in b.column(1).to_pylist()]
             found = [prefix(s, counts, percent) for s in sets]
             lengths = np.array([len(x) for x in found], np.int64)
             ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), lengths)
             sizes = np.repeat(np.array([len(x) for x in sets], np.int64), lengths)
+            early = [np.arange(len(p)) < early_places(len(s), percent) for p, s in zip(found, sets, strict=True)]
             tokens = np.concatenate(found) if found else np.zeros(0, np.int64)
+            early = np.concatenate(early) if early else np.zeros(0, bool)
+            hot = counts[_sketch_slot(tokens, bits)] >= HOT
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens), pa.array(sizes.astype(np.int32)), pa.array(ids, pa.int64())],
-                names=["token", "size", "id"],
+                [pa.array(tokens), pa.array(sizes.astype(np.int32)), pa.array(ids, pa.int64()), pa.array(early), pa.array(hot)],
+                names=["token", "size", "id", "early", "hot"],
             )
 
     return run
 
 
 def _blocks(percent: int):
-    """(hub, id) from rows sorted by token, size and id, as a stream: a block ends with its token, or
-    where a size is too far above the one before for any link across."""
+    """(hub, id) from rows sorted by token, size and id, as a stream. A row with an early place begins a block if
+    no such row of its token comes before it or the last one is too small for any link with it; its block's first row is
+    the hub. Other rows belong to the block before them or to none. Hot rows pass as they are, with a NULL hub."""
 
     def run(batches):
-        last = None  # token, size and hub of the row before, and whether the hub has been told
+        last = None  # token, size and hub of the last early row, and whether the hub has been told
         for b in batches:
             if not b.num_rows:
                 continue
+            hot = b.column(4).to_numpy(zero_copy_only=False) if b.num_columns > 4 else np.zeros(b.num_rows, bool)
+            if hot.any():
+                yield _candidates(None, *(b.filter(pa.array(hot)).column(i) for i in (2, 0, 1, 3)))
+                b = b.filter(pa.array(~hot))
+                if not b.num_rows:
+                    continue
             token, size, ids = (b.column(i).to_numpy() for i in range(3))
-            before_token = np.concatenate([[last[0] if last else token[0]], token[:-1]])
-            before_size = np.concatenate([[last[1] if last else size[0]], size[:-1]]).astype(np.int64)
-            begins = (token != before_token) | (100 * before_size < percent * size)
-            begins[0] |= last is None
-            start = np.maximum.accumulate(np.where(begins, np.arange(len(ids)), -1))
+            early = b.column(3).to_numpy(zero_copy_only=False) if b.num_columns > 3 else np.ones(len(ids), bool)
+            at = np.arange(len(ids))
+            before = np.concatenate([[-1], np.maximum.accumulate(np.where(early, at, -1))[:-1]])
+            known = (before >= 0) | (last is not None)
+            before_token = np.where(before >= 0, token[before], last[0] if last else 0)
+            before_size = np.where(before >= 0, size[before], last[1] if last else 0).astype(np.int64)
+            member = known & (before_token == token) & (100 * before_size >= percent * size.astype(np.int64))
+            begins = early & ~member
+            start = np.maximum.accumulate(np.where(begins, at, -1))
             hub = np.where(start >= 0, ids[start], last[2] if last else 0)
-            member = ~begins
             # a hub is told with its first other member
-            first = member & np.concatenate([[bool(last) and not last[3]], begins[:-1]])
-            out_hub = np.concatenate([hub[member], hub[first]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_hub), pa.array(np.concatenate([ids[member], hub[first]]))], names=["hub", "id"]
+            _, first = np.unique(start[member], return_index=True)
+            first = np.flatnonzero(member)[first]
+            if last and last[3]:
+                first = first[start[first] >= 0]
+            yield _candidates(
+                pa.array(np.concatenate([hub[member], hub[first]])), pa.array(np.concatenate([ids[member], hub[first]]))
             )
-            last = (token[-1], size[-1], hub[-1], bool(member[-1]))
+            z = np.flatnonzero(early)
+            if len(z):
+                told = bool((member & (start == start[z[-1]])).any()) or bool(start[z[-1]] < 0 and last and last[3])
+                last = (token[z[-1]], size[z[-1]], hub[z[-1]], told)
+            elif last and member.any():
+                last = (*last[:3], True)
 
     return run
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Pairwise overlap counts: incidence times its transpose, accumulated over column blocks.
-    N-grams of a single set add nothing and are left out."""
-    m = len(sets)
-    total = np.zeros((m, m), np.float32)
-    rows = np.repeat(np.arange(m), [len(s) for s in sets])
-    _, col, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    place = np.cumsum(count > 1) - 1
-    shared = count[col] > 1
-    rows, col = rows[shared], place[col[shared]]
-    order = np.argsort(col, kind="stable")
-    rows, col = rows[order], col[order]
-    for first in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMN_BLOCK):
-        a, z = np.searchsorted(col, (first, first + COLUMN_BLOCK))
-        block = np.zeros((m, int(col[z - 1]) - first + 1), np.float32)
-        block[rows[a:z], col[a:z] - first] = 1
-        total += block @ block.T
-    return total.astype(np.int64)
-
-
-def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Boolean matrix of the pairs at or above the threshold."""
-    size = np.array([len(s) for s in sets], np.int64)
-    least = np.minimum.outer(size, size)
-    both = np.add.outer(size, size)
-    possible = 100 * least >= percent * (both - least)
-    np.fill_diagonal(possible, False)
-    if not possible.any():
-        return possible
-    o = overlaps(sets)
-    return possible & (100 * o >= percent * (both - o))
-
-
-def _forest(ids: list[int], group: np.ndarray, link: np.ndarray) -> list[tuple[int, int]]:
-    """Links that keep the components of ``link``; documents of one ``group`` count as joined."""
-    left = np.ones(len(ids), bool)
-    found = []
-    while left.any():
-        start = int(np.flatnonzero(left)[0])
-        left[start] = False
-        reach = [start]
-        while reach:
-            u = reach.pop()
-            for v in np.flatnonzero(left & link[u]):
-                found.append((ids[u], ids[v]))
-                left[v] = False
-                reach.append(int(v))
-            for v in np.flatnonzero(left & (group == group[u])):
-                left[v] = False
-                reach.append(int(v))
-    return found
-
-
-def _links(n: int, percent: int):
-    """Spanning forest of the links between the texts of a tile. With a column ``label``, documents
-    of one label count as joined."""
-
-    def run(table: pa.Table) -> pa.Table:
-        known = _Words()
-        ids = table.column("id").to_pylist()
-        sets = [shingles(t, known, n) for t in table.column("text").to_pylist()]
-        link = linked(sets, percent)
-        group = np.arange(len(ids))
-        if "label" in table.column_names:
-            _, group = np.unique(np.array(table.column("label").to_pylist(), np.int64), return_inverse=True)
-            link &= group[:, None] != group[None, :]
-        found = _forest(ids, group, link)
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+_CANDIDATES = "hub long, id long, token long, size int, early boolean"
 
-    return run
+
+def _candidates(hub, ids, token=None, size=None, early=None) -> pa.RecordBatch:
+    """Rows of ``_CANDIDATES``: members of blocks, or hot rows."""
+    n = len(ids)
+    columns = [hub, ids, token, size, early]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, t) if c is None else c for c, t in zip(columns, types, strict=True)],
+        names=["hub", "id", "token", "size", "early"],
+    )
+
+
+def _hot_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """(hub, id) from hot rows: a block for each token and range of set sizes. Linked sets lie in one
+    range or in neighbouring ones, so rows with an early place also join the next range."""
+    step = math.log(100 / percent) * 1.001
+    level = F.floor(F.ln(F.col("size").cast("double")) / step)
+    both = F.when(F.col("early"), F.array(level, level + 1)).otherwise(F.array(level))
+    ranged = rows.select("id", "token", F.explode(both).alias("level")).select("id", F.xxhash64("token", "level").alias("block"))
+    hubs = ranged.groupBy("block").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
+    hubs = hubs.where("hub < last").select("block", "hub")
+    return salted_join(ranged, hubs, ["block"], "id").select("hub", "id")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -312,7 +269,7 @@ def jaccard_components(
     key: str = "doc_id",
     n: int = N,
     percent: int = PERCENT,
-    sketch_bits: int = SKETCH_BITS,
+    sketch_bits: int | None = None,
     tile: int = TILE,
 ) -> DataFrame:
     """(key, n_shingles, component_id) for each row of ``docs``.
@@ -322,68 +279,42 @@ def jaccard_components(
     key are one node and share a component. A row with a NULL key is linked with nothing and has a
     NULL component."""
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    if sketch_bits is None:
+        size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 1
+        sketch_bits = min(max((size // 8).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     all_rows = staged(source.mapInArrow(_describe(n, sketch_bits), _SET_SCHEMA), "sets")
     described = all_rows.where("n_shingles >= 0").drop("counts")
     counts = _sketch(all_rows.where("n_shingles < 0"), sketch_bits)
 
     with_words = described.where("n_shingles > 0 and id is not null")
-    classes = staged(with_words.groupBy("hi", "lo", "n_shingles").agg(F.min("id").alias("rep")), "classes")
+    classes = staged(with_words.groupBy(*_SET).agg(F.min("id").alias("rep")), "classes")
 
     # candidate blocks: hub and members. A token's rows are 20 bytes each and pass as a stream
     tokens = source.where("id is not null").mapInArrow(
-        _prefixes(n, percent, counts), "token long, size int, id long"
+        _prefixes(n, percent, counts), "token long, size int, id long, early boolean, hot boolean"
     )
-    in_order = tokens.repartition("token").sortWithinPartitions("token", "size", "id")
-    members = in_order.mapInArrow(_blocks(percent), "hub long, id long").distinct()
+    part = F.when(F.col("hot"), F.xxhash64("token", "id")).otherwise(F.col("token"))
+    in_order = tokens.repartition(part).sortWithinPartitions("token", "size", "id")
+    found = staged(in_order.mapInArrow(_blocks(percent), _CANDIDATES), "candidates")
+    cold = found.where("hub is not null").select("hub", "id")
+    hot = _hot_blocks(found.where("hub is null"), percent)
+    members = cold.union(hot).distinct()
     reps = classes.groupBy(F.col("rep").alias("id")).agg(F.sum("n_shingles").alias("size"))
     members = staged(members.join(reps, "id"), "members")
-    by_count = F.ceil((F.count(F.lit(1)) - 1) / (tile - 1))
-    by_size = F.ceil(F.sum("size") / TILE_NGRAMS)
-    sizes = members.groupBy("hub").agg(
-        F.count(F.lit(1)).alias("m"), F.greatest(by_count, by_size).cast("int").alias("tiles")
-    )
-    sizes = sizes.where("m > 1").select("hub", "tiles")
-    spread = (
-        members.where("id <> hub")
-        .join(sizes, "hub")
-        .select("hub", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"), "tiles", "id")
-    )
-    hub_rows = sizes.select(
-        "hub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "tiles", F.col("hub").alias("id")
-    )
-    block = staged(spread.union(hub_rows), "blocks")
-    # a merge join at every size: candidates grow with the documents
-    texts = staged(source.join(block.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
-    tiles = block.select("hub", "tile", "id").join(texts, "id")
-    links = staged(tiles.groupBy("hub", "tile").applyInArrow(_links(n, percent), "a long, b long"), "links")
-    # rows that repeat a key make one node of their classes
-    in_class = with_words.join(classes, ["hi", "lo", "n_shingles"]).select("id", "n_shingles", "rep")
-    first = in_class.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    same_key = in_class.join(first, "id").select("a", F.col("rep").alias("b"))
-    links = links.union(same_key)
-    label = components(links)
-
-    # blocks of several tiles that are not in one component yet: products across tiles
-    many = block.where("tiles > 1").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_hubs = (
-        many.groupBy("hub").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a < z").select("hub")
-    )
-    rest = staged(many.where("id <> hub").join(open_hubs, "hub", "left_semi"), "open")
-    if rest.limit(1).count():
-        other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-        paired = rest.select("hub", "tile", "id", "label", other).where("other <> tile")
-        paired = paired.select(
-            "hub", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "id", "label"
-        )
-        pairs = paired.join(texts, "id").groupBy("hub", "t1", "t2")
-        across = pairs.applyInArrow(_links(n, percent), "a long, b long")
-        label = components(links.union(staged(across, "across")))
+    block = tiles_of(members, tile)
 
-    found = in_class.join(label.toDF("rep", "label"), "rep", "left").select(
-        "id", "n_shingles", F.coalesce("label", "rep").alias("component_id")
-    )
+    # rows that repeat a key make one node of their classes
+    in_set = F.struct("hi", "lo", "n_shingles")
+    several = with_words.groupBy("id").agg(F.min(in_set).alias("a"), F.max(in_set).alias("z")).where("a < z")
+    in_class = with_words.join(several.select("id"), "id", "left_semi").join(classes, _SET)
+    first = in_class.groupBy("id").agg(F.min("rep").alias("a"))
+    same_key = in_class.join(first, "id").select("a", F.col("rep").alias("b")).where("a <> b")
+    label = block_labels(block, source, components, n=n, percent=percent, tile=tile, more_links=same_key)
+
+    labelled = classes.join(label.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    of_class = salted_join(with_words, labelled, _SET, "id").select("id", "n_shingles", F.col("label").alias("component_id"))
     alone = described.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return found.union(alone).withColumnRenamed("id", key)
+    return of_class.union(alone).withColumnRenamed("id", key)
 
 
 def keep_one_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:

@@ -142,3 +142,58 @@ def test_keep_one_each(spark):
     assert sorted((r["doc_id"] for r in rows if r["doc_id"] is not None)) == [1, 4, 5, 6, 7, 9, 10, 11, 12, 13]
     assert sum(r["doc_id"] is None for r in rows) == 2
     assert J.keep_one_each(no_docs(spark)).count() == 0
+
+
+def test_ngrams_that_very_many_documents_have(spark, monkeypatch):
+    """All n-grams that two documents have count as hot and are blocked by ranges of sizes."""
+    monkeypatch.setattr(J, "HOT", 2)
+    docs = copies(7)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(df, tile=4).collect()}
+    assert got == brute(docs)
+
+
+def test_early_places_find_every_linked_pair():
+    """Linked sets share an n-gram that is early in the smaller one, so a stream of blocks holds every link."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 9, 1 << 8)
+    sets, rows = [], []
+    for _ in range(60):
+        base = rng.integers(-(2**62), 2**62, int(rng.integers(3, 90)))
+        for _ in range(6):
+            s = np.concatenate([base[rng.random(len(base)) < 0.95], rng.integers(-(2**62), 2**62, int(rng.integers(0, 4)))])
+            if len(s):
+                sets.append(np.unique(s))
+    for i, s in enumerate(sets):
+        p = J.prefix(s, counts, 85)
+        rows += [(int(t), len(s), i, k < J.early_places(len(s), 85)) for k, t in enumerate(p)]
+    rows.sort()
+    names = ["token", "size", "id", "early"]
+    for step in (1, 50, len(rows)):
+        parts = [rows[k : k + step] for k in range(0, len(rows), step)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*p)], names=names) for p in parts]
+        blocks = {}
+        for b in J._blocks(85)(batches):
+            for hub, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                blocks.setdefault(hub, set()).add(i)
+        assert all(hub in block for hub, block in blocks.items())
+        link = J.linked(sets, 85)
+        assert link.any()
+        for a, z in zip(*np.nonzero(link)):
+            assert any(a in block and z in block for block in blocks.values())
+
+
+def test_one_passage_in_thousands_of_texts(spark):
+    """Texts that share most of their n-grams without a link don't pass as copies, and copies among them do."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    docs = []
+    for i in range(2400):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(30)] if i % 100 else docs[-1][1].split()[60:] if docs else ["o"]
+        docs.append((i, " ".join(passage + own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(df).collect()}
+    assert {i for i, c in got.items() if c != i} == {i for i in range(100, 2400, 100)}
+    assert all(got[i] == i - 1 for i in range(100, 2400, 100))
