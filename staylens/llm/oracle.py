@@ -192,3 +192,8 @@ r AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 *
 o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
   FROM r WHERE score > 0)
 SELECT * FROM o WHERE rank <= {k}"""
+
+
+def minhash_sql(n: int, percent: int) -> str:
+    """The links on full sets, as for the n-gram Jaccard join, and which rows are their component's smallest."""
+    return f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(n, percent)})"

@@ -17,6 +17,7 @@ from staylens.llm import (
     jaccard_join,
     license_scan,
     merkle_log,
+    minhash_dedup,
     mixing,
     oracle,
     order_minhash,
@@ -173,6 +174,13 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+# -- MinHash near-duplicates ------------------------------------------------------------------
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_components(_table(spark, sf_dir, "documents"))
+
+
 # -- Merkle dataset manifest ------------------------------------------------------------------
 
 
@@ -192,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "op9_pack": op9_pack,
     "op10_jaccard": op10_jaccard,
     "op11_ranked_search": op11_ranked_search,
+    "op12_minhash": op12_minhash,
     "op13_merkle_log": op13_merkle_log,
 }
 
@@ -200,5 +209,6 @@ ORACLE: dict[str, str] = {
     "op7_jump_hash": oracle.sharding_sql(SHARDS),
     "op10_jaccard": oracle.jaccard_sql(jaccard_join.N, jaccard_join.PERCENT),
     "op11_ranked_search": oracle.ranked_search_sql(ranked_search.K),
+    "op12_minhash": oracle.minhash_sql(minhash_dedup.N, minhash_dedup.PERCENT),
     "op13_merkle_log": oracle.merkle_sql(),
 }

@@ -24,6 +24,7 @@ COLUMNS = {
     "op9_pack": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
     "op10_jaccard": {"doc_id", "n_shingles", "component_id"},
     "op11_ranked_search": {"item_id", "rank", "doc_id", "score"},
+    "op12_minhash": {"doc_id", "n_shingles", "component_id", "kept"},
     "op13_merkle_log": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
 }
 
