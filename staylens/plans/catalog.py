@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylens.operators import alternatives, guests, hosts, pricing, profile, spatial, terms
+from staylens.operators import alternatives, alternatives_all, guests, hosts, pricing, profile, spatial, terms
 from staylens.sources.readers import features_from_text
 from staylens.sources.testdata import TestTables
 
@@ -201,6 +201,12 @@ _OVER_TABLES: dict[str, Callable[[TestTables], DataFrame]] = {
         ),
         FINE,
     ),
+    "alternatives_all_pairs": lambda t: _round(
+        alternatives_all.alternatives_all_pairs(
+            t.listings(("amenities",)), t.calendar(), AVAILABLE_DATE, MAX_PRICE_INCREASE_PCT, MAX_KM, N_ALTERNATIVES
+        ),
+        FINE,
+    ),
 }
 
 

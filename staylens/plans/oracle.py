@@ -352,6 +352,22 @@ def _alternatives(wide: bool, include_self: bool = False) -> str:
     return with_ctes(f"SELECT {cols} FROM {name}", name)
 
 
+def _alternatives_all() -> str:
+    return with_ctes(
+        f"""SELECT id, rank, listing_id, common_amenities, round(distance, 6) AS distance, round(price, 6) AS price FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY common_amenities DESC, distance, listing_id) AS rank FROM (
+        SELECT c.id, a.id AS listing_id, a.price,
+               CAST(len(list_filter(a.amen, lambda x: list_contains(c.amen, x))) AS BIGINT) AS common_amenities,
+               {haversine('c.latitude', 'c.longitude', 'a.latitude', 'a.longitude')} AS distance
+        FROM amen_listings c JOIN amen_listings a ON a.room_type = c.room_type AND a.id <> c.id
+        WHERE a.id IN (SELECT listing_id FROM calendar WHERE available = 't' AND date = DATE '{C.AVAILABLE_DATE}')
+          AND a.price <= c.price * (1.0::DOUBLE + {C.MAX_PRICE_INCREASE_PCT}::DOUBLE / 100.0::DOUBLE))
+    WHERE distance < {C.MAX_KM}::DOUBLE) WHERE rank <= {C.N_ALTERNATIVES}""",
+        "amen_listings",
+        "calendar",
+    )
+
+
 def _income() -> str:
     return f"""SELECT city, host_id, sum({MONEY_A.format(c='price')} * CAST(booked_nights AS DOUBLE)) AS income
     FROM ({_booked()}) GROUP BY city, host_id"""
@@ -579,4 +595,5 @@ ORACLE: dict[str, str] = {
     "alternative_listings": _alternatives(False),
     "alternative_listings_map": _alternatives(True),
     "alternative_listings_with_self": _alternatives(False, True),
+    "alternatives_all_pairs": _alternatives_all(),
 }
