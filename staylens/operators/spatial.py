@@ -4,37 +4,44 @@ Polygons are not objects here but rows: every ring becomes edge rows
 ``(pid, part, ring, i, x1, y1, x2, y2)``. Containment is then an equi-join
 against a spatial index built from those rows:
 
-1. bounding box per polygon, exploded to the grid cells it covers, and each
-   cell to the horizontal bands (mean edge height) it spans;
-2. edges filed under the bands their y-range touches, per (polygon, band);
-3. the index has exactly one row per (cell x, cell y, band) key, listing the
-   candidate polygons of that cell with their bbox and their edges in that
-   band;
-4. each point computes its key and equi-joins at most one index row; on that
+1. each polygon gets a grid of its own size (cells of a power of four, about its extent) and,
+   within a cell, horizontal bands about as high as its edges. Polygons of one cell and band size are a kind;
+   the kinds are few, whatever the polygons;
+2. a polygon's edges are filed under the bands they touch. With its extent between half a cell and two, it
+   covers at most four columns of cells, so its index rows follow the number of its edges. One polygon that is a million times
+   larger than the others changes nothing for them;
+3. the index has exactly one row per (kind, column, band) key, listing the
+   candidate polygons there with their bbox and their edges in that band;
+4. each point has one key for each kind and equi-joins at most one index row by it; on that
    row, higher-order functions test each candidate: strict bbox, even-odd
    count of edges crossed by the ray to the right of the point, and an exact
    on-edge test (boundary excluded, all parts and holes honoured);
-5. the smallest containing pid (first polygon in file order) wins; points
+5. the smallest containing pid (first polygon in file order) over the kinds wins; points
    with no containing polygon get NULL.
 
-The point side is never aggregated or multiplied: when the index is small
-(Spark broadcasts it after measuring it) assigning points is map-only;
-otherwise points are shuffled once by key and AQE splits a hot cell. The
-crossing test uses cross products only (no division), so it is exact for
-integer coordinates and never divides by a horizontal edge.
+Hot keys: a deterministic sample of the points tells which keys hold more than a small part
+of all points. Their index rows are repeated and their points dealt over the copies, in proportion, so
+that no key's points land in one task. The crossing and boundary tests are exact for all doubles
+(:mod:`staylens.functions.orientation`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import amenity_tokens_raw
-from staylens.plans.scalars import scalar_row
+from staylens.functions.orientation import side_of_line
+from staylens.plans.scalars import scalar
 
-# Fixed value: most horizontal edge bands per grid cell (bounds the index size
-# when edges are much shorter than polygons)
-MAX_BANDS_PER_CELL = 64
+#: Cells and bands come in powers of this, so that polygons of similar size share a kind.
+STEP = 4.0
+#: Bands of a cell, at most, as a power of ``STEP``.
+MOST_BANDS = 10
+#: One point in so many, by a hash of its id, is looked at for hot keys.
+SAMPLE = 16
+#: A key with more than one in ``HOT_PARTS`` / 2 of the sampled points is hot; a key with all points has ``HOT_PARTS`` copies.
+HOT_PARTS = 512
 
 
 def polygon_edges(features: DataFrame, first_ring_only: bool = False) -> DataFrame:
@@ -86,6 +93,110 @@ def _cell(v: Column, size: Column) -> Column:
     return F.floor(v / size)
 
 
+def _with_kind(edges: DataFrame, cell_size: float | None, stripe_size: float | None) -> DataFrame:
+    """One row per polygon: its bbox (of the exterior rings), cell size ``cs`` and band height ``ss``."""
+    ext = F.col("ring") == 0
+    bbox = edges.groupBy("pid", "neighbourhood").agg(
+        F.min(F.when(ext, F.least("x1", "x2"))).alias("min_x"),
+        F.min(F.when(ext, F.least("y1", "y2"))).alias("min_y"),
+        F.max(F.when(ext, F.greatest("x1", "x2"))).alias("max_x"),
+        F.max(F.when(ext, F.greatest("y1", "y2"))).alias("max_y"),
+        F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("dy"),
+    )
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    fitting = F.when(extent > 0, F.pow(F.lit(STEP), F.ceil(F.log(STEP, extent / 2)))).otherwise(F.lit(1.0))
+    bbox = bbox.where(F.col("min_x").isNotNull())
+    bbox = bbox.withColumn("cs", fitting if cell_size is None else F.lit(float(cell_size)))
+    bands = F.least(F.greatest(F.floor(F.log(STEP, F.col("cs") / F.col("dy"))), F.lit(0)), F.lit(MOST_BANDS))
+    height = F.when(F.col("dy") > 0, F.col("cs") / F.pow(F.lit(STEP), bands)).otherwise(F.col("cs"))
+    return bbox.withColumn("ss", height if stripe_size is None else F.lit(float(stripe_size))).drop("dy")
+
+
+def polygon_index(edges: DataFrame, polygons: DataFrame) -> DataFrame:
+    """(cs, ss, cx, sy, polys): one row for each kind, column of cells and band that polygons reach."""
+    boxes = polygons.withColumnRenamed("pid", "b_pid")
+    filed = edges.select("pid", "x1", "y1", "x2", "y2").join(boxes, F.col("pid") == F.col("b_pid"))
+    band = F.sequence(_cell(F.least("y1", "y2"), F.col("ss")), _cell(F.greatest("y1", "y2"), F.col("ss")))
+    own = ["pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y"]
+    rows = filed.select(*own, "cs", "ss", "x1", "y1", "x2", "y2", F.explode(band).alias("sy"))
+    rows = rows.groupBy(*own, "cs", "ss", "sy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    columns = F.sequence(_cell(F.col("min_x"), F.col("cs")), _cell(F.col("max_x"), F.col("cs")))
+    rows = rows.withColumn("cx", F.explode(columns))
+    return rows.groupBy("cs", "ss", "cx", "sy").agg(F.collect_list(F.struct(*own, "edges")).alias("polys"))
+
+
+def with_keys(points: DataFrame, kinds: Column) -> DataFrame:
+    """``points`` (with ``_x``, ``_y``) repeated for each kind (``_kind`` counts them), with the key ``_key`` there.
+    Points without kinds or coordinates keep a row with a NULL key."""
+    rows = points.withColumn("_kinds", kinds)
+    rows = rows.select(*points.columns, F.posexplode_outer("_kinds").alias("_kind", "k"))
+    key = F.struct(
+        F.col("k.cs").alias("cs"),
+        F.col("k.ss").alias("ss"),
+        _cell(F.col("_x"), F.col("k.cs")).alias("cx"),
+        _cell(F.col("_y"), F.col("k.ss")).alias("sy"),
+    )
+    known = F.col("k").isNotNull() & F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    return rows.withColumn("_key", F.when(known, key)).drop("k")
+
+
+def hot_keys(keyed: DataFrame) -> Column:
+    """How many copies the index rows of hot keys get, as a map from the keys' hashes: a scalar subquery over a
+    sample of the points of one kind each. At most ``HOT_PARTS`` / 2 keys of a kind can be hot."""
+    sample = keyed.where((F.pmod(F.xxhash64("_id"), F.lit(SAMPLE)) == 0) & F.col("_key").isNotNull())
+    counts = sample.groupBy("_kind", F.xxhash64("_key").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") * HOT_PARTS / F.sum("n").over(Window.partitionBy("_kind"))
+    copies = counts.withColumn("copies", F.ceil(share).cast("int")).where(F.col("copies") > 2)
+    return scalar(copies.groupBy("h").agg(F.max("copies").alias("copies")).agg(
+        F.map_from_entries(F.collect_list(F.struct("h", "copies"))).alias("hot")
+    ))
+
+
+def dealt_over_copies(keyed: DataFrame, index: DataFrame, hot: Column) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join with ``_copy``: points of a hot key are dealt over its copies."""
+
+    def copies(h: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.col("_hot"), h), F.lit(1))
+
+    points = keyed.withColumn("_hot", hot)
+    points = points.withColumn("_copy", F.pmod(F.xxhash64("_id", "_x", "_y"), copies(F.xxhash64("_key"))).cast("int"))
+    rows = index.withColumn("key", F.struct("cs", "ss", "cx", "sy")).withColumn("_hot", hot)
+    rows = rows.select(
+        "key", "polys", F.explode(F.sequence(F.lit(0), copies(F.xxhash64("key")) - 1)).alias("copy")
+    )
+    return points.drop("_hot"), rows
+
+
+def _first_containing(x: Column, y: Column) -> Column:
+    """(pid, nb) of the first polygon of ``polys`` that strictly contains the point."""
+
+    def against(e):
+        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+        beside = (y >= F.least(y1, y2)) & (y <= F.greatest(y1, y2)) & (x <= F.greatest(x1, x2))
+        # an edge wholly to the right is crossed if the point's height lies within it; no side is needed
+        side = F.when(~beside, F.lit(9.0)).when(x < F.least(x1, x2), F.lit(5.0)).otherwise(side_of_line(x1, y1, x2, y2, x, y))
+        return F.struct(side.alias("side"), ((y1 > y) != (y2 > y)).alias("spans"), (y2 > y1).alias("up"), (x >= F.least(x1, x2)).alias("at"))
+
+    def crossed(t):
+        right = F.when(t["side"] == 5.0, True).when(t["up"], t["side"] == 1.0).otherwise(t["side"] == -1.0)
+        return t["spans"] & (t["side"] < 9.0) & right
+
+    def contains(p):
+        in_box = (x > p["min_x"]) & (x < p["max_x"]) & (y > p["min_y"]) & (y < p["max_y"])
+        tests = F.transform(p["edges"], against)
+        tally = F.aggregate(
+            tests,
+            F.struct(F.lit(0).alias("c"), F.lit(False).alias("on")),
+            lambda acc, t: F.struct(
+                (acc["c"] + crossed(t).cast("int")).alias("c"), (acc["on"] | (t["at"] & (t["side"] == 0.0))).alias("on")
+            ),
+        )
+        return F.when(in_box, F.transform(F.array(tally), lambda r: (r["c"] % 2 == 1) & ~r["on"])[0]).otherwise(False)
+
+    hits = F.filter("polys", contains)
+    return F.array_min(F.transform(hits, lambda p: F.struct(p["pid"].alias("pid"), p["neighbourhood"].alias("nb"))))
+
+
 def assign_neighbourhood(
     points: DataFrame,
     edges: DataFrame,
@@ -100,122 +211,34 @@ def assign_neighbourhood(
     (smallest pid) strictly containing it; NULL when none (or a NULL
     coordinate). ``keep`` columns of ``points`` are carried through.
 
-    ``cell_size`` is the grid cell edge (default: the mean polygon bbox
-    extent, so a polygon covers a handful of cells). ``stripe_size`` is the
-    height of the horizontal bands edges are filed under (default: the mean
-    edge height, at least 1/64 of a cell, so a band of a polygon holds only
-    the few edges a horizontal line through it crosses). Both defaults come
-    from one scalar subquery over the polygons.
-
-    Plan: the polygons are turned into a spatial index with exactly one row
-    per (cell x, cell y, band) key, holding every candidate polygon of that
-    cell with its bbox and its edges in that band. Each point computes its key
-    and equi-joins at most one index row (no row multiplication); containment
-    is then evaluated on that row with higher-order functions. Points are
-    never aggregated: with a small index (Spark broadcasts it after
-    measuring it) the point side is map-only, otherwise it is shuffled once
-    by key (AQE splits a hot cell)."""
-    # one aggregation per polygon gives its bbox (exterior rings) and edge
-    # heights; both default sizes then come from one scalar subquery over it
-    ext = F.col("ring") == 0
-    bbox = edges.groupBy("pid", "neighbourhood").agg(
-        F.min(F.when(ext, F.least("x1", "x2"))).alias("min_x"),
-        F.min(F.when(ext, F.least("y1", "y2"))).alias("min_y"),
-        F.max(F.when(ext, F.greatest("x1", "x2"))).alias("max_x"),
-        F.max(F.when(ext, F.greatest("y1", "y2"))).alias("max_y"),
-        F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("sum_dy"),
-        F.count(F.lit(1)).alias("n_all"),
-    )
-    cs_val = F.avg(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))
-    ss_val = F.sum("sum_dy") / F.sum("n_all")
-    if cell_size is not None:
-        cs_val = F.lit(float(cell_size))
-    if stripe_size is not None:
-        ss_val = F.lit(float(stripe_size))
-    raw = bbox.agg(cs_val.alias("c"), ss_val.alias("s"))
-    cell = F.when(F.col("c") > 0, F.col("c")).otherwise(F.lit(1.0))
-    band = F.when(F.col("s") > 0, F.greatest(F.col("s"), cell / F.lit(float(MAX_BANDS_PER_CELL)))).otherwise(cell)
-    # one struct subquery; every branch binds it to a column once (each
-    # reference to a subquery is planned separately, so keep them few)
-    sizes = scalar_row(raw.select(cell.alias("cs"), band.alias("ss")))
-    cs, ss = F.col("_sz.cs"), F.col("_sz.ss")
-
-    # polygon bbox -> covered grid cells -> the bands of each cell (one band of
-    # slack on both sides absorbs rounding between the two floor divisions)
-    cells = bbox.where(F.col("min_x").isNotNull()).withColumn("_sz", sizes)
-    cells = cells.withColumn("cx", F.explode(F.sequence(_cell(F.col("min_x"), cs), _cell(F.col("max_x"), cs))))
-    cells = cells.withColumn("cy", F.explode(F.sequence(_cell(F.col("min_y"), cs), _cell(F.col("max_y"), cs))))
-    lo = F.floor(F.col("cy") * cs / ss) - 1
-    hi = F.floor((F.col("cy") + 1) * cs / ss) + 1
-    cells = cells.withColumn("sy", F.explode(F.sequence(lo, hi)))
-    cells = cells.select("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "cx", "cy", "sy")
-
-    # edges -> the bands their y-range touches, gathered per (polygon, band)
-    bands = edges.select("pid", "x1", "y1", "x2", "y2").withColumn("_sz", sizes)
-    bands = bands.withColumn(
-        "sy", F.explode(F.sequence(_cell(F.least("y1", "y2"), ss), _cell(F.greatest("y1", "y2"), ss)))
-    )
-    bands = bands.groupBy(F.col("pid").alias("e_pid"), F.col("sy").alias("e_sy")).agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
-    )
-
-    # index: one row per (cx, cy, sy) listing its candidate polygons; a band of
-    # a polygon without edges lies outside the polygon's y-range, so dropping
-    # it (inner join) never drops a containing polygon
-    idx = cells.join(bands, (cells.pid == bands.e_pid) & (cells.sy == bands.e_sy), "inner")
-    idx = idx.groupBy("cx", "cy", "sy").agg(
-        F.collect_list(
-            F.struct("pid", "neighbourhood", "min_x", "min_y", "max_x", "max_y", "edges")
-        ).alias("polys")
-    )
+    ``cell_size`` and ``stripe_size`` give all polygons one size of cells or bands; by default each
+    polygon has its own (see the module's text).
 
+    Plan: a point row is repeated for each kind of polygons (one, where polygons have about one
+    size), joined by key with the polygon index, hot keys spread, and put together again by an aggregation on
+    (id, kept columns, coordinates) with partial results. Rows equal in all of these are counted and told as often."""
+    polygons = _with_kind(edges, cell_size, stripe_size)
+    kinds = scalar(polygons.agg(F.collect_set(F.struct("cs", "ss")).alias("kinds")))
     pts = points.select(
         F.col(id_col).alias("_id"),
         *keep,
         F.col(x_col).cast("double").alias("_x"),
         F.col(y_col).cast("double").alias("_y"),
-    ).withColumn("_sz", sizes)
-    pts = pts.select(
-        "_id",
-        *keep,
-        "_x",
-        "_y",
-        _cell(F.col("_x"), cs).alias("pcx"),
-        _cell(F.col("_y"), cs).alias("pcy"),
-        _cell(F.col("_y"), ss).alias("psy"),
     )
-    j = pts.join(idx, (pts.pcx == idx.cx) & (pts.pcy == idx.cy) & (pts.psy == idx.sy), "left")
-
-    x, y = F.col("_x"), F.col("_y")
-
-    def tally(acc, e):
-        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
-        t = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
-        crosses = ((y1 > y) != (y2 > y)) & F.when(y2 > y1, t > 0).otherwise(t < 0)
-        on_edge = (
-            (t == 0)
-            & (x >= F.least(x1, x2))
-            & (x <= F.greatest(x1, x2))
-            & (y >= F.least(y1, y2))
-            & (y <= F.greatest(y1, y2))
-        )
-        return F.struct(
-            (acc["c"] + crosses.cast("int")).alias("c"), (acc["on"] | on_edge).alias("on")
-        )
-
-    def contains(p):
-        in_box = (x > p["min_x"]) & (x < p["max_x"]) & (y > p["min_y"]) & (y < p["max_y"])
-        zero = F.struct(F.lit(0).alias("c"), F.lit(False).alias("on"))
-        r = F.aggregate(p["edges"], zero, tally)
-        return in_box & (r["c"] % 2 == 1) & ~r["on"]
-
-    hits = F.filter("polys", contains)
-    first = F.array_min(F.transform(hits, lambda p: F.struct(p["pid"].alias("pid"), p["neighbourhood"].alias("nb"))))
-    return j.select(
+    keyed = with_keys(pts, kinds)
+    hot = hot_keys(with_keys(pts.select("_id", "_x", "_y"), kinds))
+    keyed, index = dealt_over_copies(keyed, polygon_index(edges, polygons), hot)
+    # double keys are compared as they are: both sides compute them by the same expressions
+    j = keyed.join(index, (F.col("_key") == F.col("key")) & (F.col("_copy") == F.col("copy")), "left")
+    j = j.withColumn("first", _first_containing(F.col("_x"), F.col("_y")))
+    one = F.sum(F.when(F.coalesce("_kind", F.lit(0)) == 0, 1).otherwise(0))
+    rows = j.groupBy("_id", *keep, "_x", "_y").agg(F.min("first").alias("first"), one.cast("int").alias("_n"))
+    rows = rows.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return rows.select(
         F.col("_id").alias(id_col),
         *keep,
-        first["pid"].cast("bigint").alias("pid"),
-        first["nb"].alias("neighbourhood"),
+        F.col("first.pid").cast("bigint").alias("pid"),
+        F.col("first.nb").alias("neighbourhood"),
     )
 
 
