@@ -88,9 +88,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staylens/{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
+    goes_with_application(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def goes_with_application(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the application ends."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def unique_name(taken: list[str], name: str) -> str:

@@ -8,12 +8,19 @@ template by local alignment in a band around that diagonal, again and again over
 left. Alignments that follow each other in the text and in the template are chained. The result tells
 how much of the template is matched and where it stands in the text.
 
+Long texts: hits of a long template are looked at only where enough of them ascend together in the text and in
+the template (a match of ``min_coverage`` of its words can't have fewer, however long the template), an alignment keeps
+to the surroundings of its hits, and chains come from one sweep. Work grows with the text and its hits.
+
 Templates and their index are a parameter of the job, small beside any corpus, and go with the task.
 Texts are independent: one pass, no shuffle.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
+import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass
@@ -38,12 +45,10 @@ _MATCH, _MISMATCH, _GAP = 2, -1, -1
 _TAKEN = -1
 _FAR = 1 << 32
 
-#: Long templates are aligned where the text has a hit for each so many of their words beyond the first
-#: forty. At MIN_COVERAGE every fifth word may differ, and any four words between have a hit.
-WORDS_FOR_HIT = 10
-#: Of templates above so many words, candidates with fewer hits than one for each so many are no part of
-#: a chain.
-LEAST_PART = 400
+#: Alignments before one that it is chained to, at most the nearest so many.
+LOOK_BACK = 64
+#: Words of the template beyond the hits of a candidate that an alignment may reach.
+REACH = 64
 
 # License notices as their publishers word them.
 TEMPLATES = {
@@ -160,7 +165,20 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 def template_words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    # words first: lower case can change the length of a text, never the number of its words
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+def _ascending(hits: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
+    """For each hit the length of the longest sequence of hits, ascending in both places, that ends with it."""
+    out: dict[tuple[int, int], int] = {}
+    ends: list[int] = []
+    # of hits at one place of the text at most one counts
+    for p, a in sorted(hits, key=lambda h: (h[0], -h[1])):
+        i = bisect.bisect_left(ends, a)
+        ends[i : i + 1] = [a]
+        out[p, a] = i + 1
+    return out
 
 
 def fingerprints(ids: np.ndarray, k: int = K, window: int = WINDOW, also: np.ndarray | None = None) -> dict[int, list[int]]:
@@ -234,83 +252,150 @@ class Scanner:
         short = [w for w in self.templates.values() if len(w) < k + window - 1]
         self.short = np.array([c for w in short for c in fingerprints(w, k, 1)], np.uint64)
 
-    def candidates(self, words: np.ndarray) -> dict[str, list[list[tuple[int, int]]]]:
+    def least_places(self, name: str, least: float) -> int:
+        """Places of the template that must be hit if ``least`` of its words are matched one after the other.
+        Each word that is not matched touches at most k + window - 1 runs of that many words; each run
+        without one has a fingerprint, and a fingerprint is that of at most ``window`` runs."""
+        run = self.k + self.window - 1
+        n = len(self.templates[name])
+        return max(1, math.ceil(((n - run + 1) - run * (n - least)) / self.window))
+
+    def collinear_hits(self, name: str, hits: list[tuple[int, int]], least: float) -> list[tuple[int, int]]:
+        """The hits (place in the text, place in the template) that lie on a sequence of hits, ascending in both, which is
+        long enough for ``least`` matched words in a piece of text at most twice as long as the template."""
+        need = self.least_places(name, least)
+        if need == 1:
+            return hits
+        stretch = 2 * len(self.templates[name]) + 2 * self.band
+        pieces: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for hit in hits:
+            pieces[hit[0] // stretch].append(hit)
+        kept = set()
+        for at, piece in pieces.items():
+            both = piece + pieces.get(at + 1, [])
+            if len({a for _, a in both}) >= need:
+                up = _ascending(both)
+                down = _ascending([(-p, -a) for p, a in both])
+                kept |= {(p, a) for p, a in both if up[p, a] + down[-p, -a] > need}
+        return sorted(kept)
+
+    def candidates(self, words: np.ndarray, min_coverage: float = MIN_COVERAGE) -> dict[str, list[list[tuple[int, int]]]]:
         """For each template its candidates: hits (diagonal, place) near one diagonal."""
         hits = defaultdict(list)
         for code, places in fingerprints(words, self.k, self.window, self.short).items():
             for name, at in self.index.get(code, ()):
-                hits[name] += [(p - at, p) for p in places]
+                hits[name] += [(p, at) for p in places]
         out = {}
-        for name, found in hits.items():
-            if len({p for _, p in found}) * WORDS_FOR_HIT < len(self.templates[name]) - 40:
+        for name, pairs in hits.items():
+            pairs = self.collinear_hits(name, pairs, min_coverage * len(self.templates[name]))
+            found = sorted((p - at, p) for p, at in pairs)
+            if not found:
                 continue
-            found.sort()
             groups = [[found[0]]]
             for hit in found[1:]:
                 if hit[0] - groups[-1][0][0] > self.band:
                     groups.append([])
                 groups[-1].append(hit)
-            out[name] = groups
+            out[name] = [part for group in groups for part in self.parts_of(group)]
+        return out
+
+    @staticmethod
+    def parts_of(group: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+        """The hits of a candidate by place, cut where none is within the reach of two alignments."""
+        group = sorted(group, key=lambda h: h[1])
+        out = [[group[0]]]
+        for hit in group[1:]:
+            if hit[1] - out[-1][-1][1] > 2 * REACH:
+                out.append([])
+            out[-1].append(hit)
         return out
 
     def segments(self, words: np.ndarray, name: str, groups: list[list[tuple[int, int]]]) -> list[Match]:
         """Local alignments with the template, those of candidates with most hits first, each over words
-        outside the others, until no candidate has a hit left."""
+        outside the others, until no candidate has a hit left. A candidate is looked at again only after
+        it has lost hits to an alignment."""
         free, out = words.copy(), []
-        while groups:
-            m = self.align(free, name, max(groups, key=len)[0][0])
+        queue = [(-len(group), i) for i, group in enumerate(groups)]
+        heapq.heapify(queue)
+        while queue:
+            size, i = heapq.heappop(queue)
+            left = [h for h in groups[i] if (free[h[1] : h[1] + self.k] != _TAKEN).all()]
+            groups[i] = left
+            if len(left) < -size:
+                if left:
+                    heapq.heappush(queue, (-len(left), i))
+                continue
+            places = [p - d for d, p in left]
+            m = self.align(free, name, min(left)[0], min(places) - REACH, max(places) + self.k + REACH)
             if m is None:
-                break
+                continue
             out.append(m)
             free[m.first : m.last + 1] = _TAKEN
-            # hits that lie on the span are used up
-            left = ([h for h in group if h[1] + self.k <= m.first or h[1] > m.last] for group in groups)
-            groups = [group for group in left if group and len(group) * LEAST_PART >= len(self.templates[name])]
+            groups[i] = [h for h in left if h[1] + self.k <= m.first or h[1] > m.last]
+            if groups[i]:
+                heapq.heappush(queue, (-len(groups[i]), i))
         return out
 
     def chains(self, parts: list[Match], least: float) -> list[Match]:
         """Matches of at least ``least`` words: alignments that follow each other in the text and in
         the template, as where words are inserted or cut, count as one. Between two of them may be half
-        the template's words."""
+        the template's words. One sweep finds the best chain that ends with each; the longest are taken first."""
+        parts = sorted(parts, key=lambda m: m.first)
+        total, back = [m.matched for m in parts], [-1] * len(parts)
+        for j, b in enumerate(parts):
+            far = max(2 * self.band, b.words // 2)
+            for i in range(j - 1, max(-1, j - 1 - LOOK_BACK), -1):
+                a = parts[i]
+                if a.last < b.first <= a.last + 1 + far and a.begin < b.begin and a.end < b.end:
+                    more = total[i] + b.matched - max(0, a.end - b.begin + 1)
+                    if more > total[j]:
+                        total[j], back[j] = more, i
         out: list[Match] = []
-        left = sorted(parts, key=lambda m: m.first)
-        while left:
-            far = max(2 * self.band, left[0].words // 2)
-            total, back = [m.matched for m in left], [-1] * len(left)
-            for j, b in enumerate(left):
-                for i, a in enumerate(left[:j]):
-                    if a.last < b.first <= a.last + 1 + far and a.begin < b.begin and a.end < b.end:
-                        more = total[i] + b.matched - max(0, a.end - b.begin + 1)
-                        if more > total[j]:
-                            total[j], back[j] = more, i
-            at = max(range(len(left)), key=lambda i: (total[i], -i))
-            if total[at] < least:
-                break
-            matched, chain = total[at], []
-            while at >= 0:
-                chain.append(at)
-                at = back[at]
-            a, b = left[chain[-1]], left[chain[0]]
-            score = sum(left[i].score for i in chain)
+        used = [False] * len(parts)
+        firsts = [m.first for m in parts]
+        for at in sorted(range(len(parts)), key=lambda i: (-total[i], i)):
+            chain, i = [], at
+            while i >= 0 and not used[i]:
+                chain.append(i)
+                i = back[i]
+            if not chain:
+                continue
+            matched = total[at] - (total[i] if i >= 0 else 0)
+            if matched < least:
+                continue
+            a, b = parts[chain[-1]], parts[chain[0]]
+            score = sum(parts[i].score for i in chain)
             out.append(Match(a.template, matched, a.words, a.first, b.last, score, a.begin, b.end))
-            left = [m for i, m in enumerate(left) if i not in chain and not a.first <= m.first <= b.last]
+            for i in range(bisect.bisect_left(firsts, a.first), bisect.bisect_right(firsts, b.last)):
+                used[i] = True
         return out
 
-    def align(self, words: np.ndarray, name: str, diagonal: int) -> Match | None:
-        """Best local alignment of the template in the band around the diagonal (of place in the
-        text less place in the template)."""
-        template, band = self.templates[name], self.band
+    def align(
+        self, words: np.ndarray, name: str, diagonal: int, begin: int = 0, end: int | None = None
+    ) -> Match | None:
+        """Best local alignment of the template's places from ``begin`` to ``end`` in the band around the
+        diagonal (of place in the text less place in the template)."""
+        begin = max(0, begin)
+        whole = self.templates[name]
+        m = self._align(words, name, whole[begin:end], diagonal + begin)
+        if m is None:
+            return None
+        return Match(name, m.matched, len(whole), m.first, m.last, m.score, m.begin + begin, m.end + begin)
+
+    def _align(self, words: np.ndarray, name: str, template: np.ndarray, diagonal: int) -> Match | None:
+        band = self.band
         width = 2 * band + 1
         score = np.zeros((len(template) + 1, width + 2), np.int64)
         step = np.zeros((len(template) + 1, width + 2), np.int8)
-        # places outside the text count as taken
-        pad = len(template) + width
-        padded = np.full(len(words) + 2 * pad, _TAKEN, np.int64)
-        padded[pad : pad + len(words)] = words
+        # the words that the band meets; places outside the text count as taken
+        low = diagonal - band
+        met = np.full(len(template) + width, _TAKEN, np.int64)
+        from_, to = max(0, low), min(len(words), low + len(met))
+        if from_ < to:
+            met[from_ - low : to - low] = words[from_:to]
         column = np.arange(width)
         for i in range(1, len(template) + 1):
-            at = min(max(diagonal + i - 1 - band, -pad), len(words)) + pad
-            row = padded[at : at + width]
+            row = met[i - 1 : i - 1 + width]
             if (row == _TAKEN).all():
                 continue
             taken = row == _TAKEN
@@ -354,21 +439,33 @@ class Scanner:
         Matches of one template don't overlap."""
         if not text:
             return []
-        found = _WORD.findall(text.lower())
+        found = template_words(text)
         ids = np.fromiter((self.ids.get(w, 0) for w in found), np.int64, len(found))
         if np.count_nonzero(ids) < self.k:
             return []
         kept: list[Match] = []
-        for name, groups in self.candidates(ids).items():
+        for name, groups in self.candidates(ids, min_coverage).items():
             kept += self.chains(self.segments(ids, name, groups), min_coverage * len(self.templates[name]))
         # of templates that differ in a few words, such as versions, the one that fits the words better
-        kept = [m for m in kept if not any(o.fits_better(m) for o in kept)]
+        kept = self.best_fits(kept)
         if not kept:
             return []
-        # str.lower() can change the length of a text; then places come from the text itself
-        low = text.lower()
-        spans = [(x.start(), x.end()) for x in _WORD.finditer(low if len(low) == len(text) else text)]
-        return [(m, spans[m.first][0], spans[min(m.last, len(spans) - 1)][1]) for m in sorted(kept, key=lambda m: (m.first, m.template))]
+        spans = [x.span() for x in _WORD.finditer(text)]
+        return [(m, spans[m.first][0], spans[m.last][1]) for m in kept]
+
+    @staticmethod
+    def best_fits(matches: list[Match]) -> list[Match]:
+        """In order of place, without those that another one fits better. Only matches that share words are compared."""
+        matches = sorted(matches, key=lambda m: (m.first, m.template))
+        worse = [False] * len(matches)
+        near: list[int] = []
+        for j, m in enumerate(matches):
+            near = [i for i in near if matches[i].last >= m.first]
+            for i in near:
+                worse[j] |= matches[i].fits_better(m)
+                worse[i] |= m.fits_better(matches[i])
+            near.append(j)
+        return [m for m, w in zip(matches, worse, strict=True) if not w]
 
 
 _SCHEMA = "id long, template string, coverage double, matched_words long, template_words long, start long, end long, span string"

@@ -123,3 +123,70 @@ def test_notice_lines_of_the_documents(spark):
         found.setdefault(r["doc_id"], []).append(r["span"])
     for line in shared:
         assert all(any(span in line for span in found.get(i, ())) for i in held[line]), line
+
+
+def test_spans_where_lower_case_changes_the_length():
+    text = "İİİ İstanbul Released under the MIT License. tail words here"
+    (m, start, end), *rest = S.Scanner(S.TEMPLATES).scan(text, 0.8)
+    assert (text[start:end], rest) == ("Released under the MIT License", [])
+    assert S.template_words("İstanbul") == ["İstanbul".lower()]
+
+
+def test_ten_thousand_adjacent_notices():
+    import time
+
+    notice = "Released under the MIT License."
+    text = " ".join([notice] * 10_000)
+    begin = time.monotonic()
+    found = S.Scanner(S.TEMPLATES).scan(text, 0.8)
+    assert time.monotonic() - begin < 60
+    assert [start for _, start, _ in found] == [i * (len(notice) + 1) for i in range(10_000)]
+    assert {text[start:end] for _, start, end in found} == {notice[:-1]}
+
+
+def test_a_long_text_of_license_phrases():
+    import random
+    import time
+
+    rng = random.Random(1)
+    phrases = []
+    for t in S.TEMPLATES.values():
+        w = t.split()
+        phrases += [" ".join(w[i : i + 12]) for i in range(0, len(w), 12)]
+    text = " ".join(rng.choices(phrases, k=4000)) + " " + S.TEMPLATES["gpl-2.0"]
+    begin = time.monotonic()
+    found = S.Scanner(S.TEMPLATES).scan(text, 0.8)
+    assert time.monotonic() - begin < 90
+    assert any(
+        m.template == "gpl-2.0" and m.matched == m.words for m, _, _ in found
+    )
+
+
+def test_ascending_hits_against_brute_force():
+    import itertools
+    import random
+
+    rng = random.Random(2)
+    for _ in range(60):
+        hits = sorted({(rng.randrange(8), rng.randrange(8)) for _ in range(rng.randrange(1, 9))})
+        got = S._ascending(hits)
+        for h in hits:
+            best = 0
+            for n in range(1, len(hits) + 1):
+                for c in itertools.combinations(hits, n):
+                    if c[-1] == h and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(c, c[1:])):
+                        best = max(best, n)
+            assert got[h] == best
+
+
+def test_no_template_is_lost_to_its_size():
+    """Every tenth word changed, in templates of all lengths."""
+    scanner = S.Scanner(S.TEMPLATES)
+    for name, text in S.TEMPLATES.items():
+        w = S.template_words(text)
+        if len(w) < 25:  # in short ones the changed word may be all that tells two templates apart
+            continue
+        for i in range(9, len(w), 10):
+            w[i] = f"changed{i}"
+        found = scanner.scan("some words before " + " ".join(w) + " and after", 0.8)
+        assert any(m.matched >= 0.85 * m.words and m.words == len(w) for m, _, _ in found), name
