@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import jaccard_join, mixing, packing, quality_llr, queries, toxicity
-from staylens.llm.common import rows_that_pass, shared_dir
+from staylens.llm.common import goes_with_application, rows_that_pass, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, with each result written to the shared folder."""
+    """All stages over ``documents``, with each result written to the shared folder. The tables go when the
+    application ends."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     top = f"{shared_dir(spark)}/staylens/{uuid.uuid4().hex}-pipeline"
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{i}")
+        goes_with_application(spark, top)
         docs = spark.read.parquet(f"{top}/{i}")
     return docs
