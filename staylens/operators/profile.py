@@ -54,6 +54,35 @@ def profile_distinct_approx_check(df: DataFrame, columns: Sequence[str] | None =
     )
 
 
+def profile_sketches(
+    df: DataFrame, parts: Sequence[str] = (), columns: Sequence[str] | None = None, log_registers: int = 12
+) -> DataFrame:
+    """``(*parts, column_name, n_values, sketch)``: a HyperLogLog sketch of each column's upper-cased
+    values for each part of the table (a city, a day of loading). To be kept as a table: the
+    profile of any set of parts, or of a table that grew, comes from :func:`merged_profile` without reading the values again.
+
+    The rows are unpivoted and sketched by a partial aggregation on (part, column), so a sketch of 2^``log_registers``
+    registers at most is what a task sends for each."""
+    cols = [c for c in (columns or df.columns) if c not in parts]
+    as_text = df.select(
+        *[F.col(f"`{c}`") for c in parts], *[ascii_upper(F.col(f"`{c}`").cast("string")).alias(c) for c in cols]
+    )
+    long = as_text.unpivot([F.col(f"`{c}`") for c in parts], [F.col(f"`{c}`") for c in cols], "column_name", "value")
+    return long.groupBy(*[F.col(f"`{c}`") for c in parts], "column_name").agg(
+        F.count("value").cast("bigint").alias("n_values"), F.hll_sketch_agg("value", log_registers).alias("sketch")
+    )
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """``(column_name, n_values, approx_distinct_count)`` from the sketches of any parts, those of several
+    tables included (``unionByName``). The relative standard error is about 1.04 / sqrt(registers), 1.6 % with 2^12. Merging is
+    associative: parts merged in steps and all at once give the same estimate. A column without values counts 0."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("n_values").cast("bigint").alias("n_values"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).cast("bigint").alias("approx_distinct_count"),
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column``; NULL is kept as a value."""
     return df.select(F.col(f"`{column}`")).distinct()

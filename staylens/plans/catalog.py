@@ -72,6 +72,10 @@ _OVER_TABLES: dict[str, Callable[[TestTables], DataFrame]] = {
     "profile_distinct_ci": lambda t: profile.profile_distinct_ci(t.listings(ALL_LISTING_EXTRAS)),
     # the sketch, held against the exact counts
     "profile_distinct_approx": lambda t: profile.profile_distinct_approx_check(t.listings(ALL_LISTING_EXTRAS)),
+    # the estimates alone, from sketches of the listings of each city
+    "profile_distinct_merged": lambda t: profile.merged_profile(
+        profile.profile_sketches(t.listings(ALL_LISTING_EXTRAS), ["city"])
+    ),
     "distinct_cities": lambda t: profile.distinct_values(t.listings(), "city"),
     "distinct_states_normalised": lambda t: profile.distinct_normalised(t.listings(), "city"),
     # -- pricing ----------------------------------------------------------

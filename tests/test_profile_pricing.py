@@ -56,3 +56,25 @@ def test_pricing(spark):
     spend = dict(rows(pricing.yearly_spend_by_city(df)))
     assert abs(spend["A"] - (1.4 / 0.7 * 36 * 100)) < 1e-9
     assert abs(spend["B"] - (0.7 / 0.7 * 36 * 50)) < 1e-9
+
+
+def test_sketches_of_parts_merge_into_one_profile(spark):
+    from staylens.operators import profile
+
+    rows = [(f"c{i % 3}", i, f"Name {i % 700}" if i % 7 else None, None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "city string, id long, name string, nothing string")
+    parts = profile.profile_sketches(df, ["city"])
+    assert parts.count() == 9
+    whole = {r["column_name"]: tuple(r)[1:] for r in profile.merged_profile(profile.profile_sketches(df, columns=["id", "name", "nothing"])).collect()}
+    merged = {r["column_name"]: tuple(r)[1:] for r in profile.merged_profile(parts).collect()}
+    assert merged == whole  # merging parts equals one pass
+    # a later load is added without reading the earlier one again
+    more = spark.createDataFrame([("c9", 10_000 + i, f"NAME {i}", None) for i in range(900)], df.schema)
+    both = profile.merged_profile(parts.unionByName(profile.profile_sketches(more, ["city"])))
+    got = {r["column_name"]: r["approx_distinct_count"] for r in both.collect()}
+    exact = {r["column_name"]: r["distinct_count"] for r in profile.profile_distinct_ci(df.unionByName(more)).collect()}
+    for c in ("id", "name"):
+        assert abs(got[c] - exact[c]) <= 0.05 * exact[c]
+    assert got["nothing"] == exact["nothing"] == 0
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "hll_union_agg" in plan and "distinct" not in plan.replace("approx_distinct_count", "")
