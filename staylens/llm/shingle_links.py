@@ -43,7 +43,7 @@ class Words(dict):
     """64-bit hash of a word, remembered for the words of a task."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h

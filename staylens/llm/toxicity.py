@@ -77,9 +77,22 @@ def _present(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple
     return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1)
 
 
+def _slices(batches, texts: int):
+    """The batches in slices of at most about CHUNK_BYTES of the column ``texts``, or one row, so that the n-grams
+    held at a time don't grow with the length of the texts."""
+    for b in batches:
+        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(b.column(texts)), 0).to_numpy().astype(np.int64))
+        first = 0
+        while first < b.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, side="right")))
+            yield b.slice(first, last - first)
+            first = last
+
+
 def _count_batches(batches):
     both = np.zeros((2, 1 << HASH_BITS), np.int64)
-    for b in batches:
+    for b in _slices(batches, 0):
         toxic = np.asarray(b.column(1).to_numpy(zero_copy_only=False)).astype(bool)
         rows, buckets = _present(b.column(0).to_pylist())
         for k in (0, 1):
@@ -97,7 +110,7 @@ def _hits(features: np.ndarray):
     place[features] = np.arange(len(features))
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches, 0):
             rows, buckets = _present(b.column(0).to_pylist(), place >= 0)
             at = np.searchsorted(rows, np.arange(b.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -198,7 +211,7 @@ def _score_batches(model: Model, name: str):
     wanted = model.weights != 0
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches, -1):
             rows, buckets = _present(b.column(b.num_columns - 1).to_pylist(), wanted)
             total = model.bias + np.bincount(rows, model.weights[buckets], minlength=b.num_rows)
             score = 1 / (1 + np.exp(-np.clip(total, -50, 50)))
