@@ -56,7 +56,7 @@ def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
     """
     doc = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True).json(path)
     rows = doc.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_pos", "f"))
-    return _flatten_features(_numbered(rows, ["_file"]))
+    return flatten_features(numbered(rows, ["_file"]))
 
 
 def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
@@ -75,16 +75,16 @@ def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     )
     in_split = Window.partitionBy("_file", "_start").orderBy("_row")
     rows = lines.withColumn("_pos", F.row_number().over(in_split) - 1).drop("_row")
-    return _flatten_features(_numbered(rows, ["_file", "_start"]))
+    return flatten_features(numbered(rows, ["_file", "_start"]))
 
 
 def features_from_text(rows: DataFrame, value: str = "value", pid: str = "pid") -> DataFrame:
     """Feature objects as JSON text, with their number -> one row per feature, as
     the file readers give it."""
-    return _flatten_features(rows.select(F.col(pid).alias("pid"), F.from_json(value, schemas.FEATURE_RAW).alias("f")))
+    return flatten_features(rows.select(F.col(pid).alias("pid"), F.from_json(value, schemas.FEATURE_RAW).alias("f")))
 
 
-def _numbered(rows: DataFrame, parts: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, parts: list[str]) -> DataFrame:
     """``rows`` with ``pid``: ``_pos`` (0-based and gapless within the files or
     splits ``parts``) plus the rows of the parts before. Only the counts, one row
     for each part, are ordered as a whole."""
@@ -94,7 +94,7 @@ def _numbered(rows: DataFrame, parts: list[str]) -> DataFrame:
     return rows.join(starts, parts).withColumn("pid", F.col("_before") + F.col("_pos"))
 
 
-def _flatten_features(rows: DataFrame) -> DataFrame:
+def flatten_features(rows: DataFrame) -> DataFrame:
     """Features -> (pid, neighbourhood, neighbourhood_group, coordinates); a
     Polygon geometry becomes a one-part MultiPolygon, other geometry types get
     NULL coordinates (they contain no point)."""
