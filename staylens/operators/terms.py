@@ -32,7 +32,7 @@ from staylens.functions import text_tokens
 from staylens.plans.scalars import scalar
 from staylens.plans.topk import top_k, top_k_per_group
 
-_KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
+KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
 # Salts of a join whose key can be hot: the large side's rows of a key go to so
 # many partitions, the small side has each row so many times
 SALTS = 8
@@ -58,7 +58,7 @@ def _raw_counts(corpus: DataFrame, key: str, only_terms: DataFrame | None = None
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def _join_salted(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+def join_salted(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Inner join of a large side with one row per key, NULL keys matching each
     other. A key's rows of the large side are dealt to ``SALTS`` partitions by
     ``spread_by``; the small side is repeated for each."""
@@ -74,7 +74,7 @@ def term_counts(corpus: DataFrame, mode: str = "listing", only_terms: DataFrame
 
     ``only_terms`` (distinct terms) restricts the result to those; tokens are
     filtered before they are counted."""
-    key = _KEYS[mode]
+    key = KEYS[mode]
     if mode == "listing":
         return _raw_counts(corpus, key, only_terms)
     # neighbourhood documents have no empty token unless the document has no word
@@ -90,8 +90,8 @@ def term_counts(corpus: DataFrame, mode: str = "listing", only_terms: DataFrame
     return words.unionByName(wordless)
 
 
-def _n_documents(corpus: DataFrame, mode: str) -> DataFrame:
-    key = _KEYS[mode]
+def n_documents(corpus: DataFrame, mode: str) -> DataFrame:
+    key = KEYS[mode]
     if mode == "listing":
         n = F.count(F.lit(1))
     else:  # distinct neighbourhoods, NULL counted as one
@@ -110,7 +110,7 @@ def document_frequency(corpus: DataFrame, mode: str = "listing", counts: DataFra
     # subtree identical to the tf side's (a plain count would let the optimizer
     # prune n), so the tokenising stage runs once and its exchange is reused
     df = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).cast("bigint").alias("df"))
-    n_docs = scalar(_n_documents(corpus, mode))
+    n_docs = scalar(n_documents(corpus, mode))
     return df.select("term", "df", (n_docs / F.col("df").cast("double")).alias("idf"))
 
 
@@ -128,14 +128,14 @@ def term_frequency(counts: DataFrame, key: str) -> DataFrame:
     """``(key, term, n, total, tf)`` from term counts: document totals are an
     aggregate joined back on the key."""
     totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
-    return _join_salted(counts, totals, key, "term").withColumn(
+    return join_salted(counts, totals, key, "term").withColumn(
         "tf", F.col("n").cast("double") / F.col("total").cast("double")
     )
 
 
 def tf_one(corpus: DataFrame, value, mode: str = "listing") -> DataFrame:
     """``(term, tf)`` of one document (a listing id or a neighbourhood)."""
-    key = _KEYS[mode]
+    key = KEYS[mode]
     if mode == "listing" and not (str(value).isascii() and str(value).isdigit()):
         raise ValueError(f"listing id must be a non-negative integer, got {value!r}")
     one = corpus.where(F.col(key) == F.lit(value))
@@ -160,7 +160,7 @@ def tfidf_top_terms(corpus: DataFrame, value, mode: str = "listing", k: int = 10
         idf = document_frequency(corpus, mode, term_counts(corpus, mode, only_terms=tf.select("term")))
     else:
         counts = term_counts(corpus, mode)
-        one = counts.where(F.col(_KEYS[mode]) == F.lit(value))
+        one = counts.where(F.col(KEYS[mode]) == F.lit(value))
         total = scalar(one.agg(F.sum("n").cast("double").alias("total")))
         tf = one.select("term", (F.col("n").cast("double") / total).alias("tf"))
         idf = document_frequency(corpus, mode, counts)
@@ -173,11 +173,11 @@ def tfidf_top_terms_all(corpus: DataFrame, mode: str = "listing", k: int = 100)
     once (the same weights as ``tfidf_top_terms``, one pass for all keys). Up to
     k = 1000 (Spark's windowGroupLimitThreshold) at most k rows a document leave
     a task; beyond it a document's terms are ranked after one shuffle."""
-    key = _KEYS[mode]
+    key = KEYS[mode]
     counts = term_counts(corpus, mode)
     tf = term_frequency(counts, key)
     idf = document_frequency(corpus, mode, counts)
-    w = _join_salted(tf, idf.select("term", "idf"), "term", key).select(
+    w = join_salted(tf, idf.select("term", "idf"), "term", key).select(
         key, "term", (F.col("tf") * F.col("idf")).alias("weight")
     )
     ranked = top_k_per_group(w, [key], [F.desc("weight"), F.asc("term")], k)
