@@ -22,6 +22,7 @@ from staylens.functions.columns import EARTH_RADIUS_KM
 from staylens.functions import amenity_list, count_found_in, haversine_km, money_b
 from staylens.plans.scalars import scalar_row
 from staylens.plans.topk import top_k
+from staylens.sources.stored import near
 
 
 def _as_date(date):
@@ -129,3 +130,24 @@ def alternative_listings(
     return top_k(j, [F.desc("common_amenities"), F.asc("distance"), F.asc("listing_id")], n + int(include_self)).select(
         *cols
     )
+
+
+def alternative_listings_near(
+    stored: DataFrame,
+    calendar: DataFrame,
+    listing_id: int,
+    date,
+    max_price_increase_pct: float,
+    max_km: float,
+    n: int,
+    **options,
+) -> DataFrame:
+    """:func:`alternative_listings` over listings stored with cells (``staylens.sources.stored``): the same rows,
+    from the files and row groups around the chosen listing.
+
+    Its place has to be a literal for the scan to prune by it, so this operator looks up that one row (at most one is
+    fetched) while the query is built. An unknown listing, or one without a place, gives no row."""
+    place = listing_profile(stored, listing_id).select("latitude", "longitude").collect()
+    known = place and None not in tuple(place[0])
+    around = near(stored, place[0]["latitude"], place[0]["longitude"], float(max_km)) if known else stored.where(F.lit(False))
+    return alternative_listings(around, calendar, listing_id, date, max_price_increase_pct, max_km, n, **options)
