@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylens.operators import alternatives, alternatives_all, guests, hosts, pricing, profile, spatial, terms
+from staylens.operators import alternatives, alternatives_all, guests, hosts, pricing, profile, spatial, term_store, terms
 from staylens.sources.readers import features_from_text
+from staylens.sources.stored import with_cell
 from staylens.sources.testdata import TestTables
 
 # ---------------------------------------------------------------------------
@@ -152,6 +153,17 @@ _OVER_TABLES: dict[str, Callable[[TestTables], DataFrame]] = {
     "tfidf_top_terms_all_neighbourhoods": lambda t: _round(
         terms.tfidf_top_terms_all(t.descriptions(), "neighbourhood", TOP_TERMS_ALL), FINE
     ),
+    # the stored frequencies of all neighbourhoods after one of them has gone
+    "idf_without_neighbourhood": lambda t: _round(
+        term_store.stored_idf(
+            term_store.updated(
+                term_store.document_frequencies(t.descriptions(), "neighbourhood"),
+                removed=t.descriptions().where(F.col("neighbourhood") == TFIDF_NEIGHBOURHOOD),
+                mode="neighbourhood",
+            )
+        ),
+        FINE,
+    ),
     "listing_corpus": lambda t: terms.listing_corpus(t.description_listings(), t.neighbourhood_map()),
     # -- alternatives -----------------------------------------------------
     "listing_profile": lambda t: _round(
@@ -205,6 +217,19 @@ _OVER_TABLES: dict[str, Callable[[TestTables], DataFrame]] = {
         ),
         FINE,
     ),
+    # candidates by ranges of cells
+    "alternative_listings_near": lambda t: _round(
+        alternatives.alternative_listings_near(
+            with_cell(t.listings(("amenities",))),
+            t.calendar(),
+            CHOSEN_LISTING,
+            AVAILABLE_DATE,
+            MAX_PRICE_INCREASE_PCT,
+            MAX_KM,
+            N_ALTERNATIVES,
+        ),
+        FINE,
+    ),
     "alternatives_all_pairs": lambda t: _round(
         alternatives_all.alternatives_all_pairs(
             t.listings(("amenities",)), t.calendar(), AVAILABLE_DATE, MAX_PRICE_INCREASE_PCT, MAX_KM, N_ALTERNATIVES

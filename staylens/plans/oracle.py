@@ -557,6 +557,16 @@ ORACLE: dict[str, str] = {
     "term_counts": with_ctes("SELECT id, term, CAST(n AS BIGINT) AS n FROM counts_l", "counts_l"),
     "idf_by_listing": with_ctes(f"SELECT term, round(idf, {FINE}) AS idf FROM idf_l", "idf_l"),
     "idf_by_neighbourhood": with_ctes(f"SELECT term, round(idf, {FINE}) AS idf FROM idf_n", "idf_n"),
+    "idf_without_neighbourhood": with_ctes(
+        f"""SELECT term, round((SELECT CAST(count(DISTINCT neighbourhood) + max(CASE WHEN neighbourhood IS NULL THEN 1 ELSE 0 END)
+                                   AS DOUBLE)
+                       FROM descriptions
+                       WHERE description IS NOT NULL AND neighbourhood IS DISTINCT FROM '{C.TFIDF_NEIGHBOURHOOD}')
+                      / CAST(count(*) AS DOUBLE), {FINE}) AS idf
+    FROM counts_n WHERE neighbourhood IS DISTINCT FROM '{C.TFIDF_NEIGHBOURHOOD}' GROUP BY term""",
+        "counts_n",
+        "descriptions",
+    ),
     "tf_one_listing": with_ctes(
         f"SELECT term, round(tf, {FINE}) AS tf FROM tf_l WHERE id = {C.TFIDF_LISTING}", "tf_l"
     ),
@@ -595,5 +605,6 @@ ORACLE: dict[str, str] = {
     "alternative_listings": _alternatives(False),
     "alternative_listings_map": _alternatives(True),
     "alternative_listings_with_self": _alternatives(False, True),
+    "alternative_listings_near": _alternatives(False),
     "alternatives_all_pairs": _alternatives_all(),
 }

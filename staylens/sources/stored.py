@@ -56,10 +56,8 @@ def _step(value: Column, low: float, span: float) -> Column:
 
 
 def _spread(v: Column) -> Column:
-    """The 16 bits of ``v`` at the even places."""
-    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return v
+    """The bits of ``v`` at the even places: its binary digits read to the base of four."""
+    return F.conv(F.bin(v), 4, 10).cast("bigint")
 
 
 def with_cell(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude", cell: str = CELL) -> DataFrame:
