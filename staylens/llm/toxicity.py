@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ FIT_TASKS = 8
 MAX_STEPS = 100
 THRESHOLD = 0.7
 #: Bytes of text that a task hashes at a time.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
+#: Hits that a task weighs at a time in a step of the fit.
+CHUNK_HITS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -88,17 +91,22 @@ def _present(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple
     return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1)
 
 
+def _cut(batch, sizes: np.ndarray, most: int):
+    """The batch in slices of at most ``most`` in the sum of the rows' ``sizes``, or of one row."""
+    ends, first = np.cumsum(sizes), 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _slices(batches, texts: int):
     """The batches in slices of at most about CHUNK_BYTES of the column ``texts``, or one row, so that the n-grams
     held at a time don't grow with the length of the texts."""
     for b in batches:
-        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(b.column(texts)), 0).to_numpy().astype(np.int64))
-        first = 0
-        while first < b.num_rows:
-            before = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, side="right")))
-            yield b.slice(first, last - first)
-            first = last
+        sizes = pc.fill_null(pc.binary_length(b.column(texts)), 0)
+        yield from _cut(b, sizes.to_numpy().astype(np.int64), CHUNK_BYTES)
 
 
 def _count_batches(batches):
@@ -150,7 +158,7 @@ def _loss_and_slope(features: np.ndarray, values: np.ndarray, points: list[np.nd
         total = np.zeros((len(points), len(features) + 3))
         place = np.full(1 << HASH_BITS, -1, np.int32)
         place[features] = np.arange(len(features))
-        for b in batches:
+        for b in (part for b in batches for part in _cut(b, np.diff(b.column(1).offsets.to_numpy()), CHUNK_HITS)):
             found = b.column(1)
             at = place[found.flatten().to_numpy()]
             row = np.repeat(np.arange(b.num_rows), np.diff(found.offsets.to_numpy()))[at >= 0]
