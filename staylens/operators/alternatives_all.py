@@ -1,47 +1,40 @@
-"""Alternatives for every listing at once, without forming the pairs of dense areas.
+"""Alternatives for every listing at once, without shuffling or sorting the pairs of dense areas.
 
 The rules are those of :func:`staylens.operators.alternatives.alternative_listings`. Candidates
-(the listings available on the date) are filed under grid cells about as large as the radius and, within a
-cell and room type, under blocks of about ``block_size`` listings that are alike in amenities, then in place. A block's
-row bounds its members: the tokens that occur in it, the most that one member can share, lowest price, bounding
-box. A listing meets the blocks of the cells that its radius reaches, not their members, and then
-
-1. opens the two blocks that promise most. Its n-th best candidate in them is a bar: nothing
-   that ranks after it can be among its best n;
-2. opens those blocks whose bounds still reach the bar, and ranks the members that do.
-
-Every bound is one-sided, so the result is exact. In a cell of m candidates a listing meets about m / block_size rows
-and opens a few blocks; of their members only those that reach the bar are ranked. Blocks come from split points (some
-candidates, by a hash of their ids), so they are the same whenever a plan computes them again, and no cell is
-sorted or gathered in one task. Cells that hold many listings are spread over ``SALTS`` parts in every join.
-Lists without any likeness in a dense cell are the dear case: bounds prune little there, and the members of most blocks are
-compared, though not shuffled.
+(the listings available on the date) are filed under the grid cells, about as large as the radius, that their radius
+reaches; a listing looks into its own cell. The listings of a cell and room type are dealt over tiles of about ``TILE``, the
+candidates over chunks of about ``BLOCKS * block_size``, by hashes of their ids and by the cell's measured counts. One task at
+a time gets a tile with a chunk, both bounded, and compares them in numpy, a block of candidates at a time:
+shared amenities as a product of matrices, distances as chords. Of a chunk only a listing's ``n`` best (and what can't be told
+from them within rounding) leave the task, so what is shuffled and sorted afterwards grows with the listings and not
+with the pairs. Distances, the radius and the ranks are then decided by the same native expressions as for one listing, so the
+result is exact. Every listing of a cell is still compared with every candidate it can pay for: the time is quadratic
+in a dense cell, memory and disk are not.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions import amenity_list, count_found_in, haversine_km, money_b
+from staylens.functions import amenity_list, haversine_km, money_b
 from staylens.functions.columns import EARTH_RADIUS_KM
 from staylens.operators.alternatives import available_on_date
 from staylens.plans.topk import top_k_per_group
 
 #: Parts of a cell's rows in a join.
 SALTS = 8
-#: Blocks that a listing opens to find its bar.
-FIRST_BLOCKS = 2
-#: Places within a cell: so many levels of 4 x 4 squares, one within the other.
-_LEVELS = 5
-#: Split points for each block; more make blocks more equal.
-_SPLITS = 4
-_BLOCK = ["cx", "cy", "room_type", "block"]
+#: Listings of a cell and room type that one group compares, about.
+TILE = 32768
+#: Blocks of candidates in a group, about.
+BLOCKS = 64
+_CELL = ["cx", "cy", "room_type"]
 
 
-def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str, condition: Column | None = None) -> DataFrame:
+def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFrame:
     """``many`` joined with ``few``, the rows of a key dealt by a hash of ``by`` over copies of ``few``."""
     left = many.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)))
     right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
@@ -49,8 +42,7 @@ def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str, condition:
     test = F.lit(True)
     for c in [*on, "_salt"]:
         test = test & (F.col(c) == F.col(f"_r_{c}"))
-    joined = left.join(right, test if condition is None else test & condition)
-    return joined.drop("_salt", *[f"_r_{c}" for c in [*on, "_salt"]])
+    return left.join(right, test).drop("_salt", *[f"_r_{c}" for c in [*on, "_salt"]])
 
 
 def _degrees(max_km: float) -> float:
@@ -69,57 +61,22 @@ def _listing_columns(listings: DataFrame) -> DataFrame:
     )
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows that can be or have alternatives."""
+    known = "latitude is not null and longitude is not null and price is not null and room_type is not null"
+    return rows.where(known)
+
+
 def _columns_of_grid(size: float) -> int:
     return math.ceil(360.0 / size)
 
 
-def blocks_of(listings: DataFrame, calendar: DataFrame, date, max_km: float, block_size: int) -> DataFrame:
-    """Candidates with their cell ``(cx, cy)`` and ``block``."""
+def _members(listings: DataFrame, calendar: DataFrame, date, max_km: float) -> DataFrame:
+    """A row for each candidate and cell ``(cx, cy)`` that a radius around it reaches."""
     size = _degrees(max_km)
-    rows = _listing_columns(listings).where("latitude is not null and longitude is not null and price is not null")
+    rows = _placed(_listing_columns(listings))
     free = available_on_date(calendar, date)
     rows = rows.join(free, rows.id == free.listing_id, "left_semi")
-    north, east = (F.col("latitude") + 90.0) / size, (F.col("longitude") + 180.0) / size
-    place = []
-    for level in range(1, _LEVELS + 1):
-        place += [F.pmod(F.floor(v * 4**level), F.lit(4)).cast("byte") for v in (north - F.floor(north), east - F.floor(east))]
-    names = F.array_join(F.array_sort(F.array_distinct("amen")), ",")
-    rows = rows.withColumns(
-        {
-            "cy": F.floor(north),
-            "cx": F.pmod(F.floor(east), F.lit(_columns_of_grid(size))),
-            "order": F.struct(names.alias("names"), *[p.alias(f"p{i}") for i, p in enumerate(place)], F.col("id")),
-        }
-    )
-    split = F.when(F.pmod(F.xxhash64("id"), F.lit(max(1, block_size // _SPLITS))) == 0, F.col("order"))
-    splits = rows.groupBy("cx", "cy", "room_type").agg(F.collect_list(split).alias("splits"))
-    found = _salted(rows, splits, ["cx", "cy", "room_type"], "id")
-    before = F.filter("splits", lambda s: s <= F.col("order"))
-    return found.withColumn("block", F.floor(F.size(before) / _SPLITS)).drop("order", "splits")
-
-
-def _summary(members: DataFrame) -> DataFrame:
-    """One row for each block: what its members can reach at most."""
-    repeats = F.size("amen") - F.size(F.array_distinct("amen")) + 1
-    return members.groupBy(*_BLOCK).agg(
-        F.array_distinct(F.flatten(F.collect_set("amen"))).alias("tokens"),
-        F.max(repeats).alias("most_repeats"),
-        F.max(F.size("amen")).alias("most_tokens"),
-        F.min("price").alias("least_price"),
-        *[f(c).alias(f"{f.__name__}_{c}") for c in ("latitude", "longitude") for f in (F.min, F.max)],
-    )
-
-
-def _searches(listings: DataFrame, max_price_increase_pct: float, max_km: float) -> DataFrame:
-    """A row for each listing id and cell that its radius reaches. Of rows that repeat an id, the first in the
-    order that the single-listing query uses."""
-    size = _degrees(max_km)
-    rows = _listing_columns(listings).groupBy("id").agg(
-        F.min(F.struct("latitude", "longitude", "price", "room_type", "amen")).alias("r")
-    )
-    rows = rows.select("id", "r.*").where("latitude is not null and longitude is not null and price is not null")
-    cap = F.col("price") * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
-    rows = rows.withColumn("cap", cap).drop("price")
     # how far the radius reaches in longitude; everywhere near a pole
     reach = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(min(size, 90.0)))) / F.cos(F.radians("latitude")))))
     reach = F.when(F.abs(F.col("latitude")) + size >= 90.0, F.lit(180.0)).otherwise(reach * 1.005)
@@ -131,48 +88,123 @@ def _searches(listings: DataFrame, max_price_increase_pct: float, max_km: float)
         F.transform(F.sequence(first, last), lambda x: F.pmod(x, F.lit(_columns_of_grid(size))))
     )
     lines = F.sequence(F.floor((F.col("latitude") + 90.0) / size) - 1, F.floor((F.col("latitude") + 90.0) / size) + 1)
-    rows = rows.withColumn("cx", F.explode(columns)).withColumn("cy", F.explode(lines))
-    return rows.withColumnsRenamed({"latitude": "lat", "longitude": "lon", "amen": "mine", "id": "of"})
-
-
-def _least_distance() -> Column:
-    """No member of the block is nearer than this (km)."""
-    lat, lon = F.col("lat"), F.col("lon")
-    zero = F.lit(0.0)
-    north = F.greatest(F.col("min_latitude") - lat, lat - F.col("max_latitude"), zero)
-    east = F.greatest(F.col("min_longitude") - lon, lon - F.col("max_longitude"), zero)
-    # across the date line the gap is the other way round; beyond a right angle longitude bounds nothing
-    across = F.greatest(F.lit(360.0) - (F.greatest(F.col("max_longitude"), lon) - F.least(F.col("min_longitude"), lon)), zero)
-    gap = F.least(east, across)
-    to_meridian = F.when(gap <= 90.0, F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(gap)))).otherwise(zero)
-    return F.greatest(F.radians(north), to_meridian) * EARTH_RADIUS_KM * 0.999999
-
-
-def _most_common() -> Column:
-    """No member of the block shares more amenities than this."""
-    shared = F.size(F.array_intersect(F.array_distinct("mine"), F.col("tokens")))
-    return F.least(shared * F.col("most_repeats"), F.col("most_tokens"))
-
-
-def _reaches(common: str, distance: str) -> Column:
-    """Not behind the bar; without a bar everything reaches it. Equal distances are decided by the id."""
-    c, d = F.col(common), F.col(distance)
-    return F.col("bar").isNull() | (c > F.col("bar")) | ((c == F.col("bar")) & (d <= F.col("bar_km")))
-
-
-def _opened(pairs: DataFrame, members: DataFrame, max_km: float) -> DataFrame:
-    """``pairs`` (a listing with its bar and a block to open) with each member that is an alternative."""
-    rows = _salted(
-        pairs,
-        members.select(*_BLOCK, "id", "latitude", "longitude", "price", "amen"),
-        _BLOCK,
-        "of",
-        (F.col("price") <= F.col("cap")) & (F.col("id") != F.col("of")),
+    return rows.withColumn("cx", F.explode(columns)).withColumn("cy", F.explode(lines))
+
+
+def _searches(listings: DataFrame, max_price_increase_pct: float, max_km: float) -> DataFrame:
+    """A row for each listing id, with its cell. Of rows that repeat an id, the first in the
+    order that the single-listing query uses."""
+    size = _degrees(max_km)
+    rows = _listing_columns(listings).groupBy("id").agg(
+        F.min(F.struct("latitude", "longitude", "price", "room_type", "amen")).alias("r")
+    )
+    cap = F.col("price") * (F.lit(1.0) + F.lit(float(max_price_increase_pct)) / F.lit(100.0))
+    return _placed(rows.select("id", "r.*")).select(
+        F.col("id").alias("of"),
+        "room_type",
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
+        cap.alias("cap"),
+        F.col("amen").alias("mine"),
+        F.pmod(F.floor((F.col("longitude") + 180.0) / size), F.lit(_columns_of_grid(size))).alias("cx"),
+        F.floor((F.col("latitude") + 90.0) / size).alias("cy"),
     )
-    rows = rows.withColumn("distance", haversine_km("lat", "lon", "latitude", "longitude"))
-    rows = rows.where(F.col("distance") < F.lit(float(max_km)))
-    rows = rows.withColumn("common_amenities", count_found_in("amen", "mine"))
-    return rows.where(_reaches("common_amenities", "distance")).select("of", "id", "common_amenities", "distance", "price")
+
+
+def _best_of_chunk(max_km: float, n: int, block_rows: int) -> Callable:
+    """The function over a tile of listings and a chunk of candidates. It names nothing of this module, so that it
+    is sent by value."""
+    angle = max_km / EARTH_RADIUS_KM
+    # squared chords; what lies within the slack of a limit is left to the native expressions
+    limit = 4.0 * math.sin(angle / 2.0) ** 2 if angle < math.pi else 5.0
+    slack = 1e-12 if angle < 1.5 else 1e-6
+
+    def best(searches, members):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def values(table, name):
+            return table.column(name).to_numpy()
+
+        def unit(table, lat, lon):
+            lat, lon = np.radians(values(table, lat)), np.radians(values(table, lon))
+            return np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)
+
+        def tokens(column, vocabulary):
+            codes = pc.fill_null(pc.index_in(pc.list_flatten(column), value_set=vocabulary), -1).to_numpy()
+            ends = np.cumsum(pc.list_value_length(column).to_numpy())
+            return codes, np.concatenate([[0], ends]).astype(np.int64)
+
+        names = ["of", "lat", "lon"], ["id", "latitude", "longitude", "price"]
+        searches = searches.take(pa.array(np.argsort(values(searches, "cap"), kind="stable")))
+        members = members.take(pa.array(np.argsort(values(members, "price"), kind="stable")))
+        count, held = searches.num_rows, members.num_rows
+        vocabulary = pc.unique(pc.list_flatten(members.column("amen")))
+        mine, mine_at = tokens(searches.column("mine"), vocabulary)
+        amen, amen_at = tokens(members.column("amen"), vocabulary)
+        code = np.unique(np.concatenate([values(members, "id"), values(searches, "of")]), return_inverse=True)[1]
+        cap, price = values(searches, "cap"), values(members, "price")
+        ours, theirs = unit(searches, "lat", "lon"), unit(members, "latitude", "longitude")
+        place = np.unique(np.stack([values(members, "latitude"), values(members, "longitude")]), axis=1, return_inverse=True)[1].ravel()
+        # each listing's n least keys so far; a key is the squared chord less 8 for each shared amenity
+        least = np.full((count, n), np.inf)
+        kept = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64, np.int64))
+        start = 0
+        while start < held:
+            # a block of candidates: so many rows and tokens that its matrices stay small
+            end = min(held, start + block_rows, max(start + 1, int(np.searchsorted(amen_at, amen_at[start] + 4096, "right")) - 1))
+            here = amen[amen_at[start] : amen_at[end]]
+            found, local = np.unique(here, return_inverse=True)
+            owner = np.repeat(np.arange(end - start), np.diff(amen_at[start : end + 1]))
+            counts = np.zeros((len(found), end - start), np.float32)
+            np.add.at(counts, (local, owner), 1)
+            local_of = np.full(len(vocabulary) + 1, -1)
+            local_of[found] = np.arange(len(found))
+            hits = [kept]
+            for a in range(int(np.searchsorted(cap, price[start])), count, 512):
+                b = min(a + 512, count)
+                has = np.zeros((b - a, len(found)), np.float32)
+                word = local_of[mine[mine_at[a] : mine_at[b]]]
+                of = np.repeat(np.arange(b - a), np.diff(mine_at[a : b + 1]))
+                has[of[word >= 0], word[word >= 0]] = 1
+                common = has @ counts
+                chord = np.zeros((b - a, end - start))
+                for x, y in zip(ours, theirs):
+                    gap = x[a:b, None] - y[None, start:end]
+                    gap *= gap
+                    chord += gap
+                out = chord >= limit + slack
+                out |= price[None, start:end] > cap[a:b, None]
+                out |= code[held + a : held + b, None] == code[None, start:end]
+                key = chord - 8.0 * common
+                key[out] = np.inf
+                # what the radius may yet shut out sets no bar
+                unsure = chord >= limit - slack
+                sure = np.where(unsure, np.inf, key) if unsure.any() else key
+                near = np.partition(np.concatenate([least[a:b], sure], axis=1), n - 1, axis=1)[:, :n]
+                least[a:b] = near
+                bar = near[:, n - 1 :] + slack + 1e-14 * float(common.max())
+                row, col = np.nonzero((key <= bar) & (key < np.inf))
+                hits.append((row + a, col + start, key[row, col], common[row, col].astype(np.int64)))
+            kept = tuple(np.concatenate(part) for part in zip(*hits))
+            bar = least[:, n - 1][kept[0]]
+            within = kept[2] <= bar + slack + 1e-14 * kept[3]
+            kept = tuple(part[within] for part in kept)
+            if len(kept[0]) > 2 * n * count:
+                # at one place and with as much in common the ids decide
+                order = np.lexsort((code[kept[1]], -kept[3], place[kept[1]], kept[0]))
+                kept = tuple(part[order] for part in kept)
+                new = np.ones(len(order), bool)
+                new[1:] = (np.diff(kept[0]) != 0) | (np.diff(place[kept[1]]) != 0) | (np.diff(kept[3]) != 0)
+                first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+                kept = tuple(part[np.arange(len(order)) - first < n] for part in kept)
+            start = end
+        row, col = pa.array(kept[0]), pa.array(kept[1])
+        columns = [searches.column(c).take(row) for c in names[0]] + [members.column(c).take(col) for c in names[1]]
+        return pa.table([*columns, pa.array(kept[3])], names=[*names[0], *names[1], "common_amenities"])
+
+    return best
 
 
 def opened_pairs(
@@ -185,31 +217,31 @@ def opened_pairs(
     block_size: int = 256,
 ) -> DataFrame:
     """``(of, id, common_amenities, distance, price)``: all pairs that may be among the best ``n`` of a
-    listing. What the final ranking reads."""
-    members = blocks_of(listings, calendar, date, max_km, block_size)
+    listing. What the final ranking reads: about ``n`` rows for each listing and chunk of candidates."""
+    members = _members(listings, calendar, date, max_km)
     searches = _searches(listings, max_price_increase_pct, max_km)
-    may_hold = (F.col("least_price") <= F.col("cap")) & (_least_distance() < F.lit(float(max_km)))
-    met = _salted(searches, _summary(members), ["cx", "cy", "room_type"], "of", may_hold)
-    met = met.select(
-        "of",
-        "lat",
-        "lon",
-        "cap",
-        "mine",
-        *_BLOCK,
-        _most_common().alias("most"),
-        _least_distance().alias("nearest"),
-        haversine_km("lat", "lon", F.col("min_latitude") / 2 + F.col("max_latitude") / 2, F.col("min_longitude") / 2 + F.col("max_longitude") / 2).alias("middle"),
+    counts = searches.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_s"))
+    held = members.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_m"))
+    sizes = counts.join(held, _CELL).select(
+        *_CELL, F.ceil(F.col("_s") / TILE).alias("tiles"), F.ceil(F.col("_m") / (BLOCKS * block_size)).alias("chunks")
     )
-    promise = Window.partitionBy("of").orderBy(F.desc("most"), "nearest", "middle", "cx", "cy", "block")
-    first = met.withColumn("_r", F.row_number().over(promise)).where(F.col("_r") <= FIRST_BLOCKS).drop("_r")
-    best = [F.desc("common_amenities"), F.asc("distance"), F.asc("id")]
-    no_bar = first.withColumns({"bar": F.lit(None).cast("long"), "bar_km": F.lit(None).cast("double")})
-    bar = top_k_per_group(_opened(no_bar, members, max_km), ["of"], best, n).where(F.col("rank") == n)
-    bar = bar.select(F.col("of").alias("bar_of"), F.col("common_amenities").alias("bar"), F.col("distance").alias("bar_km"))
-    left = met.join(bar, F.col("of") == F.col("bar_of"), "left")
-    left = left.where(_reaches("most", "nearest")).drop("bar_of")
-    return _opened(left, members, max_km)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    left = _salted(searches, sizes, _CELL, "of").withColumns(
+        {"tile": F.pmod(F.xxhash64("of"), F.col("tiles")), "chunk": F.explode(F.sequence(zero, F.col("chunks") - one))}
+    )
+    right = _salted(members, sizes, _CELL, "id").withColumns(
+        {"tile": F.explode(F.sequence(zero, F.col("tiles") - one)), "chunk": F.pmod(F.xxhash64("id"), F.col("chunks"))}
+    )
+    group = [*_CELL, "tile", "chunk"]
+    type_of = {f.name: f.dataType.simpleString() for f in searches.schema.fields}["of"]
+    schema = f"of {type_of}, lat double, lon double, id {type_of}, latitude double, longitude double, price double, common_amenities long"
+    left = left.select(*group, "of", "lat", "lon", "cap", "mine")
+    right = right.select(*group, "id", "latitude", "longitude", "price", "amen")
+    rows = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(
+        _best_of_chunk(float(max_km), n, 4 * block_size), schema
+    )
+    rows = rows.withColumn("distance", haversine_km("lat", "lon", "latitude", "longitude"))
+    return rows.where(F.col("distance") < F.lit(float(max_km))).select("of", "id", "common_amenities", "distance", "price")
 
 
 def alternatives_all_pairs(
