@@ -25,7 +25,7 @@ AQE does not split a join with an aggregate right under it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import text_tokens
@@ -36,6 +36,10 @@ KEYS = {"listing": "id", "neighbourhood": "neighbourhood"}
 # Salts of a join whose key can be hot: the large side's rows of a key go to so
 # many partitions, the small side has each row so many times
 SALTS = 8
+# Terms whose document frequency every task is given: the most frequent ones
+COMMON_TERMS = 65536
+# Salts of the join of all other terms; none of those is hot
+RARE_SALTS = 2
 # A text has a word if it has a token character (see functions.columns)
 _HAS_WORD = r"(?i)[0-9a-z'\-&\u0130\u212a]"
 
@@ -58,12 +62,12 @@ def _raw_counts(corpus: DataFrame, key: str, only_terms: DataFrame | None = None
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def join_salted(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+def join_salted(left: DataFrame, right: DataFrame, key: str, spread_by: str, n_salts: int = SALTS) -> DataFrame:
     """Inner join of a large side with one row per key, NULL keys matching each
-    other. A key's rows of the large side are dealt to ``SALTS`` partitions by
+    other. A key's rows of the large side are dealt to ``n_salts`` partitions by
     ``spread_by``; the small side is repeated for each."""
-    l = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    l = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n_salts)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1)))
     r = right.withColumnRenamed(key, "_k").withColumn("_s", salts)
     on = l[key].eqNullSafe(r["_k"]) & (l["_salt"] == r["_s"])
     return l.join(r, on, "inner").drop("_k", "_s", "_salt")
@@ -168,11 +172,58 @@ def tfidf_top_terms(corpus: DataFrame, value, mode: str = "listing", k: int = 10
     return top_k(w, [F.desc("weight"), F.asc("term")], k)
 
 
+def _counted(rows: DataFrame, key: str) -> DataFrame:
+    """``(key, total, term, n)`` from rows ``(key, _t)`` with sorted tokens, each row for itself: the runs of its tokens.
+    A column for each step, as an expression inside a function would be computed for each element; there is a token in each
+    row, and without the outer form Spark infers a filter that brings the steps together again."""
+    place = F.sequence(F.lit(0), F.size("_t") - 1)
+    last = F.filter(place, lambda i: F.get("_t", i).eqNullSafe(F.get("_t", i + 1)) == F.lit(False))
+    rows = rows.select(key, "_t", last.alias("_ends"))
+    runs = F.transform(
+        "_ends",
+        lambda e, j: F.struct(
+            F.get("_t", e).alias("term"),
+            (e - F.when(j == 0, -1).otherwise(F.get("_ends", j - 1))).cast("bigint").alias("n"),
+        ),
+    )
+    return rows.select(key, F.size("_t").alias("total"), runs.alias("_runs")).select(key, "total", F.inline_outer("_runs"))
+
+
+def _top_terms_of_listings(corpus: DataFrame, k: int) -> DataFrame:
+    """``tfidf_top_terms_all`` for listings. A text that is the only one of its id is counted within its row, so the
+    texts and not their terms are shuffled by id. The frequencies of the ``COMMON_TERMS`` most frequent terms are
+    known in each task, where only a listing's best ``k`` of them stay; those and its rarer terms are joined with
+    their frequencies. Ids of several texts are counted by ``term_counts``."""
+    key = KEYS["listing"]
+    rows = corpus.where(F.col("description").isNotNull()).select(key, "description")
+    rows = rows.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    tokens = rows.where("_rows = 1").select(key, F.sort_array(text_tokens("description")).alias("_t"))
+    counted = _counted(tokens, key)
+    alone = counted.select(key, "term", (F.col("n").cast("double") / F.col("total").cast("double")).alias("tf"))
+    several = term_frequency(term_counts(rows.where("_rows > 1")), key).select(key, "term", "tf")
+    df = alone.select("term").unionAll(several.select("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = scalar(n_documents(corpus, "listing"))
+    idf = df.select("term", (n_docs / F.col("df").cast("double")).alias("idf"))
+    common = top_k(idf, [F.asc("idf"), F.asc("term")], COMMON_TERMS).withColumnsRenamed({"term": "_term", "idf": "_idf"})
+    known = alone.join(F.broadcast(common), F.col("term") == F.col("_term"), "left").select(
+        key, "term", "tf", (F.col("tf") * F.col("_idf")).alias("_w")
+    )
+    best = Window.partitionBy(key, F.col("_w").isNull()).orderBy(F.desc("_w"), F.asc("term"))
+    known = known.withColumn("_r", F.row_number().over(best)).where(F.col("_w").isNull() | (F.col("_r") <= k))
+    w = join_salted(known.select(key, "term", "tf").unionAll(several), idf, "term", key, RARE_SALTS).select(
+        key, "term", (F.col("tf") * F.col("idf")).alias("weight")
+    )
+    ranked = top_k_per_group(w, [key], [F.desc("weight"), F.asc("term")], k)
+    return ranked.select(key, "rank", "term", "weight")
+
+
 def tfidf_top_terms_all(corpus: DataFrame, mode: str = "listing", k: int = 100) -> DataFrame:
     """``(key, rank, term, weight)``: the top ``k`` terms of every document at
     once (the same weights as ``tfidf_top_terms``, one pass for all keys). Up to
     k = 1000 (Spark's windowGroupLimitThreshold) at most k rows a document leave
     a task; beyond it a document's terms are ranked after one shuffle."""
+    if mode == "listing":
+        return _top_terms_of_listings(corpus, k)
     key = KEYS[mode]
     counts = term_counts(corpus, mode)
     tf = term_frequency(counts, key)

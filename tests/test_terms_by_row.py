@@ -1,0 +1,39 @@
+"""Top terms of all listings: texts counted within their row, common terms by known frequencies, rare ones by a join."""
+
+from collections import Counter
+
+import pytest
+
+from listing_rows import rows
+from staylens.operators import terms
+
+
+@pytest.mark.parametrize("common", [1, 7, 65536])
+def test_the_number_of_common_terms_changes_nothing(spark, monkeypatch, common):
+    monkeypatch.setattr(terms, "COMMON_TERMS", common)
+    texts = [(i, f"the w{i % 9} w{i % 9} x{i} y{i % 4} The", "n") for i in range(60)]
+    # ids of several texts, also the NULL id, blank texts and none
+    texts += [(7, "the w1 z", "n"), (7, " ! ", "n"), (None, "q q the", "n"), (None, "q r", "n"), (90, " ? ", "n"), (91, None, "n")]
+    c = spark.createDataFrame(texts, "id long, description string, neighbourhood string").repartition(3)
+    docs = {}
+    for i, t, _ in texts:
+        if t is not None:
+            docs.setdefault(i, []).extend(t.lower().split() if t.strip(" !?") else [""])
+    df = Counter(t for d in docs.values() for t in set(d))
+    n = sum(t is not None for _, t, _ in texts)
+    want = []
+    for i, d in docs.items():
+        best = sorted((-(c / len(d)) * (n / df[t]), t) for t, c in Counter(d).items())[:3]
+        want += [(i, rank, t, -w) for rank, (w, t) in enumerate(best, 1)]
+    assert rows(terms.tfidf_top_terms_all(c, "listing", 3), "id", "rank", "term", "weight") == sorted(want, key=repr)
+
+
+def test_common_terms_of_a_listing_stay_in_its_task(spark):
+    """Each text has 300 terms that all others have, and the best 3 are wanted: few pairs are joined by term."""
+    every = " ".join(f"t{i}" for i in range(300))
+    c = spark.createDataFrame([(i, f"{every} x{i}", "n") for i in range(200)], "id long, description string, neighbourhood string")
+    df = terms.tfidf_top_terms_all(c, "listing", 3)
+    assert df.count() == 600
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # each listing's best common terms are found before the join with all frequencies
+    assert plan.count("row_number()") == 2 and "_idf" in plan
