@@ -9,11 +9,11 @@ amenities that many candidates have and a list of places for each of the others.
 close together, so that a byte also holds a class of distance of the candidate from the window, once by the least and
 once by the greatest it can be. These bytes alone tell which few candidates can be among a listing's ``n`` best; only for
 those the distance is computed. Where they don't tell (a window as wide as the radius, many at one place), distances in
-single precision with a bound on their error do. All of a listing's
-candidates pass its task, so what leaves it are ``n`` candidates a listing (and what can't be told from them within
-rounding), in one row. Distances, and the radius and the ranks where rounding could change them, are then decided by the
-same native expressions as for one listing, so the result is exact. Every listing of a cell is still held against every candidate it can pay for: the time
-is quadratic in a dense cell, about a nanosecond a pair; memory and disk are not.
+single precision with a bound on their error do. All of a listing's candidates pass its task, so what leaves it are ``n``
+candidates a listing (and what can't be told from them within rounding), in one row. Distances, and the radius and the
+ranks where rounding could change them, are then decided by the same native expressions as for one listing, so the result
+is exact. Every listing of a cell is still held against every candidate it can pay for: the time is quadratic in a dense
+cell, some nanoseconds a pair; memory and disk are not.
 """
 
 from __future__ import annotations
